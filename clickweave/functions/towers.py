@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 
@@ -53,10 +54,21 @@ def run_layers(x: np.ndarray, layers) -> np.ndarray:
     return x
 
 
-def matrix_of(column: pa.Array) -> np.ndarray:
+def once(run):
+    """Call an Arrow function with its array and that array's size.
+
+    The size is checked against the rows. Naming the array twice also makes the
+    optimizer compute it in a projection of its own, below the Python call.
+    """
+    return lambda v: run(v, F.size(v))
+
+
+def matrix_of(column: pa.Array, sizes: pa.Array | None = None) -> np.ndarray:
     """Rows of a list column as a matrix; every list must have the same length."""
     if column.null_count:
         raise ValueError("a tower input is null")
+    if sizes is not None and len(column) and pc.min_max(sizes)["min"] != pc.min_max(sizes)["max"]:
+        raise ValueError("tower inputs differ in length")
     if len(column) == 0:
         return np.zeros((0, 0))
     flat = column.flatten().to_numpy(zero_copy_only=False)
@@ -73,10 +85,10 @@ def tower_output(tower: Tower):
     layers = tower.arrays()
 
     @F.arrow_udf("array<double>")
-    def run(v: pa.Array) -> pa.Array:
-        return lists_of(run_layers(matrix_of(v), layers)) if len(v) else pa.array([], pa.list_(pa.float64()))
+    def run(v: pa.Array, sizes: pa.Array) -> pa.Array:
+        return lists_of(run_layers(matrix_of(v, sizes), layers)) if len(v) else pa.array([], pa.list_(pa.float64()))
 
-    return run
+    return once(run)
 
 
 def tower_logit(tower: Tower, kernel: Sequence[float]):
@@ -84,10 +96,10 @@ def tower_logit(tower: Tower, kernel: Sequence[float]):
     layers, k = tower.arrays(), np.asarray(kernel, float)
 
     @F.arrow_udf("double")
-    def run(v: pa.Array) -> pa.Array:
-        return pa.array(run_layers(matrix_of(v), layers) @ k if len(v) else np.zeros(0))
+    def run(v: pa.Array, sizes: pa.Array) -> pa.Array:
+        return pa.array(run_layers(matrix_of(v, sizes), layers) @ k if len(v) else np.zeros(0))
 
-    return run
+    return once(run)
 
 
 def task_scores(shared: Tower | None, towers: Sequence[Tower], kernels: Sequence[Sequence[float]], names: Sequence[str]):
@@ -97,13 +109,13 @@ def task_scores(shared: Tower | None, towers: Sequence[Tower], kernels: Sequence
     fields = list(names)
 
     @F.arrow_udf(", ".join(f"{n} double" for n in fields))
-    def run(v: pa.Array) -> pa.Array:
+    def run(v: pa.Array, sizes: pa.Array) -> pa.Array:
         if len(v) == 0:
             return pa.StructArray.from_arrays([pa.array([], pa.float64()) for _ in fields], fields)
-        x = run_layers(matrix_of(v), bottom)
+        x = run_layers(matrix_of(v, sizes), bottom)
         return pa.StructArray.from_arrays([pa.array(run_layers(x, t) @ k) for t, k in heads], fields)
 
-    return run
+    return once(run)
 
 
 def attention_scores(tower: Tower, kernel: Sequence[float], bias: float = 0.0):
@@ -126,3 +138,37 @@ def attention_scores(tower: Tower, kernel: Sequence[float], bias: float = 0.0):
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores))
 
     return run
+
+
+def history_logit(att: Tower, att_kernel, att_bias: float, tower: Tower, kernel, normalise: bool = False):
+    """``(query, keys, valid, others)`` to one logit: attention scores, pooled history, tower.
+
+    One Arrow call per batch; the history of a row is a run of its flat key list.
+    """
+    net, net_k = att.arrays(), np.asarray(att_kernel, float)
+    layers, k_out = tower.arrays(), np.asarray(kernel, float)
+
+    @F.arrow_udf("double")
+    def run(q: pa.Array, keys: pa.Array, valid: pa.Array, others: pa.Array) -> pa.Array:
+        if len(q) == 0:
+            return pa.array([], pa.float64())
+        query = matrix_of(q)
+        pooled = np.zeros_like(query)
+        vectors = keys.flatten()
+        ok = np.asarray(vectors.is_valid()) & np.asarray(valid.flatten().fill_null(False)).astype(bool)
+        if ok.any():
+            sizes = keys.value_lengths().to_numpy(zero_copy_only=False).astype(int)
+            row = np.repeat(np.arange(len(q)), sizes)[ok]
+            k = matrix_of(vectors.filter(pa.array(ok)))
+            r = query[row]
+            w = run_layers(np.concatenate([r, k, r - k, r * k], axis=1), net) @ net_k + att_bias
+            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            if normalise:
+                length = np.diff(np.r_[starts, len(row)])
+                w = np.exp(w - np.repeat(np.maximum.reduceat(w, starts), length))
+                w = w / np.repeat(np.add.reduceat(w, starts), length)
+            pooled[row[starts]] = np.add.reduceat(w[:, None] * k, starts, axis=0)
+        x = np.concatenate([matrix_of(others), pooled], axis=1)
+        return pa.array(run_layers(x, layers) @ k_out)
+
+    return run

@@ -23,6 +23,8 @@ def block_count(df: DataFrame) -> int:
 
 def ordered_blocks(df: DataFrame, order: list[Column], blocks: int | None = None) -> DataFrame:
     """Rows with ``_block`` (range block in global order) and ``_pos`` (0.. within it)."""
+    if {"_block", "_pos"} & set(df.columns):
+        raise ValueError("_block and _pos are added here")
     n = blocks or block_count(df)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     placed = ranged.withColumn("_block", F.spark_partition_id()).withColumn(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import clip, log_loss_term
@@ -53,19 +53,17 @@ def roc_auc(
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     counts = df.groupBy(*group, F.col(p).alias("_p")).agg(
-        F.sum(F.when(F.col(y) == 1, w).otherwise(F.lit(0.0))).alias("_pos"),
-        F.sum(F.when(F.col(y) == 1, F.lit(0.0)).otherwise(w)).alias("_neg"),
+        F.sum(F.when(F.col(y) == 1, w).otherwise(F.lit(0.0))).alias("_hits"),
+        F.sum(F.when(F.col(y) == 1, F.lit(0.0)).otherwise(w)).alias("_miss"),
     )
     order = [F.col(g) for g in group] + [F.col("_p")]
-    placed = with_prefix(ordered_blocks(counts, order, blocks), {"neg": F.col("_neg")}, list(group))
-    from pyspark.sql import Window
-
+    placed = with_prefix(ordered_blocks(counts, order, blocks), {"miss": F.col("_miss")}, list(group))
     inside = Window.partitionBy(*group, "_block").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("_before_neg") + F.coalesce(F.sum("_neg").over(inside), F.lit(0.0))
+    below = F.col("_before_miss") + F.coalesce(F.sum("_miss").over(inside), F.lit(0.0))
     area = placed.withColumn("_below", below).groupBy(*group).agg(
-        F.sum(F.col("_pos") * (F.col("_below") + 0.5 * F.col("_neg"))).alias("_area"),
-        F.sum("_pos").alias("_np"),
-        F.sum("_neg").alias("_nn"),
+        F.sum(F.col("_hits") * (F.col("_below") + 0.5 * F.col("_miss"))).alias("_area"),
+        F.sum("_hits").alias("_np"),
+        F.sum("_miss").alias("_nn"),
     )
     return area.select(*group, F.try_divide(F.col("_area"), F.col("_np") * F.col("_nn")).alias("auc"))
 
@@ -83,8 +81,6 @@ def threshold_auc(df: DataFrame, y: str, p: str, thresholds: int = 200, group: S
     hist = df.groupBy(*group, bin_.alias("_bin")).agg(
         F.sum((F.col(y) == 1).cast("bigint")).alias("_pos"), F.sum((F.col(y) != 1).cast("bigint")).alias("_neg")
     )
-    from pyspark.sql import Window
-
     # at most `thresholds` rows per group from here on
     w = Window.partitionBy(*group).orderBy("_bin")
     up = w.rowsBetween(Window.unboundedPreceding, -1)

@@ -183,9 +183,9 @@ def f6(spark, sf):
     )
 
 
-@register("f7_two_value_label", "SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS y FROM lineitem")
+@register("f7_two_value_label", "SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN 1e0 WHEN 'A' THEN 0e0 END AS y FROM lineitem")
 def f7(spark, sf):
-    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", P.two_value_label(F.col("l_returnflag"), {"R": 1, "A": 0}).alias("y"))
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", P.two_value_label(F.col("l_returnflag"), {"R": 1.0, "A": 0.0}).alias("y"))
 
 
 @register("f8_predicate_label", "SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS y FROM lineitem")

@@ -224,7 +224,7 @@ def _history(hot_rows):
 register("q9_behaviour_history", Q9_SQL)(_history(H.HOT_ROWS))
 register("q9_behaviour_history_hot_users", Q9_SQL)(_history(0))
 
-SESS = f"""sg AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > {DAY}*1000000 THEN 1 ELSE 0 END AS s FROM it
+SESS = f"""sg AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > {DAY}000000 THEN 1 ELSE 0 END AS s FROM it
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 sn AS (SELECT *, CAST(sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS session_no FROM sg)"""
 
@@ -387,7 +387,7 @@ def p8(spark, sf):
     df = _with_keys(spark, sf)
     others = [F.col("query__v"), F.array(F.col("value") / 100.0)]
     out = scoring.score_history(
-        df, "query__v", "keys", M.valid_by_zero(F.col("ids")), D, others, ATT_NET, ATT_K, ATT_B0, P8_TOWER, P8_K
+        df, "query__v", "keys", M.valid_by_zero(F.col("ids")), others, ATT_NET, ATT_K, ATT_B0, P8_TOWER, P8_K
     )
     return out.select("event_id", rounded(F.col("score")).alias("score"))
 

@@ -126,16 +126,13 @@ def score_tasks(df, fields, numbers, vocab, table, shared, towers, kernels, name
 
 
 def score_history(
-    df: DataFrame, query: str, keys: str, valid: Column, dim: int, others: list[Column], att, att_kernel, att_bias,
+    df: DataFrame, query: str, keys: str, valid: Column, others: list[Column], att, att_kernel, att_bias,
     tower, tower_kernel, normalise: bool = False, bias: float = 0.0, out: str = "score",
 ) -> DataFrame:
-    """History attention: scores of (query, keys), pooled history, then the tower."""
-    from clickweave.functions.towers import attention_scores, tower_logit
-    from clickweave.operators.multivalue import attention_pool, attention_weights
-
-    cur = df.withColumn("_s", attention_scores(att, att_kernel, att_bias)(F.col(query), F.col(keys)))
-    cur = cur.withColumn("_a", attention_weights(F.col("_s"), valid, normalise))
-    cur = cur.withColumn("_h", attention_pool(F.col("_a"), F.col(keys), dim))
-    cur = cur.withColumn("_in", F.concat(*others, F.col("_h")))
-    cur = cur.withColumn("_z", tower_logit(tower, tower_kernel)(F.col("_in")))
-    return cur.withColumn(out, X.predict_head(F.col("_z"), "binary", bias)).drop("_s", "_a", "_h", "_in", "_z")
+    """History attention score: attention net, pooled history and tower in one Arrow call."""
+    from clickweave.functions.towers import history_logit
+
+    net = history_logit(att, att_kernel, att_bias, tower, tower_kernel, normalise)
+    logit = net(F.col(query), F.col(keys), valid, F.concat(*others))
+    cur = df.withColumn("_z", logit)
+    return cur.withColumn(out, X.predict_head(F.col("_z"), "binary", bias)).drop("_z")
