@@ -34,11 +34,16 @@ def total(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def dot(a: Column, b: Column) -> Column:
+def dot(a: Column, b: Column, dim: int | None = None) -> Column:
+    """With a known width the sum is written out, which compiles to plain arithmetic."""
+    if dim is not None:
+        return column_sum([x * y for x, y in zip(elements(a, dim), elements(b, dim))])
     return total(F.zip_with(a, b, lambda x, y: x * y))
 
 
-def hadamard(a: Column, b: Column) -> Column:
+def hadamard(a: Column, b: Column, dim: int | None = None) -> Column:
+    if dim is not None:
+        return F.array(*[x * y for x, y in zip(elements(a, dim), elements(b, dim))])
     return F.zip_with(a, b, lambda x, y: x * y)
 
 
@@ -59,6 +64,13 @@ def matvec(rows: Column, v: Column) -> Column:
     return let(v, lambda u: F.transform(rows, lambda r: dot(r, u)))
 
 
+def quadratic(a: Column, m, b: Column) -> Column:
+    """``a' M b`` for a small constant matrix, written out."""
+    x, y = elements(a, len(m)), elements(b, len(m[0]))
+    rows = [column_sum([F.lit(float(k)) * v for k, v in zip(row, y)]) for row in m]
+    return column_sum([u * r for u, r in zip(x, rows)])
+
+
 def vector_sum(vectors: Sequence[Column]) -> Column:
     out = vectors[0]
     for v in vectors[1:]:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.vectors import literal
 from clickweave.operators.encode import as_text, long_fields, vocabulary_sizes
-from clickweave.operators.joins import BROADCAST_ROWS, lookup_join, missing_keys
+from clickweave.operators.joins import BROADCAST_ROWS, keyed_lookup, lookup_join, missing_keys
 from clickweave.scratch import pin
 
 
@@ -81,71 +82,74 @@ def require_in_range(df: DataFrame, id_cols: list[str], table: DataFrame) -> Non
         raise ValueError(f"id without an embedding row: {bad[0].asDict()}")
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """Vocabulary and embeddings joined once: ``table(feature, category, w, vec)``.
+
+    ``sizes`` are classes per feature; ``spare`` is the row of the unseen bucket of
+    each feature (one per declared field). A stored model keeps one of these.
+    """
+
+    table: DataFrame
+    sizes: dict[str, int]
+    spare: dict[str, tuple[float, list[float]]]
+
+
+def compose(vocab: DataFrame, table: DataFrame, sizes: dict[str, int] | None = None) -> Lookup:
+    """Both sides are small next to the facts, so the facts later meet one table, not two."""
+    sizes = sizes or vocabulary_sizes(vocab)
+    emb = table.select("feature", F.col("idx").cast("int").alias("idx"), "w", "vec")
+    met = pin(vocab.select("feature", "category", "idx").join(emb, ["feature", "idx"]).drop("idx"), "lookup")
+    keys = table.sparkSession.createDataFrame(list(sizes.items()), "feature string, idx int")
+    rows = emb.join(F.broadcast(keys), ["feature", "idx"]).collect()
+    return Lookup(met, sizes, {r["feature"]: (r["w"], list(r["vec"])) for r in rows})
+
+
 def attach(
     df: DataFrame,
     fields: list[str],
-    vocab: DataFrame,
-    table: DataFrame,
+    lookup: Lookup,
     key: list[str] | None = None,
     limit: int = BROADCAST_ROWS,
-    sizes: dict[str, int] | None = None,
     plan: str = "auto",
 ) -> DataFrame:
-    """Raw categories to ``<field>__w`` and ``<field>__v`` in one lookup per field.
+    """Raw categories to ``<field>__w`` and ``<field>__v``, one lookup per field.
 
-    Vocabulary and embeddings are joined with each other first (both are small
-    next to the facts), so the facts meet one table, not two. When every such
-    table passes the size check the row stays wide and nothing is shuffled;
-    otherwise the fields go to long form, meet the table in one skew-safe join
-    and are gathered again per ``key`` (one entry per declared field).
+    When every field's table passes the size check the row stays wide and nothing
+    is shuffled; otherwise the fields go to long form, meet the table in one
+    skew-safe join and are gathered again per ``key`` (one entry per declared field).
     """
-    sizes = sizes or vocabulary_sizes(vocab)
     if plan == "auto":
-        plan = "wide" if all(sizes.get(f, 0) <= limit for f in fields) else "long"
-    emb = table.select("feature", F.col("idx").cast("int").alias("idx"), "w", "vec")
-    composed = pin(vocab.select("feature", "category", "idx").join(emb, ["feature", "idx"]), "lookup")
-    # the unseen bucket: one row per declared field reaches the driver
-    spare_keys = [(f, sizes.get(f, 0)) for f in fields]
-    keys = df.sparkSession.createDataFrame(spare_keys, "feature string, idx int")
-    spare = {r["feature"]: r for r in emb.join(F.broadcast(keys), ["feature", "idx"]).collect()}
+        plan = "wide" if all(lookup.sizes.get(f, 0) <= limit for f in fields) else "long"
     if plan == "wide":
-        return _attach_wide(df, fields, composed, spare)
+        return _attach_wide(df, fields, lookup)
     if not key:
         raise ValueError("the long plan gathers fields per row and needs a row key")
-    return _attach_long(df, fields, composed, spare, key, fits=None if plan == "long" else False)
+    return _attach_long(df, fields, lookup, key)
 
 
-def _or_spare(c: Column, spare, part: str) -> Column:
-    if spare is None:
+def _or_spare(c: Column, lookup: Lookup, feature: str, part: str) -> Column:
+    if feature not in lookup.spare:
         return c
-    value = spare[part]
-    return F.coalesce(c, literal(list(value)) if part == "vec" else F.lit(float(value)))
+    w, vec = lookup.spare[feature]
+    return F.coalesce(c, literal(vec) if part == "v" else F.lit(float(w)))
 
 
-def _attach_wide(df: DataFrame, fields: list[str], composed: DataFrame, spare: dict) -> DataFrame:
-    out = df
-    for f in fields:
-        one = composed.where(F.col("feature") == f).select(
-            F.col("category").alias("_cat"), F.col("w").alias("_w"), F.col("vec").alias("_v")
+def _attach_wide(df: DataFrame, fields: list[str], lookup: Lookup) -> DataFrame:
+    out, columns = df, []
+    for i, f in enumerate(fields):
+        one = lookup.table.where(F.col("feature") == f).select(
+            F.col("category").alias(f"_cat{i}"), F.col("w").alias(f"_w{i}"), F.col("vec").alias(f"_v{i}")
         )
-        out = out.withColumn("_cat", as_text(F.col(f)))
-        out = lookup_join(out, one, ["_cat"], ["_w", "_v"], fits=True)
-        out = out.withColumns(
-            {
-                f"{f}__w": _or_spare(F.col("_w"), spare.get(f), "w"),
-                f"{f}__v": _or_spare(F.col("_v"), spare.get(f), "vec"),
-            }
-        ).drop("_cat", "_w", "_v")
-    return out
+        out = keyed_lookup(out, as_text(F.col(f)), one, f"_cat{i}", [f"_w{i}", f"_v{i}"], fits=True)
+        columns.append(_or_spare(F.col(f"_w{i}"), lookup, f, "w").alias(f"{f}__w"))
+        columns.append(_or_spare(F.col(f"_v{i}"), lookup, f, "v").alias(f"{f}__v"))
+    return out.select(*df.columns, *columns)
 
 
-def _attach_long(
-    df: DataFrame, fields: list[str], composed: DataFrame, spare: dict, key: list[str], fits: bool | None
-) -> DataFrame:
+def _attach_long(df: DataFrame, fields: list[str], lookup: Lookup, key: list[str]) -> DataFrame:
     long = long_fields(df, fields, keep=key)
-    met = lookup_join(
-        long, composed.select("feature", "category", "w", "vec"), ["feature", "category"], ["w", "vec"], fits=fits
-    )
+    met = lookup_join(long, lookup.table, ["feature", "category"], ["w", "vec"], fits=False)
     gathered = met.groupBy(*key).agg(
         *[
             F.first(F.when(F.col("feature") == f, F.struct("w", "vec")), ignorenulls=True).alias(f"_{f}")
@@ -154,8 +158,8 @@ def _attach_long(
     )
     columns = []
     for f in fields:
-        columns.append(_or_spare(F.col(f"_{f}.w"), spare.get(f), "w").alias(f"{f}__w"))
-        columns.append(_or_spare(F.col(f"_{f}.vec"), spare.get(f), "vec").alias(f"{f}__v"))
+        columns.append(_or_spare(F.col(f"_{f}.w"), lookup, f, "w").alias(f"{f}__w"))
+        columns.append(_or_spare(F.col(f"_{f}.vec"), lookup, f, "v").alias(f"{f}__v"))
     return df.join(gathered.select(*key, *columns), key)
 
 

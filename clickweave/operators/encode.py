@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import hash_bucket
 from clickweave.operators.blocks import global_rank
-from clickweave.operators.joins import BROADCAST_ROWS, lookup_join, row_count_up_to
+from clickweave.operators.joins import BROADCAST_ROWS, keyed_lookup, lookup_join, row_count_up_to
 from clickweave.scratch import pin
 
 MISSING_TEXT = "nan"
@@ -58,16 +58,16 @@ def apply_vocabulary(
     fields with more classes than ``limit`` take the shuffled lookup.
     """
     sizes = sizes or vocabulary_sizes(vocab)
-    out = df
-    for f in fields:
+    out, ids = df, {}
+    for i, f in enumerate(fields):
         n = sizes.get(f, 0)
-        table = vocab.where(F.col("feature") == f).select(
-            F.col("category").alias("_cat"), F.col("idx").alias("_idx")
-        )
-        out = out.withColumn("_cat", as_text(F.col(f)))
-        out = lookup_join(out, table, ["_cat"], ["_idx"], fits=n <= limit)
-        out = out.withColumn(f + suffix, F.coalesce("_idx", F.lit(n)).cast("int")).drop("_cat", "_idx")
-    return out.select(*df.columns, *([f + suffix for f in fields] if suffix else []))
+        cat, idx = f"_cat{i}", f"_idx{i}"
+        table = vocab.where(F.col("feature") == f).select(F.col("category").alias(cat), F.col("idx").alias(idx))
+        out = keyed_lookup(out, as_text(F.col(f)), table, cat, [idx], fits=n <= limit)
+        ids[f + suffix] = F.coalesce(idx, F.lit(n)).cast("int").alias(f + suffix)
+    if suffix:
+        return out.select(*df.columns, *ids.values())
+    return out.select(*[ids.get(c, F.col(c)) for c in df.columns])
 
 
 def vocabulary_report(df: DataFrame, fields: list[str], hash_factor: int = 5) -> DataFrame:

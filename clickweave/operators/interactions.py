@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import sigmoid
 from clickweave.functions.vectors import (
-    column_sum, dot, elements, hadamard, literal, matvec, plus, relu, scale, softmax, total, vector_sum,
+    column_sum, dot, elements, hadamard, literal, matvec, plus, quadratic, relu, scale, softmax, total, vector_sum,
 )
 
 # fixed value: up to this many products a sum is written out, which compiles to
 # straight arithmetic; longer ones use array functions so the method stays small
-UNROLL = 128
+UNROLL = 256
 
 
 def pairs(n: int) -> list[tuple[int, int]]:
@@ -101,52 +101,67 @@ def long_linear(cells: DataFrame, key: list[str]) -> DataFrame:
 
 # ---- pairs -------------------------------------------------------------
 
-def inner_products(vectors: Sequence[Column]) -> list[Column]:
-    return [dot(vectors[i], vectors[j]) for i, j in pairs(len(vectors))]
+def _width(dim: int | None, terms: int) -> int | None:
+    """The width, if writing out ``terms`` products keeps the compiled method small."""
+    return dim if dim is not None and terms <= UNROLL else None
 
 
-def element_products(vectors: Sequence[Column]) -> list[Column]:
-    return [hadamard(vectors[i], vectors[j]) for i, j in pairs(len(vectors))]
+def inner_products(vectors: Sequence[Column], dim: int | None = None) -> list[Column]:
+    ij = pairs(len(vectors))
+    w = _width(dim, len(ij) * (dim or 0))
+    return [dot(vectors[i], vectors[j], w) for i, j in ij]
+
 
+def element_products(vectors: Sequence[Column], dim: int | None = None) -> list[Column]:
+    ij = pairs(len(vectors))
+    w = _width(dim, len(ij) * (dim or 0))
+    return [hadamard(vectors[i], vectors[j], w) for i, j in ij]
 
-def outer_products(vectors: Sequence[Column], kernels: Sequence, kind: str = "mat") -> list[Column]:
+
+def outer_products(vectors: Sequence[Column], kernels: Sequence, kind: str = "mat", dim: int | None = None) -> list[Column]:
     """``mat``: q' K p; ``vec``: sum k p q; ``num``: k (p . q); one kernel per pair."""
-    out = []
-    for (i, j), k in zip(pairs(len(vectors)), kernels):
-        p, q = vectors[i], vectors[j]
-        if kind == "mat":
-            out.append(dot(q, matvec(literal(k), p)))
-        elif kind == "vec":
-            out.append(dot(literal(k), hadamard(p, q)))
-        elif kind == "num":
-            out.append(F.lit(float(k)) * dot(p, q))
-        else:
-            raise ValueError(f"unknown kernel kind {kind}")
-    return out
+    ij = pairs(len(vectors))
+    if kind == "mat":
+        w = _width(dim, len(ij) * (dim or 0) ** 2)
+        if w:
+            return [quadratic(vectors[j], k, vectors[i]) for (i, j), k in zip(ij, kernels)]
+        return [dot(vectors[j], matvec(literal(k), vectors[i])) for (i, j), k in zip(ij, kernels)]
+    products = _width(dim, len(ij) * (dim or 0))
+    if kind == "vec":
+        return [dot(literal(k), hadamard(vectors[i], vectors[j])) for (i, j), k in zip(ij, kernels)]
+    if kind == "num":
+        return [F.lit(float(k)) * dot(vectors[i], vectors[j], products) for (i, j), k in zip(ij, kernels)]
+    raise ValueError(f"unknown kernel kind {kind}")
 
 
-def field_weighted(vectors: Sequence[Column], strength: Sequence[float]) -> Column:
-    return column_sum([F.lit(float(r)) * p for r, p in zip(strength, inner_products(vectors))])
+def field_weighted(vectors: Sequence[Column], strength: Sequence[float], dim: int | None = None) -> Column:
+    return column_sum([F.lit(float(r)) * p for r, p in zip(strength, inner_products(vectors, dim))])
 
 
-def field_embedded(vectors: Sequence[Column], kernels: Sequence) -> list[Column]:
+def field_embedded(vectors: Sequence[Column], kernels: Sequence, dim: int | None = None) -> list[Column]:
     """Per pair ``v_i' (W + W') v_j``; the symmetric kernel is formed once, outside the query."""
+    ij = pairs(len(vectors))
+    w = _width(dim, len(ij) * (dim or 0) ** 2)
     out = []
-    for (i, j), w in zip(pairs(len(vectors)), kernels):
-        n = len(w)
-        sym = [[float(w[a][b]) + float(w[b][a]) for b in range(n)] for a in range(n)]
-        out.append(dot(vectors[i], matvec(literal(sym), vectors[j])))
+    for (i, j), k in zip(ij, kernels):
+        n = len(k)
+        sym = [[float(k[a][b]) + float(k[b][a]) for b in range(n)] for a in range(n)]
+        out.append(quadratic(vectors[i], sym, vectors[j]) if w else dot(vectors[i], matvec(literal(sym), vectors[j])))
     return out
 
 
-def bilinear(vectors: Sequence[Column], kernels, kind: str = "interaction") -> list[Column]:
+def bilinear(vectors: Sequence[Column], kernels, kind: str = "interaction", dim: int | None = None) -> list[Column]:
     """``(v_i W) * v_j`` with one W for all, one per left field, or one per pair."""
+    ij = pairs(len(vectors))
+    w = _width(dim, len(ij) * (dim or 0) ** 2)
 
-    def times(v: Column, w) -> Column:
-        columns = [list(c) for c in zip(*w)]
+    def times(v: Column, m) -> Column:
+        columns = [list(c) for c in zip(*m)]
+        if w:
+            x = elements(v, w)
+            return F.array(*[column_sum([F.lit(float(k)) * e for k, e in zip(c, x)]) for c in columns])
         return matvec(literal(columns), v)
 
-    ij = pairs(len(vectors))
     if kind == "interaction":
         return [hadamard(times(vectors[i], kernels[n]), vectors[j]) for n, (i, j) in enumerate(ij)]
     if kind == "each":
@@ -158,9 +173,9 @@ def bilinear(vectors: Sequence[Column], kernels, kind: str = "interaction") -> l
     return [hadamard(left[i], vectors[j]) for i, j in ij]
 
 
-def pair_products(vectors: Sequence[Column]) -> Column:
+def pair_products(vectors: Sequence[Column], dim: int | None = None) -> Column:
     """Element products of all field pairs, as an array of vectors."""
-    return F.array(*element_products(vectors))
+    return F.array(*element_products(vectors, dim))
 
 
 def pair_attention(products: Column, w, b, h) -> Column:

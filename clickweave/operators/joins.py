@@ -55,6 +55,13 @@ def lookup_join(
     return split_hot_join(facts, table, on, values)
 
 
+def keyed_lookup(facts: DataFrame, key: Column, table: DataFrame, on: str, values: list[str], fits: bool) -> DataFrame:
+    """``lookup_join`` on an expression of the facts; the column ``on`` of the table may stay behind."""
+    if fits:
+        return facts.join(F.broadcast(table), key == F.col(on), "left")
+    return split_hot_join(facts.withColumn(on, key), table, [on], values)
+
+
 def split_hot_join(
     facts: DataFrame, table: DataFrame, on: list[str], values: list[str], least: int = HOT_ROWS
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import rounded
-from clickweave.operators.embedding import attach, formula_table
+from clickweave.operators.embedding import Lookup, attach, compose, formula_table
 from clickweave.operators.encode import fit_vocabulary, vocabulary_sizes
 from clickweave.plans.impressions import DENSE, KEY, SPARSE, impressions
 from clickweave.scratch import pin
@@ -83,6 +83,7 @@ class Model:
     vocab: DataFrame
     sizes: dict[str, int]
     table: DataFrame
+    lookup: Lookup
     dim: int
 
 
@@ -109,14 +110,14 @@ def stored_model(spark: SparkSession, sf: str, dim: int) -> Model:
     key = (spark.sparkContext.applicationId, sf, dim)
     if key not in _models:
         vocab, sizes = stored_vocab(spark, sf)
-        table = formula_table(all_ids(spark, vocab, sizes), SPARSE, spark_vec(dim), spark_weight)
-        _models[key] = Model(vocab, sizes, pin(table, "model"), dim)
+        table = pin(formula_table(all_ids(spark, vocab, sizes), SPARSE, spark_vec(dim), spark_weight), "model")
+        _models[key] = Model(vocab, sizes, table, compose(vocab, table, sizes), dim)
     return _models[key]
 
 
 def attached(spark: SparkSession, sf: str, dim: int) -> DataFrame:
     m = stored_model(spark, sf, dim)
-    return attach(impressions(spark, sf), SPARSE, m.vocab, m.table, sizes=m.sizes)
+    return attach(impressions(spark, sf), SPARSE, m.lookup)
 
 
 def vecs() -> list[Column]:

@@ -57,7 +57,7 @@ def x3(spark, sf):
 
 @register("x4_inner_products", select_sql(D, **{f"p{n}": dot_sql(i, j, D) for n, (i, j) in enumerate(PAIRS)}))
 def x4(spark, sf):
-    return row_with(attached(spark, sf, D), **{f"p{n}": c for n, c in enumerate(X.inner_products(vecs()))})
+    return row_with(attached(spark, sf, D), **{f"p{n}": c for n, c in enumerate(X.inner_products(vecs(), D))})
 
 
 @register(
@@ -65,7 +65,7 @@ def x4(spark, sf):
     select_sql(D, **{f"p{n}_{d}": f"e{i}_{d}*e{j}_{d}" for n, (i, j) in enumerate(PAIRS) for d in range(D)}),
 )
 def x4_elements(spark, sf):
-    cur = attached(spark, sf, D).select(*ROW, X.pair_products(vecs()).alias("_p"))
+    cur = attached(spark, sf, D).select(*ROW, X.pair_products(vecs(), D).alias("_p"))
     return row_with(cur, **{f"p{n}_{d}": F.col("_p")[n][d] for n in range(len(PAIRS)) for d in range(D)})
 
 
@@ -90,7 +90,7 @@ def _outer(kind: str):
         "num": nums(len(PAIRS), 3),
     }[kind]
     return lambda spark, sf: row_with(
-        attached(spark, sf, D), **{f"p{n}": c for n, c in enumerate(X.outer_products(vecs(), kernels, kind))}
+        attached(spark, sf, D), **{f"p{n}": c for n, c in enumerate(X.outer_products(vecs(), kernels, kind, D))}
     )
 
 
@@ -103,7 +103,7 @@ FW_SQL = "+".join(f"{lit(r)}*{dot_sql(i, j, D)}" for r, (i, j) in zip(STRENGTH,
 
 @register("x6_field_weighted", select_sql(D, fw=FW_SQL))
 def x6(spark, sf):
-    return row_with(attached(spark, sf, D), fw=X.field_weighted(vecs(), STRENGTH))
+    return row_with(attached(spark, sf, D), fw=X.field_weighted(vecs(), STRENGTH, D))
 
 
 FE_KERNELS = [mat(D, D, 100 + n) for n in range(len(PAIRS))]
@@ -116,7 +116,7 @@ def _fe_sql(n: int) -> str:
 
 @register("x7_field_embedded", select_sql(D, **{f"p{n}": _fe_sql(n) for n in range(len(PAIRS))}))
 def x7(spark, sf):
-    return row_with(attached(spark, sf, D), **{f"p{n}": c for n, c in enumerate(X.field_embedded(vecs(), FE_KERNELS))})
+    return row_with(attached(spark, sf, D), **{f"p{n}": c for n, c in enumerate(X.field_embedded(vecs(), FE_KERNELS, D))})
 
 
 def _bilinear_kernels(kind: str):
@@ -134,7 +134,7 @@ def _bilinear_cell(kind: str, n: int, b: int, left=lambda i, a: f"e{i}_{a}", rig
 
 def _bilinear(kind: str):
     def run(spark, sf):
-        df = attached(spark, sf, D).select(*ROW, F.array(*X.bilinear(vecs(), _bilinear_kernels(kind), kind)).alias("_b"))
+        df = attached(spark, sf, D).select(*ROW, F.array(*X.bilinear(vecs(), _bilinear_kernels(kind), kind, D)).alias("_b"))
         return row_with(df, **{f"p{n}_{b}": F.col("_b")[n][b] for n in range(len(PAIRS)) for b in range(D)})
 
     return run
@@ -170,7 +170,7 @@ AFM_SQL = "(" + "+".join(
 
 
 def _with_attention(spark, sf):
-    df = attached(spark, sf, D).withColumn("_pairs", X.pair_products(vecs()))
+    df = attached(spark, sf, D).withColumn("_pairs", X.pair_products(vecs(), D))
     return df.withColumn("_att", X.pair_attention(F.col("_pairs"), ATT_W, ATT_B, ATT_H))
 
 
@@ -578,7 +578,7 @@ FM_SCORE = sig(f"{LINEAR_SQL} + {fm_sql(WIDE)} - 0.05e0")
 @register("p3_linear_fm_scoring", select_sql(WIDE, score=FM_SCORE))
 def p3(spark, sf):
     m = stored_model(spark, sf, WIDE)
-    df = scoring.score_fm(impressions(spark, sf), SPARSE, DENSE, m.vocab, m.table, WIDE, KERNEL, bias=-0.05, sizes=m.sizes)
+    df = scoring.score_fm(impressions(spark, sf), SPARSE, DENSE, m.lookup, WIDE, KERNEL, bias=-0.05)
     return row_with(df, score=F.col("score"))
 
 
@@ -587,7 +587,7 @@ def p3_long(spark, sf):
     """The same score through the shuffled plan used when a table is too large to broadcast."""
     m = stored_model(spark, sf, WIDE)
     df = scoring.score_fm(
-        impressions(spark, sf), SPARSE, DENSE, m.vocab, m.table, WIDE, KERNEL, bias=-0.05, sizes=m.sizes, plan="long", key=KEY
+        impressions(spark, sf), SPARSE, DENSE, m.lookup, WIDE, KERNEL, bias=-0.05, plan="long", key=KEY
     )
     return row_with(df, score=F.col("score"))
 
@@ -637,7 +637,7 @@ def p2(spark, sf):
 def p4(spark, sf):
     m = stored_model(spark, sf, WIDE)
     df = scoring.score_deep_fm(
-        impressions(spark, sf), SPARSE, DENSE, m.vocab, m.table, WIDE, KERNEL, TOWER8, TK8, sizes=m.sizes
+        impressions(spark, sf), SPARSE, DENSE, m.lookup, WIDE, KERNEL, TOWER8, TK8
     )
     return row_with(df, score=F.col("score"))
 
@@ -646,7 +646,7 @@ def p4(spark, sf):
 def p5_att(spark, sf):
     m = stored_model(spark, sf, D)
     df = scoring.score_attentional(
-        impressions(spark, sf), SPARSE, DENSE, m.vocab, m.table, KERNEL, ATT_W, ATT_B, ATT_H, ATT_P, sizes=m.sizes
+        impressions(spark, sf), SPARSE, DENSE, m.lookup, KERNEL, ATT_W, ATT_B, ATT_H, ATT_P
     )
     return row_with(df, score=F.col("score"))
 
@@ -654,14 +654,14 @@ def p5_att(spark, sf):
 @register("p5_field_weighted_scoring", select_sql(D, score=sig(f"{LINEAR_SQL} + {FW_SQL}")))
 def p5_fw(spark, sf):
     m = stored_model(spark, sf, D)
-    df = scoring.score_field_weighted(impressions(spark, sf), SPARSE, DENSE, m.vocab, m.table, KERNEL, STRENGTH, sizes=m.sizes)
+    df = scoring.score_field_weighted(impressions(spark, sf), SPARSE, DENSE, m.lookup, KERNEL, STRENGTH)
     return row_with(df, score=F.col("score"))
 
 
 @register("p5_region_scoring", select_sql(2 * REGIONS, score=_region_sql()))
 def p5_regions(spark, sf):
     m = stored_model(spark, sf, 2 * REGIONS)
-    df = scoring.score_regions(impressions(spark, sf), SPARSE, m.vocab, m.table, REGIONS, sizes=m.sizes)
+    df = scoring.score_regions(impressions(spark, sf), SPARSE, m.lookup, REGIONS)
     return row_with(df, score=F.col("score"))
 
 
@@ -758,7 +758,7 @@ def _recipe(name: str):
         df = impressions(spark, sf).withColumns({n: F.col(c) / s for n, c, s in zip(SCALED, DENSE, SCALES)})
         if "field_aware" in RECIPES[name].deep:
             df = apply_vocabulary(df, m.vocab, SPARSE, "__id", sizes=m.sizes)
-        df = emb.attach(df, SPARSE, m.vocab, m.table, sizes=m.sizes)
+        df = emb.attach(df, SPARSE, m.lookup)
         return row_with(score_recipe(df, name, _recipe_parts(name, spark, sf)), score=F.col("score"))
 
     return run
@@ -796,18 +796,19 @@ _tctes, _tlogits, _tsrc = _task_logits()
 def p7(spark, sf):
     m = stored_model(spark, sf, D)
     df = impressions(spark, sf).withColumns({n: F.col(c) / s for n, c, s in zip(SCALED, DENSE, SCALES)})
-    out = scoring.score_tasks(df, SPARSE, SCALED, m.vocab, m.table, TASK_SHARED, TASK_TOWERS, TASK_KERNELS, sizes=m.sizes)
+    out = scoring.score_tasks(df, SPARSE, SCALED, m.lookup, TASK_SHARED, TASK_TOWERS, TASK_KERNELS)
     return row_with(out, ctr=F.col("ctr"), cvr=F.col("cvr"), ctcvr=F.col("ctcvr"))
 
 
-_lin3 = "l_quantity*0.02e0 + l_discount*3e0 - o_totalprice*0.000002e0"
+W3 = [0.0213717, 3.1415926, -2.2360679e-6]
+_lin3 = " + ".join(f"{c}*{lit(w)}" for c, w in zip(DENSE, W3))
 
 
 @register("p1_batched_predict", f"SELECT {ROW_SQL}, {r6(sig(_lin3))} AS score FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def p1(spark, sf):
     import numpy as np
 
-    w = np.array([0.02, 3.0, -0.000002])
+    w = np.array(W3)
     df = read(spark, sf, "lineitem").join(read(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     out = scoring.predict_batches(df, ROW, DENSE, lambda m: 1.0 / (1.0 + np.exp(-(m @ w))))
     return row_with(out, score=F.col("score"))
@@ -816,9 +817,7 @@ def p1(spark, sf):
 @register("p9_user_model_scoring", f"SELECT {ROW_SQL}, {r6(_lin3)} AS score FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
 def p9(spark, sf):
     def load():
-        import numpy as np
-
-        w = np.array([0.02, 3.0, -0.000002])
+        w = W3
         return lambda q, d, t: q * w[0] + d * w[1] + t * w[2]
 
     df = read(spark, sf, "lineitem").join(read(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # fixed values: the fields of the click model on the test tables
 SPARSE = ["p_brand", "p_type", "c_mktsegment", "o_orderpriority", "o_orderstatus", "n_name"]
@@ -16,8 +17,15 @@ GROUPS = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """The file's schema is read once; later scans declare it and start no footer job."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def impressions(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:

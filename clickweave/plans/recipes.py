@@ -83,16 +83,16 @@ def _block(name: str, p: Parts) -> Column:
     if name == "bi":
         return X.bi_interaction(v, p.dim)
     if name == "inner":
-        return F.array(*X.inner_products(v))
+        return F.array(*X.inner_products(v, p.dim))
     if name == "outer":
-        return F.array(*X.outer_products(v, c["outer"], c.get("outer_kind", "mat")))
+        return F.array(*X.outer_products(v, c["outer"], c.get("outer_kind", "mat"), p.dim))
     if name == "embedded_pairs":
         return F.col("_embedded")
     if name == "bilinear":
-        return F.concat(*X.bilinear(v, c["bilinear"], c.get("bilinear_kind", "interaction")))
+        return F.concat(*X.bilinear(v, c["bilinear"], c.get("bilinear_kind", "interaction"), p.dim))
     if name == "squeezed_bilinear":
         s = [F.col(f"_s{i}") for i in range(len(v))]
-        return F.concat(*X.bilinear(s, c["squeezed"], c.get("bilinear_kind", "interaction")))
+        return F.concat(*X.bilinear(s, c["squeezed"], c.get("bilinear_kind", "interaction"), p.dim))
     if name == "log":
         return X.log_transform(v, c["log_w"], c["log_b"], p.dim, c.get("log_norm_in"), c.get("log_norm_out"))
     if name == "field_aware":
@@ -110,7 +110,7 @@ def _prepare(df: DataFrame, r: Recipe, p: Parts) -> DataFrame:
     """Columns that several stages read, each evaluated once."""
     used = {*r.deep, *r.beside, *r.terms}
     if used & {"embedded_pairs", "embedded"}:
-        df = df.withColumn("_embedded", F.array(*X.field_embedded(_vectors(p), p.weights["embedded"])))
+        df = df.withColumn("_embedded", F.array(*X.field_embedded(_vectors(p), p.weights["embedded"], p.dim)))
     if "squeezed_bilinear" in used:
         df = df.withColumn("_sq", X.squeeze_weights(_vectors(p), p.weights["squeeze1"], p.weights["squeeze2"], p.dim))
         df = df.withColumns({f"_s{i}": c for i, c in enumerate(X.reweight(_vectors(p), F.col("_sq")))})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.operators import interactions as X
-from clickweave.operators.embedding import attach
+from clickweave.operators.embedding import Lookup, attach
 
 
 def vectors(fields: Sequence[str]) -> list[Column]:
@@ -23,8 +23,7 @@ def score_fm(
     df: DataFrame,
     fields: list[str],
     numbers: list[str],
-    vocab: DataFrame,
-    table: DataFrame,
+    lookup: Lookup,
     dim: int,
     kernel: Sequence[float],
     bias: float = 0.0,
@@ -33,7 +32,7 @@ def score_fm(
     **how,
 ) -> DataFrame:
     """Linear + second-order score. Without fields it is a linear score of the numbers."""
-    met = attach(df, fields, vocab, table, **how) if fields else df
+    met = attach(df, fields, lookup, **how) if fields else df
     first = X.linear_logit(weights(fields), [F.col(c) for c in numbers], kernel)
     second = X.fm_second_order(vectors(fields), dim) if len(fields) > 1 else None
     drop = [f"{f}__{x}" for f in fields for x in "wv"]
@@ -69,7 +68,7 @@ def user_model(make, return_type: str = "double", batch_size: int = 256):
 
 
 def score_deep_fm(
-    df: DataFrame, fields: list[str], numbers: list[str], vocab: DataFrame, table: DataFrame, dim: int,
+    df: DataFrame, fields: list[str], numbers: list[str], lookup: Lookup, dim: int,
     kernel: Sequence[float], tower, tower_kernel: Sequence[float], bias: float = 0.0, task: str = "binary",
     out: str = "score", **how,
 ) -> DataFrame:
@@ -77,7 +76,7 @@ def score_deep_fm(
     from clickweave.functions.towers import tower_logit
     from clickweave.operators.embedding import deep_input
 
-    met = attach(df, fields, vocab, table, **how)
+    met = attach(df, fields, lookup, **how)
     nums = [F.col(c) for c in numbers]
     wide = X.linear_logit(weights(fields), nums, kernel) + X.fm_second_order(vectors(fields), dim)
     # the JVM sum is taken before the Arrow call, so that vectors are not carried past it
@@ -86,37 +85,37 @@ def score_deep_fm(
     return ready.withColumn(out, X.predict_head(X.logit_sum(F.col("_wide"), deep), task, bias)).drop("_wide", "_in")
 
 
-def score_attentional(df, fields, numbers, vocab, table, kernel, w, b, h, projection, bias=0.0, task="binary", out="score", **how):
-    met = attach(df, fields, vocab, table, **how)
-    met = met.withColumn("_pairs", X.pair_products(vectors(fields)))
+def score_attentional(df, fields, numbers, lookup: Lookup, kernel, w, b, h, projection, bias=0.0, task="binary", out="score", **how):
+    met = attach(df, fields, lookup, **how)
+    met = met.withColumn("_pairs", X.pair_products(vectors(fields), len(projection)))
     met = met.withColumn("_att", X.pair_attention(F.col("_pairs"), w, b, h))
     first = X.linear_logit(weights(fields), [F.col(c) for c in numbers], kernel)
     second = X.attentional_fm(F.col("_pairs"), F.col("_att"), projection)
     return met.select(*df.columns, X.predict_head(first + second, task, bias).alias(out))
 
 
-def score_field_weighted(df, fields, numbers, vocab, table, kernel, strength, bias=0.0, task="binary", out="score", **how):
-    met = attach(df, fields, vocab, table, **how)
+def score_field_weighted(df, fields, numbers, lookup: Lookup, kernel, strength, dim: int | None = None, bias=0.0, task="binary", out="score", **how):
+    met = attach(df, fields, lookup, **how)
     first = X.linear_logit(weights(fields), [F.col(c) for c in numbers], kernel)
-    logit = first + X.field_weighted(vectors(fields), strength)
+    logit = first + X.field_weighted(vectors(fields), strength, dim)
     return met.select(*df.columns, X.predict_head(logit, task, bias).alias(out))
 
 
-def score_regions(df, fields, vocab, table, regions: int, task="binary", out="score", **how):
+def score_regions(df, fields, lookup: Lookup, regions: int, task="binary", out="score", **how):
     """``table.vec`` holds region weights, then learner weights, one of each per region."""
-    met = attach(df, fields, vocab, table, **how)
+    met = attach(df, fields, lookup, **how)
     at = lambda r: X.linear_logit([F.col(f"{f}__v").getItem(r) for f in fields])
     region = [at(r) for r in range(regions)]
     learner = [at(regions + r) for r in range(regions)]
     return met.select(*df.columns, X.region_mixture(region, learner, task).alias(out))
 
 
-def score_tasks(df, fields, numbers, vocab, table, shared, towers, kernels, names=("ctr", "cvr"), product: str | None = "ctcvr", **how):
+def score_tasks(df, fields, numbers, lookup: Lookup, shared, towers, kernels, names=("ctr", "cvr"), product: str | None = "ctcvr", **how):
     """One score per task; ``product`` names the product of the first two, if wanted."""
     from clickweave.functions.towers import task_scores
     from clickweave.operators.embedding import deep_input
 
-    met = attach(df, fields, vocab, table, **how)
+    met = attach(df, fields, lookup, **how)
     ready = met.select(*df.columns, deep_input(vectors(fields), [F.col(c) for c in numbers]).alias("_in"))
     scored = ready.withColumn("_t", task_scores(shared, towers, kernels, names)(F.col("_in")))
     out = scored.select(*df.columns, *[X.predict_head(F.col(f"_t.{n}")).alias(n) for n in names])
