@@ -7,7 +7,7 @@ depend on each other once the errors are known, so the fold is exact in parallel
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,7 @@ from clickweave.functions.scalars import log_loss_term, sigmoid
 from clickweave.functions.vectors import total
 from clickweave.operators.blocks import ordered_blocks
 from clickweave.operators.embedding import seeded_normal
-from clickweave.operators.joins import lookup_join
+from clickweave.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 from clickweave.operators.prepare import long_form
 from clickweave.scratch import pin
 from clickweave.streaming.state import BIAS, LearnerState
@@ -63,9 +63,9 @@ def initial_factors(key: Column, s: FtrlSettings) -> Column:
     return F.transform(dims, lambda d: seeded_normal(s.seed, key, d) * s.std)
 
 
-def with_state(features: DataFrame, state: DataFrame, s: FtrlSettings) -> DataFrame:
+def with_state(features: DataFrame, state: DataFrame, s: FtrlSettings, fits: bool | None = None) -> DataFrame:
     """Add the state of each key; unseen keys get zero weight and seeded factors."""
-    met = lookup_join(features.withColumnRenamed("feature", "key"), state, ["key"], VALUES)
+    met = lookup_join(features.withColumnRenamed("feature", "key"), state, ["key"], VALUES, fits=fits)
     zero = F.lit(0.0)
     fresh = F.array_repeat(zero, s.k)
     return met.withColumns(
@@ -80,9 +80,9 @@ def with_state(features: DataFrame, state: DataFrame, s: FtrlSettings) -> DataFr
     )
 
 
-def keys_with_state(features: DataFrame, state: DataFrame, s: FtrlSettings) -> DataFrame:
+def keys_with_state(features: DataFrame, state: DataFrame, s: FtrlSettings, fits: bool | None = None) -> DataFrame:
     """State of the distinct keys of a batch, new keys included: one row per key."""
-    return with_state(features.select("feature").distinct(), state, s)
+    return with_state(features.select("feature").distinct(), state, s, fits)
 
 
 def bias_of(state: DataFrame) -> dict[str, float]:
@@ -90,7 +90,9 @@ def bias_of(state: DataFrame) -> dict[str, float]:
     return {"w": 0.0, "z": 0.0, "n": 0.0} if row is None else row.asDict()
 
 
-def predict(features: DataFrame, keys: DataFrame, row: Sequence[str], bias: float, s: FtrlSettings) -> DataFrame:
+def predict(
+    features: DataFrame, keys: DataFrame, row: Sequence[str], bias: float, s: FtrlSettings, fits: bool | None = None
+) -> DataFrame:
     """``row..., p`` from ``features(row..., feature, x)`` and the state of their keys.
 
     The default keeps the learner's own second-order term, which has no cross
@@ -101,12 +103,12 @@ def predict(features: DataFrame, keys: DataFrame, row: Sequence[str], bias: floa
         # the per-key term is computed once per key, not once per row
         q = total(F.transform(F.col("v"), lambda a: a * a))
         values = values.withColumn("q", q).select("feature", "w", (0.5 * (F.col("q") - F.col("q") * F.col("q"))).alias("c"))
-        met = lookup_join(features, values, ["feature"], ["w", "c"])
+        met = lookup_join(features, values, ["feature"], ["w", "c"], fits=fits)
         scored = met.groupBy(*row).agg(F.sum((F.col("w") + F.col("c")) * F.col("x")).alias("_s"))
         return scored.select(*row, sigmoid(F.lit(bias) + F.col("_s")).alias("p"))
     if s.cross != "fm":
         raise ValueError("cross must be self or fm")
-    met = lookup_join(features, values, ["feature"], ["w", "v"])
+    met = lookup_join(features, values, ["feature"], ["w", "v"], fits=fits)
     vx = [F.col("v").getItem(d) * F.col("x") for d in range(s.k)]
     sums = met.groupBy(*row).agg(
         F.sum(F.col("w") * F.col("x")).alias("_lin"),
@@ -172,17 +174,28 @@ def closed_form_weights(pairs: DataFrame, keys: DataFrame, s: FtrlSettings) -> D
     return keys.join(sums, ["key"]).select("key", (z / (F.lit(s.beta) + F.sqrt(n))).alias("w"), z.alias("z"), n.alias("n"))
 
 
-def update(batch: DataFrame, state: DataFrame, rows: Rows, s: FtrlSettings) -> tuple[DataFrame, DataFrame]:
-    """``(new state of the touched keys, scored rows(seq, y, p))`` for one batch."""
+def update(
+    batch: DataFrame, state_of: Callable[[DataFrame, bool | None], DataFrame], rows: Rows, s: FtrlSettings
+) -> tuple[DataFrame, DataFrame]:
+    """``(new state of the touched keys, scored rows(seq, y, p))`` for one batch.
+
+    ``state_of(keys, fits)`` returns the stored state of the given keys. A batch
+    of n rows touches at most n x fields keys, so small batches are known to fit a
+    broadcast without counting; for larger ones the keys are counted.
+    """
     spark = batch.sparkSession
     batch = pin(batch.select(rows.seq, *rows.texts, *rows.numbers, rows.label), "batch")
+    n_rows = batch.count()
+    fits = True if n_rows * (len(rows.texts) + len(rows.numbers)) < BROADCAST_ROWS else None
     features = long_form(batch, [rows.seq], rows.texts, rows.numbers, s.sep)
-    keys = pin(keys_with_state(features, state, s), "keys")
-    bias = bias_of(state)
-    p = predict(features, keys, [rows.seq], bias["w"], s)
-    scored = pin(
-        batch.select(rows.seq, F.col(rows.label).cast("double").alias("y")).join(p, [rows.seq]), "scored"
-    )
+    wanted = features.select("feature").distinct().unionByName(spark.createDataFrame([(BIAS,)], "feature string"))
+    known = state_of(wanted.select(F.col("feature").alias("key")), fits)
+    every = pin(keys_with_state(wanted, known, s, fits), "keys")
+    bias, keys = bias_of(every), every.where(F.col("key") != BIAS)
+    if fits is None:
+        fits = fits_broadcast(keys)
+    p = predict(features, keys, [rows.seq], bias["w"], s, fits)
+    scored = pin(batch.select(rows.seq, F.col(rows.label).cast("double").alias("y")).join(p, [rows.seq]), "scored")
     errors = scored.select(rows.seq, (F.col("y") - F.col("p")).alias("e"))
     pairs = features.join(errors, [rows.seq]).select(
         F.col("feature").alias("key"), F.col(rows.seq).alias("seq"), "x", "e"
@@ -190,10 +203,10 @@ def update(batch: DataFrame, state: DataFrame, rows: Rows, s: FtrlSettings) -> t
     if s.l1 == 0 and s.l2 == 0:
         w, z, n = closed_form_bias(scored, bias, s)
         bias_row = spark.createDataFrame([(BIAS, w, z, float(n), [], [], float(n))], _schema())
-        return fold_in_rounds(pairs, keys, scored.count(), s).unionByName(bias_row), scored
+        return fold_in_rounds(pairs, keys, n_rows, s).unionByName(bias_row), scored
     bias_start = spark.createDataFrame([(BIAS, bias["w"], bias["z"], bias["n"], [], [], bias["n"])], _schema())
     bias_pairs = errors.select(F.lit(BIAS).alias("key"), F.col(rows.seq).alias("seq"), F.lit(1.0).alias("x"), "e")
-    return fold_in_rounds(pairs.unionByName(bias_pairs), keys.unionByName(bias_start), scored.count(), s), scored
+    return fold_in_rounds(pairs.unionByName(bias_pairs), keys.unionByName(bias_start), n_rows, s), scored
 
 
 def _schema() -> str:
@@ -224,11 +237,7 @@ def fold_in_rounds(pairs: DataFrame, keys: DataFrame, batch_rows: int, s: FtrlSe
 
 def learn_batch(batch: DataFrame, batch_id: int, store: LearnerState, rows: Rows, s: FtrlSettings) -> float:
     """Update the stored state with one batch and return its loss before the update."""
-    texts = long_form(batch, [rows.seq], rows.texts, rows.numbers, s.sep).select(F.col("feature").alias("key")).distinct()
-    bias_key = batch.sparkSession.createDataFrame([(BIAS,)], "key string")
-    touched = pin(texts.unionByName(bias_key), "touched")
-    state = pin(store.as_of(batch_id, touched), "state")
-    new, scored = update(batch, state, rows, s)
+    new, scored = update(batch, lambda keys, fits: store.as_of(batch_id, keys, fits), rows, s)
     store.write(batch_id, new)
     return scored.agg(F.avg(log_loss_term(F.col("y"), F.col("p")))).first()[0]
 

@@ -36,15 +36,16 @@ class LearnerState:
         row = self._read("base").where(F.col("version") < before).agg(F.max("version")).first()
         return -1 if row[0] is None else row[0]
 
-    def as_of(self, before: int, keys: DataFrame | None = None) -> DataFrame:
-        """Newest value of each key among versions below ``before``."""
+    def as_of(self, before: int, keys: DataFrame | None = None, fits: bool | None = None) -> DataFrame:
+        """Newest value of each key among versions below ``before``; ``fits`` if ``keys`` are known to be few."""
         base = self.base_version(before)
         rows = self._read("base").where(F.col("version") == base)
         deltas = self._read("delta").where((F.col("version") > base) & (F.col("version") < before))
         every = rows.unionByName(deltas)
         if keys is not None:
             small = keys.select("key")
-            every = every.join(F.broadcast(small) if fits_broadcast(small) else small, ["key"], "left_semi")
+            fits = fits_broadcast(small) if fits is None else fits
+            every = every.join(F.broadcast(small) if fits else small, ["key"], "left_semi")
         cols = ["w", "z", "n", "v", "zf", "nf"]
         newest = every.groupBy("key").agg(F.max_by(F.struct(*cols), "version").alias("s"))
         return newest.select("key", *[F.col(f"s.{c}").alias(c) for c in cols])
