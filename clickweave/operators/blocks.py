@@ -85,8 +85,16 @@ def global_rank(
 
 
 def key_at(df: DataFrame, order: list[str], position: int) -> tuple | None:
-    """The order key found at a 0-based global position; only key columns move."""
-    keys = df.select(*order)
-    ranked = global_rank(keys, [F.col(c) for c in order], "_rank")
-    row = ranked.where(F.col("_rank") == position).select(*order).first()
-    return tuple(row) if row is not None else None
+    """The order key found at a 0-based global position.
+
+    Only key columns are sorted. One count per block tells which block holds the
+    position, and only that block is read again.
+    """
+    blocked = ordered_blocks(df.select(*order), [F.col(c) for c in order])
+    before = 0
+    for r in blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("n")).orderBy("_block").collect():
+        if position < before + r["n"]:
+            here = (F.col("_block") == r["_block"]) & (F.col("_pos") == position - before)
+            return tuple(blocked.where(here).select(*order).first())
+        before += r["n"]
+    return None

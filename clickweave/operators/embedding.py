@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.vectors import literal
 from clickweave.operators.encode import as_text, long_fields, vocabulary_sizes
-from clickweave.operators.joins import BROADCAST_ROWS, keyed_lookup, lookup_join, missing_keys
+from clickweave.operators.joins import keyed_lookup, lookup_join, missing_keys, row_limit
 from clickweave.scratch import pin
 
 
@@ -58,7 +58,7 @@ def from_vectors(df: DataFrame, name: str, id_col: str, vec_col: str) -> DataFra
 
 
 def lookup(
-    df: DataFrame, id_col: str, table: DataFrame, feature: str, prefix: str, limit: int = BROADCAST_ROWS,
+    df: DataFrame, id_col: str, table: DataFrame, feature: str, prefix: str, limit: int | None = None,
     fits: bool | None = None,
 ) -> DataFrame:
     """Add ``<prefix>__w`` and ``<prefix>__v`` for one id column; several columns may share one table."""
@@ -94,6 +94,10 @@ class Lookup:
     sizes: dict[str, int]
     spare: dict[str, tuple[float, list[float]]]
 
+    @property
+    def dim(self) -> int:
+        return max((len(v) for _, v in self.spare.values()), default=64)
+
 
 def compose(vocab: DataFrame, table: DataFrame, sizes: dict[str, int] | None = None) -> Lookup:
     """Both sides are small next to the facts, so the facts later meet one table, not two."""
@@ -110,7 +114,7 @@ def attach(
     fields: list[str],
     lookup: Lookup,
     key: list[str] | None = None,
-    limit: int = BROADCAST_ROWS,
+    limit: int | None = None,
     plan: str = "auto",
 ) -> DataFrame:
     """Raw categories to ``<field>__w`` and ``<field>__v``, one lookup per field.
@@ -120,6 +124,7 @@ def attach(
     skew-safe join and are gathered again per ``key`` (one entry per declared field).
     """
     if plan == "auto":
+        limit = row_limit(64 + 8 * lookup.dim) if limit is None else limit
         plan = "wide" if all(lookup.sizes.get(f, 0) <= limit for f in fields) else "long"
     if plan == "wide":
         return _attach_wide(df, fields, lookup)
@@ -172,7 +177,7 @@ def deep_input(vectors: list[Column], numbers: list[Column]) -> Column:
 
 
 def pair_lookup(
-    df: DataFrame, fields: list[str], table: DataFrame, fits: bool | None = None, limit: int = BROADCAST_ROWS
+    df: DataFrame, fields: list[str], table: DataFrame, fits: bool | None = None, limit: int | None = None
 ) -> DataFrame:
     """Field-aware vectors: ``<i>__for__<j>`` from ``table(feature, other, idx, vec)``, ids in ``<i>``.
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: a lookup side is broadcast up to this many rows; the most
+# fixed values: a lookup side is broadcast up to this many rows and bytes; the most
 # frequent keys above HOT_ROWS rows are treated apart, at most HOT_KEYS of them
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 << 20
 HOT_ROWS = 100_000
 HOT_KEYS = 512
 SALTS = 512
@@ -19,7 +20,20 @@ def row_count_up_to(df: DataFrame, limit: int) -> int | None:
     return n if n <= limit else None
 
 
-def fits_broadcast(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+def row_limit(row_bytes: int) -> int:
+    """Rows of this width that may be broadcast."""
+    return min(BROADCAST_ROWS, BROADCAST_BYTES // max(1, row_bytes))
+
+
+def row_bytes(table: DataFrame, array_length: int = 64) -> int:
+    """Width of a row from its schema; arrays of unknown length count as ``array_length`` numbers."""
+    width = {"array": 8 * array_length, "string": 40, "struct": 8 * array_length, "map": 8 * array_length}
+    return 16 + sum(width.get(t.split("<")[0], 8) for _, t in table.dtypes)
+
+
+def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
+    """Counted, not guessed: true when rows times width stay below both bounds."""
+    limit = row_limit(row_bytes(table)) if limit is None else limit
     return row_count_up_to(table, limit) is not None
 
 
@@ -39,7 +53,7 @@ def lookup_join(
     on: list[str],
     values: list[str],
     fits: bool | None = None,
-    limit: int = BROADCAST_ROWS,
+    limit: int | None = None,
 ) -> DataFrame:
     """Left join ``facts`` with ``table`` (unique on ``on``), adding ``values``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.vectors import let, scale, softmax, total
 from clickweave.operators.blocks import global_rank
-from clickweave.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join, row_count_up_to
+from clickweave.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join, row_count_up_to, row_limit
 from clickweave.scratch import pin
 
 # fixed values: guard against division by zero, and the mask of a maximum
@@ -116,7 +116,7 @@ def pool(
         raise ValueError(f"unknown pooling mode {mode}")
     one = table.select(F.col("idx").cast("bigint").alias("_id"), F.col("vec").alias("_vec"))
     if fits is None:
-        fits = fits_broadcast(one)
+        fits = fits_broadcast(one, row_limit(16 + 8 * dim))
     if fits and maxlen is not None and maxlen <= WIDE_POSITIONS:
         return _pool_wide(df, ids, one, dim, mode, length, weights, out, empty_max, maxlen)
     met = lookup_join(_positions(df, key, ids, length, weights), one, ["_id"], ["_vec"], fits=fits)

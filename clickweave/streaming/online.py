@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import log_loss_term, sigmoid
-from clickweave.functions.vectors import total
+from clickweave.functions.vectors import let, total
 from clickweave.operators.blocks import ordered_blocks
 from clickweave.operators.embedding import seeded_normal
 from clickweave.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
@@ -138,15 +138,16 @@ def _step(a: Column, g: Column, s: FtrlSettings) -> Column:
     n = a["n"] + 1.0
     nf = a["nf"] + 1.0
     rate = beta + F.sqrt(nf)
-    zf = F.zip_with(a["zf"], a["v"], lambda f, v: f + ge * v)
-    if s.l1:
-        v = F.zip_with(zf, a["v"], lambda f, v: (f - l1 * F.signum(v)) / rate)
-    else:
-        v = F.transform(zf, lambda f: f / rate)
-    return F.struct(
-        ((z - pull) / (beta + F.sqrt(n))).alias("w"), z.alias("z"), n.alias("n"), v.alias("v"), zf.alias("zf"),
-        nf.alias("nf"),
-    )
+    def result(zf: Column) -> Column:
+        if s.l1:
+            v = F.zip_with(zf, a["v"], lambda f, v: (f - l1 * F.signum(v)) / rate)
+        else:
+            v = F.transform(zf, lambda f: f / rate)
+        w = (z - pull) / (beta + F.sqrt(n))
+        return F.struct(*[c.alias(k) for k, c in zip(VALUES, (w, z, n, v, zf, nf))])
+
+    # the summed factor gradients are needed twice: bound to a variable, evaluated once
+    return let(F.zip_with(a["zf"], a["v"], lambda f, v: f + ge * v), result)
 
 
 def fold(pairs: DataFrame, keys: DataFrame, s: FtrlSettings) -> DataFrame:
