@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # expressions of wide models have hundreds of nodes; do not record a call site for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
