@@ -18,7 +18,15 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def block_count(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """``clickweave.blocks`` of the session, else enough blocks for every core.
+
+    Set it so that a block of the sorted table fits a task (rows / 10 million, say).
+    """
+    spark = df.sparkSession
+    asked = spark.conf.get("clickweave.blocks", None)
+    if asked:
+        return int(asked)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def ordered_blocks(df: DataFrame, order: list[Column], blocks: int | None = None) -> DataFrame:
