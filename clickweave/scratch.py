@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_roots: dict[str, str] = {}
 
 
@@ -31,5 +33,11 @@ def pin(df: DataFrame, name: str = "t") -> DataFrame:
     """Write once to shared storage and read back: short lineage, real size statistics."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
+    # the written table replaces the shuffles behind it; their files may go when the write ends
+    was = spark.conf.get(CLEANUP, None)
+    try:
+        spark.conf.set(CLEANUP, "true")
+        df.write.mode("error").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, was) if was is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
