@@ -35,9 +35,9 @@ from clickweave.llm.common import column, texts, utf8, words_of
 from clickweave.scratch import pin
 
 SHINGLE, PERCENT = 4, 85
-#: Signatures of at most so many sets are paired across components; words that a worker remembers;
+#: Signatures of at most so many sets are compared across components in one row; words that a worker remembers;
 #: bits of the table that preselects rows (a fixed size; it lets false ones pass, which joins remove).
-SMALL, STORE, TABLE_BITS = 24, 400_000, 27
+SMALL, STORE, TABLE_BITS = 256, 400_000, 27
 SEEN = 200_000
 
 _U = np.uint64
@@ -194,12 +194,15 @@ def _set_rows(batches: Iterator[pa.RecordBatch], n: int, only) -> Iterator[pa.Re
             if len(s):
                 d1, d2 = digest(s)
                 if _in_table(np.array([d1], np.int64), only.value)[0] and _new(seen, d1):
-                    rows.append((d1, d2, s.view(np.int64)))
+                    profile = np.minimum(np.bincount((s >> _U(57)).astype(np.int64), minlength=128), 65535)
+                    rows.append((d1, d2, s.view(np.int64), len(s), profile.astype("<u2").tobytes()))
         yield pa.RecordBatch.from_pydict(
             {
                 "d1": pa.array([r[0] for r in rows], pa.int64()),
                 "d2": pa.array([r[1] for r in rows], pa.int64()),
                 "shingles": pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                "size": pa.array([r[3] for r in rows], pa.int64()),
+                "profile": pa.array([r[4] for r in rows], pa.binary()),
             }
         )
 
@@ -241,25 +244,61 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= union * percent).select("a", "b")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """node and label (the smallest node reachable); labels spread along links and jump to their label's label."""
-    edges = pin(links.union(links.select("b", "a")).toDF("u", "v"), "edges")
-    labels = pin(nodes.select("node", F.col("node").alias("label")), "labels")
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges as stars around their smallest ends, in both directions; as much at once as memory allows."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def stars() -> pa.RecordBatch:
+        ends = [(n, root(n)) for n in list(parent)]
+        both = [e for n, r in ends if n != r for e in ((n, r), (r, n))]
+        parent.clear()
+        return pa.RecordBatch.from_pydict({k: pa.array([e[i] for e in both], pa.int64()) for i, k in enumerate("uv")})
+
+    for batch in batches:
+        for u, v in zip(column(batch, "u").to_pylist(), column(batch, "v").to_pylist()):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+        if len(parent) > STORE:
+            yield stars()
+    yield stars()
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after ``links``: the smallest node reachable.
+
+    Links are first drawn between labels, so a round works on what is not yet connected. Each task makes
+    stars of its share; over these, labels spread and jump to their label's label until nothing changes.
+    """
+    la, lb = labels.toDF("a", "la"), labels.toDF("b", "lb")
+    ends = lambda x, y: F.struct(F.col(x).alias("u"), F.col(y).alias("v"))
+    edges = links.join(la, "a").join(lb, "b").where("la <> lb")
+    edges = pin(edges.select(F.explode(F.array(ends("la", "lb"), ends("lb", "la"))).alias("e")).select("e.*").distinct(), "edges")
+    edges = pin(edges.mapInArrow(_contracted, "u long, v long").distinct(), "edges")
+    now = edges.select("u").distinct().select(F.col("u").alias("node"), F.col("u").alias("label"))
     while True:
-        near = edges.join(labels.withColumnRenamed("node", "u"), "u").groupBy("v").agg(F.min("label").alias("near"))
-        step = labels.join(near.withColumnRenamed("v", "node"), "node", "left")
-        step = step.select("node", F.least("label", F.coalesce("near", "label")).alias("new"), F.col("label").alias("was"))
-        step = pin(step, "labels")
-        jump = step.select(F.col("node").alias("new"), F.col("new").alias("further"))
-        new = pin(step.join(jump, "new").select("node", F.col("further").alias("label"), "was"), "labels")
-        if new.where(F.col("label") != F.col("was")).isEmpty():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+        near = edges.join(now.toDF("u", "near"), "u").groupBy("v").agg(F.min("near").alias("near"))
+        step = now.join(near.withColumnRenamed("v", "node"), "node")
+        step = step.select("node", F.least("label", "near").alias("next"), F.col("label").alias("was"))
+        jump = step.select(F.col("node").alias("next"), F.col("next").alias("label"))
+        now_ = pin(step.join(jump, "next").select("node", "label", "was"), "labels")
+        done = now_.where("label <> was").isEmpty()
+        now = now_.select("node", "label")
+        if done:
+            break
+    change = now.toDF("label", "to")
+    return pin(labels.join(change, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """sig, node, label of the signatures that still have sets of several components."""
-    rows = pin(members.join(labels, "node"), "members")
+    """sig, node, label, n of the signatures that still have sets of several components."""
+    rows = members.join(labels, "node")
     mixed = rows.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
     mixed = mixed.where(F.col("x") < F.col("y")).select("sig", "n")
     return pin(rows.join(mixed, "sig"), "open")
@@ -272,13 +311,38 @@ def _star(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = rows.join(hub, "sig")
     other = F.col("label") != F.col("hub.label")
     pairs = met.where(other).select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
-    return pairs, met.where(F.col("node") != F.col("hub.node")).select("sig", "node")
+    return pairs.distinct(), met.where(F.col("node") != F.col("hub.node")).select("sig", "node")
+
 
+def _near_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a signature's few sets, of different components, that size and profile do not rule out.
 
-def _small_pairs(rows: DataFrame) -> DataFrame:
-    left = rows.select("sig", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = rows.select("sig", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return left.join(right, "sig").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))).select("a", "b")
+    Two sets' profiles (elements by cell of the hash) differ in all by at most the number of elements
+    the sets differ by, so a larger difference than linked sets can have excludes the pair for sure.
+    """
+    for batch in batches:
+        found = set()
+        for members in column(batch, "members"):
+            own = members.values
+            node, label = (own.field(k).to_numpy() for k in ("node", "label"))
+            profile = np.frombuffer(b"".join(own.field("profile").to_pylist()), "<u2").reshape(len(node), -1).astype(np.int32)
+            size = own.field("size").to_numpy()
+            for i in range(len(node) - 1):
+                total = size[i] + size[i + 1 :]
+                apart = np.abs(profile[i + 1 :] - profile[i]).sum(axis=1)
+                may = (label[i + 1 :] != label[i]) & (apart * (100 + percent) <= (100 - percent) * total)
+                for j in np.flatnonzero(may):
+                    a, b = int(node[i]), int(node[i + 1 + j])
+                    found.add((min(a, b), max(a, b)))
+        pairs = sorted(found)
+        yield pa.RecordBatch.from_pydict({k: pa.array([x[i] for x in pairs], pa.int64()) for i, k in enumerate("ab")})
+
+
+def _small_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates of the signatures with at most ``SMALL`` sets; such a group is one bounded row."""
+    wide = rows.join(sets.select("node", "size", "profile"), "node")
+    groups = wide.groupBy("sig").agg(F.collect_list(F.struct("node", "label", "size", "profile")).alias("members"))
+    return groups.select("members").mapInArrow(partial(_near_pairs, percent=percent), "a long, b long").distinct()
 
 
 def _refined(rows: DataFrame, sets: DataFrame, percent: int, seed: int) -> DataFrame:
@@ -287,16 +351,16 @@ def _refined(rows: DataFrame, sets: DataFrame, percent: int, seed: int) -> DataF
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts: list[int] = []
         for batch in batches:
-            sig, node = [], []
-            for s, n, old in zip(column(batch, "shingles"), column(batch, "node").to_pylist(), column(batch, "sig").to_pylist()):
+            for s, n, old in zip(column(batch, "shingles"), column(batch, "node").to_pylist(), column(batch, "sigs").to_pylist()):
                 own = signatures(np.array(s.values).astype(np.int64).view(np.uint64), percent, starts, seed)
-                sig.append(_mix(own + _salt(old)))
-                node.append(np.full(len(own), n, np.int64))
-            out = _two(sig, node)
-            yield pa.RecordBatch.from_arrays([out.column(0), out.column(1)], names=["sig", "node"])
+                for part in np.array_split(np.array(old, np.int64), max(1, len(old) // 64)):
+                    sig = np.concatenate([_mix(own + _salt(o)) for o in part.tolist()])
+                    out = _two([sig], [np.full(len(sig), n, np.int64)])
+                    yield pa.RecordBatch.from_arrays([out.column(0), out.column(1)], names=["sig", "node"])
 
-    joined = rows.select("sig", "node").join(sets.select("node", "shingles"), "node")
-    return joined.mapInArrow(again, "sig long, node long").distinct()
+    # a set is in as many crowded signatures as it has parts, which its own size bounds
+    own = rows.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
+    return own.join(sets.select("node", "shingles"), "node").mapInArrow(again, "sig long, node long")
 
 
 def links_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -320,32 +384,33 @@ def links_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple
     two = shared.where("n = 2").select("a", "b").distinct()
     wanted = pin(two.select(F.explode(F.array("a", "b")).alias("d1")).union(members.select("d1")).distinct(), "wanted")
     table = bit_table(wanted, "d1")
-    sets = text.mapInArrow(partial(_set_rows, n=n, only=table), "d1 long, d2 long, shingles array<long>")
-    sets = sets.join(wanted, "d1", "left_semi").groupBy("d1", "d2").agg(F.first("shingles").alias("shingles"))
+    sets = text.mapInArrow(partial(_set_rows, n=n, only=table), "d1 long, d2 long, shingles array<long>, size long, profile binary")
+    sets = sets.join(wanted, "d1", "left_semi").groupBy("d1", "d2").agg(*[F.first(c).alias(c) for c in ("shingles", "size", "profile")])
     sets = pin(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     key = sets.select("node", "d1")
     pairs = two.join(key.toDF("x", "a"), "a").join(key.toDF("y", "b"), "b")
-    links = pin(verified(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), sets, percent), "links")
-    labels = components(sets.select("node"), links)
-    open_ = _open(members.join(key, "d1").select("sig", "node"), labels)
-    seed = round_ = 0
-    while not open_.isEmpty():
-        round_ += 1
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    labels = pin(key.select("node", F.col("node").alias("label")), "labels")
+    open_ = _open(pin(members.join(key, "d1").select("sig", "node"), "members"), labels)
+    star, open_members = _star(open_)
+    links = pin(verified(pairs.union(star), sets, percent), "links")
+    labels = merged(labels, links)
+    round_ = 1
+    while True:
+        open_ = _open(open_members, labels)
         crowd = open_.where(F.col("n") > SMALL)
-        small = open_.where(F.col("n") <= SMALL)
-        if crowd.isEmpty():
-            pairs, stay = _small_pairs(small), None
-        elif round_ % 3:
-            pairs, stay = _star(open_)
+        crowded_ = not crowd.isEmpty()
+        if crowded_ and round_ % 3:
+            pairs, open_members = _star(open_)
         else:
-            seed += 1
-            pairs, stay = _small_pairs(small), pin(_refined(crowd, sets, percent, seed), "refined")
+            pairs = _small_pairs(open_.where(F.col("n") <= SMALL), sets, percent)
+            open_members = pin(_refined(crowd, sets, percent, round_), "refined") if crowded_ else None
         more = pin(verified(pairs, sets, percent), "links")
-        links = pin(links.union(more).distinct(), "links")
-        labels = components(sets.select("node"), links)
-        if stay is None:
+        links = links.union(more)
+        labels = merged(labels, more)
+        round_ += 1
+        if open_members is None:
             break
-        open_ = _open(stay, labels)
     return documents, sets.select("node", "d1", "d2").join(labels, "node"), links
 
 
