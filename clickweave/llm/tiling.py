@@ -205,15 +205,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH,
     return out
 
 
+def _holds_none(items: Items, least: int, percent: int):
+    @F.pandas_udf("boolean")
+    def test(column: pd.Series) -> pd.Series:
+        return pd.Series([not items.matches(t or "", least, percent) for t in column], dtype=bool)
+
+    return test
+
+
 def is_clean(text: Column, benchmark: DataFrame, least: int = MIN_MATCH, percent: int = PERCENT) -> Column:
     """Condition that no item contaminates the text."""
     clean = F.lit(True)
     for items in slices(benchmark, least):
-
-        def test(column: pd.Series, items: Items = items) -> pd.Series:
-            return pd.Series([not items.matches(t or "", least, percent) for t in column], dtype=bool)
-
-        clean = clean & F.pandas_udf(test, "boolean")(text)
+        clean = clean & _holds_none(items, least, percent)(text)
     return clean
 
 
