@@ -58,6 +58,9 @@ def apply_vocabulary(
     fields with more classes than ``limit`` take the shuffled lookup.
     """
     sizes = sizes or vocabulary_sizes(vocab)
+    unknown = [f for f in fields if f not in sizes]
+    if sizes and unknown:
+        raise ValueError(f"the encoder was not fitted on {unknown}")
     out, ids = df, {}
     for i, f in enumerate(fields):
         n = sizes.get(f, 0)

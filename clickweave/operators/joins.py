@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# fixed values: a lookup side is broadcast up to this many rows and bytes; the most
-# frequent keys above HOT_ROWS rows are treated apart, at most HOT_KEYS of them
+# fixed values: a lookup side is broadcast up to this many rows and bytes; keys above
+# HOT_ROWS rows and above one HOT_SHARE-th of all rows are treated apart
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 128 << 20
 HOT_ROWS = 100_000
-HOT_KEYS = 512
-SALTS = 512
+HOT_SHARE = 1 << 14
 
 
 def row_count_up_to(df: DataFrame, limit: int) -> int | None:
@@ -38,13 +40,18 @@ def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
 
 
 def hot_keys(facts: DataFrame, on: list[str], least: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys with more than ``least`` rows, at most ``HOT_KEYS``.
+    """Every key with more than ``least`` rows and more than ``1 / HOT_SHARE`` of all rows.
 
-    Counts combine on the map side, so the pre-pass moves one row per key and
-    task. A key outside this set holds less than ``1 / HOT_KEYS`` of the rows.
+    The share bounds their number below ``HOT_SHARE``, so none is left out. Counts combine on the
+    map side, so the pre-pass moves one row per key and task.
     """
-    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > least).orderBy(F.desc("_n"), *on).limit(HOT_KEYS).select(*on)
+    from clickweave.scratch import pin
+
+    seen = Observation()
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("rows"))
+    busy = pin(counts.where(F.col("_n") > least), "busy")
+    floor = (seen.get["rows"] or 0) // HOT_SHARE
+    return busy.where(F.col("_n") > floor).select(*on)
 
 
 def lookup_join(
@@ -59,7 +66,7 @@ def lookup_join(
 
     A side of checked size is broadcast and nothing is shuffled. A larger one is
     shuffled; rows with a hot key take their value from a broadcast of the hot
-    rows alone (at most ``HOT_KEYS``) and are salted over all tasks.
+    rows alone (fewer than ``HOT_SHARE``); they and rows with a null key are dealt over all tasks.
     """
     table = table.select(*on, *values)
     if fits is None:
@@ -83,15 +90,18 @@ def split_hot_join(
 
     columns = facts.columns
     hot = pin(hot_keys(facts, on, least), "hot")
-    hot_rows = table.join(F.broadcast(hot), on, "left_semi").select(
+    found = table.join(F.broadcast(hot), on, "left_semi")
+    # a hot key that the table lacks is hot all the same: its values are null
+    hot_rows = hot.join(found, on, "left").select(
         *on, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_hot")
     )
-    spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS)) + 1
-    marked = facts.join(F.broadcast(hot_rows), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0).cast("bigint"))
-    )
-    cold = table.withColumn("_salt", F.lit(0).cast("bigint"))
-    out = marked.join(cold, [*on, "_salt"], "left")
+    # rows that need nothing from the table are dealt by their number, all others have salt 0; the
+    # table computes its 0, as a constant would leave the join's keys and the exchange
+    free = F.xxhash64(F.monotonically_increasing_id())
+    settled = F.col("_hot") | reduce(or_, [F.col(c).isNull() for c in on])
+    marked = facts.join(F.broadcast(hot_rows), on, "left").withColumn("_salt", F.when(settled, free).otherwise(F.lit(0).cast("long")))
+    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("long"))
+    out = marked.join(table.withColumn("_salt", zero), [*on, "_salt"], "left")
     return out.select(
         *columns,
         *[F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values],

@@ -49,12 +49,13 @@ def roc_auc(
 
     Scores are counted first (a score shared by any number of rows is one row
     after the map side), then ordered in range blocks, so neither one score nor
-    one group is a single task. Null when a class is missing.
+    one group is a single task. Null when a class is missing; rows without a label
+    are of neither class.
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     counts = df.groupBy(*group, F.col(p).alias("_p")).agg(
         F.sum(F.when(F.col(y) == 1, w).otherwise(F.lit(0.0))).alias("_hits"),
-        F.sum(F.when(F.col(y) == 1, F.lit(0.0)).otherwise(w)).alias("_miss"),
+        F.sum(F.when(F.col(y) != 1, w).otherwise(F.lit(0.0))).alias("_miss"),
     )
     order = [F.col(g) for g in group] + [F.col("_p")]
     placed = with_prefix(ordered_blocks(counts, order, blocks), {"miss": F.col("_miss")}, list(group))

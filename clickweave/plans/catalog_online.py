@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import rounded
+from clickweave.operators.blocks import block_count, ordered_blocks
 from clickweave.operators.encode import fit_vocabulary
 from clickweave.operators.prepare import long_form
 from clickweave.plans.catalog import r6, register, sig
 from clickweave.plans.impressions import read
 from clickweave.scratch import pin, scratch_path
 from clickweave.streaming import online as O
-from clickweave.streaming.sessions import session_counts
+from clickweave.streaming.sessions import session_counts, start_sessions
 from clickweave.streaming.state import BIAS, LearnerState
 
 K = 2
@@ -178,17 +179,36 @@ def _stream(spark, path: str):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def learned(spark, sf, settings=PLAIN, files: int = 4):
-    path = _event_files(spark, sf, files)
+def _arrivals(df, order: str, steps: int, path: str):
+    """Append the rows to a folder in consecutive ranges of ``order`` and stop after each, as data arrives.
+
+    A step has many files, written by many tasks; the stream takes all new files of a step as one
+    batch, so batches do not depend on the order in which a step's files were closed.
+    """
+    n = max(block_count(df), steps)
+    blocks = ordered_blocks(df, [F.col(order)], n)
+    for step in range(steps):
+        now = blocks.where(F.floor(F.col("_block") * steps / n) == step)
+        now.drop("_block", "_pos").write.mode("append").parquet(path)
+        yield _new_files(df.sparkSession, path, df.schema)
+
+
+def _new_files(spark, path: str, schema):
+    return spark.readStream.schema(schema).parquet(path)
+
+
+def learned(spark, sf, settings=PLAIN, steps: int = 4):
     store = LearnerState(spark, scratch_path(spark, "learner"))
+    checkpoint = scratch_path(spark, "ckpt")
     losses: list = []
-    O.start_learner(_stream(spark, path), store, ROWS, settings, scratch_path(spark, "ckpt"), losses).awaitTermination()
+    for stream in _arrivals(learning_rows(spark, sf), "event_id", steps, scratch_path(spark, "stream")):
+        O.start_learner(stream, store, ROWS, settings, checkpoint, losses).awaitTermination()
     return store, losses
 
 
 @register("o8_streaming_learner")
 def o8(spark, sf):
-    """Rows only: the state after one pass over the events in micro-batches."""
+    """Rows only: the state after one pass over the events in ordered micro-batches."""
     store, _ = learned(spark, sf)
     return store.latest().select("key", "w", "z", "n", "nf")
 
@@ -224,31 +244,39 @@ def o11_predict(spark, sf):
     return O.split_columns(learning_rows(spark, sf), [*TEXTS, *NUMBERS], "y", train=False)
 
 
+_SESSIONS_SQL = """WITH g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+n AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM g)"""
+
+
+def _session_columns(sessions):
+    return sessions.select(
+        "user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n_events",
+        rounded(F.col("total"), 4).alias("total"),
+    )
+
+
 @register(
     "o12_event_time_sessions",
-    """WITH g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
-n AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS no FROM g)
+    f"""{_SESSIONS_SQL}
 SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 21600000000 AS end_us, count(*) AS n_events, round(sum(value), 4) + 0e0 AS total FROM n GROUP BY user_id, no""",
 )
 def o12(spark, sf):
-    s = session_counts(read(spark, sf, "events"), "user_id", "ts", "6 hours", "1 hour")
-    return s.select(
-        "user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n_events",
-        rounded(F.col("total"), 4).alias("total"),
-    )
+    return _session_columns(session_counts(read(spark, sf, "events"), "user_id", "ts", "6 hours", "1 hour"))
 
 
-@register("o12_streaming_sessions")
+@register(
+    "o12_streaming_sessions",
+    f"""{_SESSIONS_SQL}, s AS (SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 21600000000 AS end_us, count(*) AS n_events, round(sum(value), 4) + 0e0 AS total FROM n GROUP BY user_id, no)
+SELECT * FROM s WHERE end_us <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM events) - 3600000000""",
+)
 def o12_stream(spark, sf):
-    """Rows only: sessions closed by the watermark of an event stream read file by file."""
-    from clickweave.streaming.sessions import start_sessions
-
-    path = scratch_path(spark, "stream")
+    """Sessions that the watermark of an event stream has closed, events arriving in order of time."""
     events = read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    events.repartitionByRange(4, "ts").write.parquet(path)
-    out = scratch_path(spark, "sessions")
-    start_sessions(_stream(spark, path), "user_id", "ts", "6 hours", "1 hour", out, scratch_path(spark, "ckpt")).awaitTermination()
-    return spark.read.schema("user_id bigint, session_start timestamp, session_end timestamp, n_events bigint, total double").parquet(out)
+    out, checkpoint = scratch_path(spark, "sessions"), scratch_path(spark, "ckpt")
+    for stream in _arrivals(events, "ts", 4, scratch_path(spark, "stream")):
+        start_sessions(stream, "user_id", "ts", "6 hours", "1 hour", out, checkpoint).awaitTermination()
+    closed = spark.read.schema("user_id bigint, session_start timestamp, session_end timestamp, n_events bigint, total double").parquet(out)
+    return _session_columns(closed)
 
 
 __all__ = ["BIAS"]

@@ -10,7 +10,8 @@ from clickweave.functions.vectors import dot, total
 from clickweave.operators import embedding as emb
 from clickweave.operators import history as H
 from clickweave.operators import multivalue as M
-from clickweave.operators.encode import fit_vocabulary, vocabulary_sizes
+from clickweave.operators.encode import as_text, fit_vocabulary, vocabulary_sizes
+from clickweave.operators.joins import keyed_lookup, row_bytes, row_limit
 from clickweave.plans import scoring
 from clickweave.plans.catalog import lit, mat, nums, r6, register, sig, spark_vec, sql_cell
 from clickweave.plans.catalog_interactions import tower_ctes
@@ -37,8 +38,10 @@ def item_events(spark, sf, dim: int = D):
         table = pin(emb.formula_table(ids, ["item"], spark_vec(dim), lambda i, p: i * 0.0), "items")
         _items[key] = (vocab, table, n)
     vocab, table, n = _items[key]
-    names = vocab.select(F.col("category").alias("event_type"), (F.col("idx") + 1).alias("item"))
-    return raw.join(F.broadcast(names), "event_type"), table, n
+    names = vocab.select(F.col("category").alias("_type"), (F.col("idx") + 1).alias("item"))
+    # the vocabulary's text of a missing type is a class of its own, so no event is lost
+    events = keyed_lookup(raw, as_text(F.col("event_type")), names, "_type", ["item"], fits=n <= row_limit(row_bytes(names)))
+    return events.select(*raw.columns, "item"), table, n
 
 
 def histories(spark, sf, m: int = MAXLEN, dim: int = D):

@@ -80,20 +80,23 @@ def write_store(df: DataFrame, path: str, version: str, partition_by: Sequence[s
 
 
 def read_store(spark: SparkSession, path: str, schema: str | T.StructType, version: str | None = None) -> DataFrame:
-    """Rows of one version, the largest in text order by default."""
+    """Rows of one version; by default the newest: the largest number where all versions are numbers, else the last text."""
     want = T.StructType([*_schema(schema).fields, T.StructField("version", T.StringType())])
     df = spark.read.schema(want).parquet(path)
     if version is None:
-        version = df.agg(F.max("version")).first()[0]
+        number = F.expr("try_cast(version AS bigint)")
+        newest = F.when(F.count("version") == F.count(number), F.max_by("version", number)).otherwise(F.max("version"))
+        version = df.agg(newest).first()[0]
         if version is None:
             raise ValueError(f"no version under {path}")
     return df.where(F.col("version") == version).drop("version")
 
 
 def write_predictions(df: DataFrame, path: str, partition_by: Sequence[str] = ("dt", "hour")) -> None:
-    """Scores by date and hour, few files each.
+    """Scores by date and hour, few files each; only the partitions in ``df`` are replaced.
 
     The rebalance hint brings rows of a partition together and lets adaptive
     execution split a partition that is too large for one task.
     """
-    df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    out = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy(*partition_by).parquet(path)

@@ -150,9 +150,14 @@ def _step(a: Column, g: Column, s: FtrlSettings) -> Column:
     return let(F.zip_with(a["zf"], a["v"], lambda f, v: f + ge * v), result)
 
 
+def _taught(pairs: DataFrame) -> DataFrame:
+    """A pair without a value or an error teaches nothing."""
+    return pairs.where(F.col("x").isNotNull() & F.col("e").isNotNull())
+
+
 def fold(pairs: DataFrame, keys: DataFrame, s: FtrlSettings) -> DataFrame:
     """New state of every key in ``pairs(key, seq, x, e)``; at most ``fold_rows`` rows per key."""
-    lists = pairs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("seq", "x", "e"))).alias("_g"))
+    lists = _taught(pairs).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("seq", "x", "e"))).alias("_g"))
     start = F.struct(*[F.col(c).alias(c) for c in VALUES])
     met = keys.join(lists, ["key"])
     done = met.select("key", F.aggregate("_g", start, lambda a, g: _step(a, g, s)).alias("s"))
@@ -161,7 +166,7 @@ def fold(pairs: DataFrame, keys: DataFrame, s: FtrlSettings) -> DataFrame:
 
 def closed_form_bias(scored: DataFrame, bias: dict[str, float], s: FtrlSettings) -> tuple[float, float, float]:
     """Without l1 and l2 only the sum and the count of the errors matter."""
-    row = scored.agg(F.sum(F.col("y") - F.col("p")).alias("e"), F.count(F.lit(1)).alias("n")).first()
+    row = scored.agg(F.sum(F.col("y") - F.col("p")).alias("e"), F.count(F.col("y") - F.col("p")).alias("n")).first()
     z, n = bias["z"] + (row["e"] or 0.0), bias["n"] + row["n"]
     return (z / (s.beta + n**0.5) if row["n"] else bias["w"]), z, n
 
@@ -170,7 +175,7 @@ def closed_form_weights(pairs: DataFrame, keys: DataFrame, s: FtrlSettings) -> D
     """Weights (not factors) without l1 and l2: sums per key, combined on the map side."""
     if s.l1 or s.l2:
         raise ValueError("sums are exact only without l1 and l2")
-    sums = pairs.groupBy("key").agg(F.sum(F.col("x") * F.col("e")).alias("_g"), F.count(F.lit(1)).alias("_c"))
+    sums = _taught(pairs).groupBy("key").agg(F.sum(F.col("x") * F.col("e")).alias("_g"), F.count(F.lit(1)).alias("_c"))
     z, n = F.col("z") + F.col("_g"), F.col("n") + F.col("_c")
     return keys.join(sums, ["key"]).select("key", (z / (F.lit(s.beta) + F.sqrt(n))).alias("w"), z.alias("z"), n.alias("n"))
 
@@ -225,6 +230,8 @@ def fold_in_rounds(pairs: DataFrame, keys: DataFrame, batch_rows: int, s: FtrlSe
     """
     if batch_rows <= s.fold_rows:
         return fold(pairs, keys, s)
+    pairs = _taught(pairs)
+    keys = keys.join(pairs.select("key").distinct(), ["key"], "left_semi")  # as in a single fold: touched keys only
     rounds = -(-batch_rows // s.fold_rows)
     ranges = pin(ordered_blocks(pairs.select("seq").distinct(), [F.col("seq")], rounds).select("seq", "_block"), "ranges")
     placed = pin(pairs.join(ranges, ["seq"]), "pairs")

@@ -76,3 +76,9 @@ def test_evaluate_returns_everything(spark):
     assert got["auc"] == 0.625 and got["accuracy"] == 0.75 and got["ratio"] == pytest.approx(0.6 / 0.5)
     tasks = M.task_metrics(df.withColumn("z", 1 - F.col("y")), {"a": ("y", "p"), "b": ("z", "p")})
     assert {r["task"]: r["auc"] for r in tasks.collect()} == {"a": 0.625, "b": 0.375}
+
+
+def test_auc_leaves_out_rows_without_a_label(spark):
+    rows = [("a", 1, 0.9), ("a", None, 0.95), ("a", 0, 0.1), ("b", None, 0.5)]
+    df = spark.createDataFrame(rows, "g string, y int, p double")
+    assert {r["g"]: r["auc"] for r in M.roc_auc(df, "y", "p", ["g"]).collect()} == {"a": 1.0, "b": None}

@@ -162,3 +162,14 @@ def test_train_and_predict_rows(spark):
     df = frame(spark, data(3))
     assert O.split_columns(df, ["age"], "y").columns == ["age", "y"]
     assert O.split_columns(df, ["age"], "y", train=False).columns == ["age"]
+
+
+@pytest.mark.parametrize("fold_rows", [100, 2])
+def test_null_values_teach_nothing_and_untouched_keys_stay_away(spark, fold_rows):
+    s = O.FtrlSettings(k=2, fold_rows=fold_rows)
+    rows = [("a", 1, 1.0, 0.5), ("a", 2, None, 0.5), ("a", 3, 0.5, None), ("b", 4, None, 0.1), ("a", 5, 2.0, 0.25)]
+    pairs = spark.createDataFrame(rows, "key string, seq long, x double, e double")
+    keys = O.keys_with_state(spark.createDataFrame([("a",), ("b",), ("c",)], "feature string"), O.empty_state(spark), s)
+    got = O.fold_in_rounds(pairs, keys, len(rows), s).collect()
+    assert [(r["key"], r["z"], r["n"]) for r in got] == [("a", 1.0, 2.0)]
+    assert [(r["key"], r["z"], r["n"]) for r in O.closed_form_weights(pairs, keys, s).collect()] == [("a", 1.0, 2.0)]

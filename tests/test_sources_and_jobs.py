@@ -139,3 +139,19 @@ def test_run_log_rules(spark):
     got = TR.stop_epochs(log, "run", "epoch", "loss", 2).orderBy("epoch").collect()
     assert [r["wait"] for r in got] == [0, 0, 1, 2, 0] and [r["stopped"] for r in got] == [0, 0, 0, 1, 1]
     assert [r["best"] for r in got] == [0.9, 0.7, 0.7, 0.7, 0.6]
+
+
+def test_newest_version_is_the_largest_number(spark, tmp_path):
+    path = str(tmp_path / "s")
+    for v in ("9", "10"):
+        T.write_store(spark.createDataFrame([(int(v),)], "x int"), path, v)
+    assert [r["x"] for r in T.read_store(spark, path, "x int").collect()] == [10]
+    T.write_store(spark.createDataFrame([(1,)], "x int"), path, "a")
+    assert [r["x"] for r in T.read_store(spark, path, "x int").collect()] == [1]
+
+
+def test_predictions_of_other_hours_stay(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for hour, v in (("00", 1), ("01", 2), ("01", 3)):
+        T.write_predictions(spark.createDataFrame([("20240101", hour, v)], "dt string, hour string, v int"), path)
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 3]

@@ -152,3 +152,29 @@ def test_row_vector(spark):
     spec = FeatureSpec.of([CategoryField("a", 3), NumberField("v", 2)])
     df = spark.createDataFrame([(7, [0.5, 0.25])], "a int, v array<double>")
     assert df.select(P.row_vector(df, spec)).first()[0] == [7.0, 0.5, 0.25]
+
+
+@pytest.mark.parametrize("hot", [1, 99, None])
+def test_a_hot_key_is_dealt_over_all_tasks(spark, hot):
+    """Half of the rows share one key: in the table, missing there, or null."""
+    facts = spark.range(8000).select("id", F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise(F.col("id") % 1000).cast("int").alias("k"))
+    table = spark.range(0, 90).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    was = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(was, ("false", "-1")):
+            spark.conf.set(c, v)
+        out = split_hot_join(facts, table, ["k"], ["v"], least=100)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        rows = sorted(tuple(r) for r in out.select("id", F.coalesce("v", F.lit(-1))).collect())
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+    key = {r["id"]: r["k"] for r in facts.collect()}
+    assert rows == [(i, key[i] * 10 if key[i] is not None and key[i] < 90 else -1) for i in range(8000)]
+    assert len(sizes) > 1 and max(sizes) < 1.5 * 8000 / len(sizes)
+
+
+def test_a_field_the_encoder_does_not_know_is_an_error(spark):
+    df = spark.createDataFrame([("x", "y")], "a string, b string")
+    with pytest.raises(ValueError):
+        E.apply_vocabulary(df, E.fit_vocabulary(df, ["a"]), ["a", "b"])
