@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Separators between words in every contract of this folder: blank and 0x09-0x0D.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Text bytes that a Python worker takes at once.
+PORTION = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,5 +63,16 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def split_lines(pattern: str) -> re.Pattern:
-    return re.compile(pattern)
+def portions(batches: Iterator[pa.RecordBatch], name: str = "text", most: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of a text column; a longer text is alone in its batch.
+
+    Arrow batches are bounded by rows; what Python makes of their texts is bounded by this.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(column(batch, name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        after, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            before = int(after[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(after, before + most, side="right")))
+            yield batch.slice(start, end - start)
+            start = end

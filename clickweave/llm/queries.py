@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickweave.llm import bpe, counts, jaccard, mixing, pii, quality, rules, tiling, tokenfiles, urls
+from clickweave.llm import bpe, counts, infill, jaccard, mixing, pii, quality, rules, tiling, tokenfiles, urls
 from clickweave.llm.common import table
 from clickweave.llm.pieces import stored
 
@@ -147,6 +147,31 @@ def string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("item").alias("benchmark_item"), "covered", "item_tokens", "coverage", F.size("tiles").alias("n_tiles"))
 
 
+INFILL_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, text, length(text) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+        ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, text[1:a] AS prefix, CASE WHEN b > a THEN text[a + 1:b] ELSE '' END AS middle,
+        CASE WHEN n > b THEN text[b + 1:n] ELSE '' END AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN (b - a)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@register("op13_fill_in_middle", INFILL_SQL)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.restored_texts(infill.transformed(table(spark, sf_dir, "documents")))
+    cuts = [F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars")]
+    digests = [F.sha2(F.col(c), 256).alias(f"{n}_sha256") for c, n in (("output", "output"), ("text", "restored"))]
+    return made.select("doc_id", "n", "form", *cuts, *digests)
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
