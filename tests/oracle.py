@@ -22,6 +22,8 @@ def connect(sf: str):
 
 def _kind(s: pd.Series) -> str:
     k = s.dtype.kind
+    if k in "iu" and s.isna().any():
+        return "f"  # whole numbers with nulls are floats on one side and nullable integers on the other
     if k == "O" and len(s) and s.map(lambda v: isinstance(v, bool)).all():
         return "b"
     return {"u": "i"}.get(k, "s" if k not in "ifbM" else k)
@@ -40,6 +42,7 @@ def difference(a: pd.DataFrame, b: pd.DataFrame) -> str | None:
     for c in a.columns:
         if _kind(a[c]) != _kind(b[c]):
             return f"type of {c}: {a[c].dtype} and {b[c].dtype}"
+    a, b = (x.astype({c: "float64" for c in x if _kind(x[c]) == "f"}) for x in (a, b))
     a, b = normal(a), normal(b)
     for c in a.columns:
         same = (a[c] == b[c]) | (a[c].isna() & b[c].isna())
