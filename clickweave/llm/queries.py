@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickweave.llm import bpe, counts, infill, jaccard, mixing, pii, quality, rules, tiling, tokenfiles, urls
+from clickweave.llm import bpe, counts, infill, jaccard, mixing, pii, quality, rules, sentence, tiling, tokenfiles, urls
 from clickweave.llm.common import table
 from clickweave.llm.pieces import stored
 
@@ -147,6 +147,19 @@ def string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("item").alias("benchmark_item"), "covered", "item_tokens", "coverage", F.size("tiles").alias("n_tiles"))
 
 
+@register("op11_sentence_pieces")
+def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stored("piece_bpe_32k.model")
+    made = sentence.encoded(table(spark, sf_dir, "documents"), path)
+    return sentence.decoded(made, path, keep=["begins", "ends"]).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+        F.sha2(F.concat_ws(";", F.array_join("begins", ","), F.array_join("ends", ",")), 256).alias("spans_sha256"),
+    )
+
+
 INFILL_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 u AS (SELECT doc_id, text, length(text) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
