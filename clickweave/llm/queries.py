@@ -149,15 +149,7 @@ def string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op11_sentence_pieces")
 def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = stored("piece_bpe_32k.model")
-    made = sentence.encoded(table(spark, sf_dir, "documents"), path)
-    return sentence.decoded(made, path, keep=["begins", "ends"]).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-        F.sha2(F.concat_ws(";", F.array_join("begins", ","), F.array_join("ends", ",")), 256).alias("spans_sha256"),
-    )
+    return sentence.digested(table(spark, sf_dir, "documents"), stored("piece_bpe_32k.model"))
 
 
 INFILL_SQL = r"""

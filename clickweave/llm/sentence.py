@@ -8,7 +8,7 @@ equals, over a linked list with a queue that skips stale entries; characters wit
 A piece covers a range of normalised bytes, and the record projects that range to its span in the source.
 
 No piece of usual vocabularies has a blank after another character, so a text falls apart before each run of
-blanks and equal parts are merged once in a worker (a full store is emptied, which changes time alone). Where
+blanks, and around characters that stand in no longer piece; a worker remembers the parts it met last. Where
 a vocabulary has such pieces the whole text is one part.
 
 Defined cases: a null or empty text has no pieces and decodes to an empty text; equal rows give equal rows;
@@ -23,6 +23,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -37,7 +38,7 @@ _MARK = MARK.encode()
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Parts a worker remembers, the longest part it does, and the symbols up to which it merges without a queue.
-STORE, LONGEST, SHORT = 300_000, 48, 24
+STORE, LONGEST, SHORT = 80_000, 48, 24
 
 codecs.register_error("clickweave-each-byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -181,8 +182,12 @@ class Pieces:
         self.unknown = next(i for i, (_, _, k) in enumerate(m.pieces) if k == UNKNOWN)
         self.of_byte = {int(p[3:-1], 16): i for i, (p, _, k) in enumerate(m.pieces) if k == BYTE}
         apart = not m.mark_last and not any(MARK in p.lstrip(MARK) for p in self.id_of)
-        self.parts = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else "(?s).+")
-        self.store: dict[str, tuple[bytes, bytes]] = {}
+        # characters that stand next to another one in some piece; any other character is a part of its own
+        joining = "".join(sorted({c for p in self.id_of if len(p) > 1 for c in p if c != MARK}))
+        own = f"[{re.escape(joining)}]" if joining else "(?!)"
+        self.parts = re.compile(f"(?s){MARK}*{own}+|{MARK}+|." if apart else "(?s).+")
+        self.recent: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         said = {UNKNOWN: lambda p: m.unknown_text.encode(), CONTROL: lambda p: b"", BYTE: lambda p: bytes([int(p[3:-1], 16)])}
         self.text_of = [said.get(k, lambda p: p.replace(MARK, " ").encode())(p) for p, _, k in m.pieces]
         self.kind_of = [k for _, _, k in m.pieces]
@@ -326,34 +331,35 @@ class Pieces:
             out = [x for s in out for x in made_of.get(s, (s,))]
         return out
 
-    def _part(self, part: str) -> tuple[bytes, bytes]:
-        """Ids of a part and the normalised bytes that each covers, packed."""
-        ids, sizes = [], []
+    def _part(self, part: str) -> bytes:
+        """Ids of a part, and after each the number of normalised bytes that it covers, packed."""
+        out = []
         for s in self.merge(part):
-            i, size = self.final.get(s) or (self.unknown, len(s.encode()))
-            if i == self.unknown and self.model.byte_fallback:
-                ids += [self.of_byte[b] for b in s.encode()]
-                sizes += [0] * (size - 1) + [size]  # the last byte stands for the character
+            one = self.final.get(s) or (self.unknown, len(s.encode()))
+            if one[0] == self.unknown and self.model.byte_fallback:
+                for b in s.encode():
+                    out += (self.of_byte[b], 0)
+                out[-1] = one[1]  # the last byte stands for the character
             else:
-                ids.append(i)
-                sizes.append(size)
-        return struct.pack(f"<{len(ids)}i", *ids), struct.pack(f"<{len(ids)}i", *sizes)
+                out += one
+        return struct.pack(f"<{len(out)}i", *out)
+
+    def _known(self, part: str) -> bytes:
+        """As ``_part``, remembered: of the last ``STORE`` new parts and the ``STORE`` before them, those met again stay."""
+        one = self.earlier.get(part) or self._part(part)
+        if len(part) <= LONGEST:
+            if len(self.recent) >= STORE:
+                self.earlier, self.recent = self.recent, {}
+            self.recent[part] = one
+        return one
 
     def encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the begin and end of each piece's span in the source's bytes."""
         said, source = self.normalised(text)
-        known, found = self.store, []
-        for part in self.parts.findall(said.decode()):
-            one = known.get(part)
-            if one is None:
-                one = self._part(part)
-                if len(part) <= LONGEST:
-                    if len(known) >= STORE:
-                        known.clear()
-                    known[part] = one
-            found.append(one)
-        ids = np.frombuffer(b"".join([f[0] for f in found]), "<i4")
-        ends = np.cumsum(np.frombuffer(b"".join([f[1] for f in found]), "<i4"), dtype=np.int64)
+        known = self.recent.get
+        packed = b"".join([known(part) or self._known(part) for part in self.parts.findall(said.decode())])
+        ids, sizes = np.frombuffer(packed, "<i4").reshape(-1, 2).T
+        ends = np.cumsum(sizes, dtype=np.int64)
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         if not self.model.byte_fallback and len(ids) > 1:  # a run of unknown pieces is one
             same = (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)
@@ -407,6 +413,31 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     return texts(rows).mapInArrow(run, "doc_id long, ids array<int>, begins array<int>, ends array<int>")
 
 
+def digested(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, and digests of the ids, of their spans and of the text they decode to, in one pass.
+
+    The ids are digested in decimal with commas between them; the spans as all begins, a semicolon and all ends.
+    """
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string"
+
+    def digest(numbers: list[int]) -> str:
+        return ",".join(map(str, numbers))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = load(path)
+        for batch in portions(batches):
+            rows = []
+            for text in utf8(batch):
+                ids, begins, ends = (x.tolist() for x in pieces.encode(text))
+                said = digest(ids), pieces.decode(ids), digest(begins) + ";" + digest(ends)
+                rows.append((len(ids), *(sha256(x.encode()).hexdigest() for x in said)))
+            cols = [pa.array(c, pa.string() if k else pa.int64()) for k, c in enumerate(list(zip(*rows)) or [[]] * 4)]
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), *cols], names=[f.split()[0] for f in schema.split(", ")])
+
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+    return texts(rows).mapInArrow(run, schema)
+
+
 def decoded(made: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
     """doc_id, ids, the columns ``keep`` and the decoded text; null ids give an empty text."""
     rows = made.select("doc_id", "ids", *(keep or []))

@@ -116,7 +116,12 @@ def test_query_columns(spark):
     assert sorted([(x.doc_id, x.ids, sha(x.text)) for x in found], key=str) == sorted(want, key=str)
     for x in made.collect():
         assert len(x.ids) == len(x.begins) == len(x.ends) and all(a <= b for a, b in zip(x.begins, x.ends))
+    both = sorted([(x.doc_id, x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in sentence.digested(docs, FILE).collect()], key=str)
+    assert both == sorted([(i, len(ids), sha(",".join(map(str, ids))), text) for i, ids, text in want], key=str)
+    spans = {x.doc_id: sha(",".join(map(str, x.begins)) + ";" + ",".join(map(str, x.ends))) for x in made.where("doc_id > 1").collect()}
+    assert {x.doc_id: x.spans_sha256 for x in sentence.digested(docs.where("doc_id > 1"), FILE).collect()} == spans
     none = spark.createDataFrame([], "doc_id long, text string")
     assert sentence.decoded(sentence.encoded(none, FILE), FILE).count() == 0
+    assert sentence.digested(none, FILE).count() == 0
     gone = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert [tuple(x) for x in sentence.decoded(gone, FILE).collect()] == [(1, None, "")]
