@@ -8,8 +8,8 @@ equals, over a linked list with a queue that skips stale entries; characters wit
 A piece covers a range of normalised bytes, and the record projects that range to its span in the source.
 
 No piece of usual vocabularies has a blank after another character, so a text falls apart before each run of
-blanks, and around characters that stand in no longer piece; a worker remembers the parts it met last. Where
-a vocabulary has such pieces the whole text is one part.
+blanks, and around characters that stand in no longer piece; each distinct part of a batch is merged once, short
+ones side by side as rows of a matrix. Where a vocabulary has such pieces the whole text is one part.
 
 Defined cases: a null or empty text has no pieces and decodes to an empty text; equal rows give equal rows;
 null ids stay; an empty table gives an empty result; other columns stay behind.
@@ -20,7 +20,7 @@ from __future__ import annotations
 import codecs
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from hashlib import sha256
@@ -37,8 +37,8 @@ MARK = "▁"
 _MARK = MARK.encode()
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Parts a worker remembers, the longest part it does, and the symbols up to which it merges without a queue.
-STORE, LONGEST, SHORT = 80_000, 48, 24
+#: Length up to which parts are merged side by side.
+LONGEST = 48
 
 codecs.register_error("clickweave-each-byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -159,6 +159,81 @@ class CharMap:
         return best[0], self.targets[best[1] : self.targets.index(b"\0", best[1])]
 
 
+class MergeTable:
+    """Merges many short parts side by side: parts of one length are rows of a matrix, and each row that has
+    a pair to merge merges its best one a round, so the matrix gets one column narrower each time."""
+
+    def __init__(self, id_of: dict[str, int], rank: dict[str, int]):
+        letters = {ord(p): i for p, i in id_of.items() if len(p) == 1}
+        self.base = max(id_of.values(), default=0) + 1
+        narrow = np.int32 if self.base * self.base < 1 << 31 else np.int64
+        self.letter = np.full(max(letters, default=0) + 2, -1, narrow)
+        self.letter[list(letters)] = list(letters.values())
+        self.none = len(id_of)
+        self.sizes = np.zeros(self.base, np.int64)
+        pairs = {}
+        for p, i in id_of.items():
+            self.sizes[i] = len(p.encode())
+            for cut in range(1, len(p)):
+                a, b = id_of.get(p[:cut]), id_of.get(p[cut:])
+                if a is not None and b is not None:
+                    pairs[a * self.base + b] = rank[p], i
+        # pairs of ids in order, and at the end one that no ids make
+        self.keys = np.array([*sorted(pairs), self.base * self.base], narrow)
+        self.ranks, self.made = np.array([*(pairs[k] for k in sorted(pairs)), (self.none, -1)], narrow).T.copy()
+
+    def _find(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs, and whether they are there."""
+        pair = a * self.base + b
+        at = np.searchsorted(self.keys, pair)
+        return at, self.keys[at] == pair
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        at, there = self._find(a, b)
+        return np.where(there, self.ranks[at], self.none)
+
+    def merge_all(self, parts: Iterable[str]) -> dict[str, bytes]:
+        """Packed ids and sizes of the parts whose letters all have pieces; longer or other ones are left out."""
+        by_length: dict[int, list[str]] = {}
+        for p in parts:
+            if len(p) <= LONGEST:
+                by_length.setdefault(len(p), []).append(p)
+        out: dict[str, bytes] = {}
+        for n, own in by_length.items():
+            code = np.frombuffer("".join(own).encode("utf-32-le"), "<u4").reshape(-1, n)
+            ids = self.letter[np.minimum(code, len(self.letter) - 1)]
+            whole = (ids >= 0).all(axis=1)
+            self._merge(ids[whole], [p for p, w in zip(own, whole.tolist()) if w], out)
+        return out
+
+    def _merge(self, ids: np.ndarray, names: list[str], out: dict[str, bytes]) -> None:
+        of = np.arange(len(names))
+        ranks = self._rank(ids[:, :-1], ids[:, 1:])
+        while len(of):
+            at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(of), np.int64)
+            best = ranks[np.arange(len(of)), at] if ranks.shape[1] else np.full(len(of), self.none)
+            ready = best == self.none
+            if ready.any():
+                both = np.empty((int(ready.sum()), 2 * ids.shape[1]), "<i4")
+                both[:, ::2] = done = ids[ready]
+                both[:, 1::2] = self.sizes[done]
+                blob, width = both.tobytes(), 8 * ids.shape[1]
+                out.update(zip([names[i] for i in of[ready].tolist()], [blob[k : k + width] for k in range(0, len(blob), width)]))
+                ids, ranks, of, at = (x[~ready] for x in (ids, ranks, of, at))
+            row, n = np.arange(len(of)), ids.shape[1] - 1
+            if not len(of):
+                break
+            column_ = np.arange(n)
+            made = self.made[self._find(ids[row, at], ids[row, at + 1])[0]]
+            ids = np.take_along_axis(ids, column_ + (column_ > at[:, None]), axis=1)
+            ids[row, at] = made
+            ranks = np.take_along_axis(ranks, (c := column_[:-1]) + (c >= at[:, None]), axis=1)
+            has = at < n - 1
+            ranks[row[has], at[has]] = self._rank(ids[row[has], at[has]], ids[row[has], at[has] + 1])
+            has = at > 0
+            ranks[row[has], at[has] - 1] = self._rank(ids[row[has], at[has] - 1], ids[row[has], at[has]])
+
+
 class Pieces:
     """A model made ready: normaliser, merges and decoder."""
 
@@ -186,8 +261,7 @@ class Pieces:
         joining = "".join(sorted({c for p in self.id_of if len(p) > 1 for c in p if c != MARK}))
         own = f"[{re.escape(joining)}]" if joining else "(?!)"
         self.parts = re.compile(f"(?s){MARK}*{own}+|{MARK}+|." if apart else "(?s).+")
-        self.recent: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
+        self.table = None if self.users or self.unused else MergeTable(self.id_of, self.rank)
         said = {UNKNOWN: lambda p: m.unknown_text.encode(), CONTROL: lambda p: b"", BYTE: lambda p: bytes([int(p[3:-1], 16)])}
         self.text_of = [said.get(k, lambda p: p.replace(MARK, " ").encode())(p) for p, _, k in m.pieces]
         self.kind_of = [k for _, _, k in m.pieces]
@@ -273,29 +347,8 @@ class Pieces:
         return out + list(part[at:]), frozen
 
     def merge(self, part: str) -> list[str]:
-        """Best-scored neighbours first, leftmost of equals."""
+        """Best-scored neighbours first, leftmost of equals; a queue entry is rank times length plus place."""
         symbols, frozen = self._symbols(part)
-        if len(symbols) <= SHORT and not frozen and not self.unused:
-            return self._merge_short(symbols)
-        return self._merge_queued(symbols, frozen)
-
-    def _merge_short(self, symbols: list[str]) -> list[str]:
-        """For a few symbols a look over all ranks is quicker than a queue."""
-        rank_of, none = self.rank.get, len(self.rank)
-        ranks = [rank_of(a + b, none) for a, b in zip(symbols, symbols[1:])]
-        while ranks and (best := min(ranks)) < none:
-            i = ranks.index(best)
-            whole = symbols[i] + symbols.pop(i + 1)
-            symbols[i] = whole
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank_of(whole + symbols[i + 1], none)
-            if i:
-                ranks[i - 1] = rank_of(symbols[i - 1] + whole, none)
-        return symbols
-
-    def _merge_queued(self, symbols: list[str], frozen: set[int] | frozenset[int]) -> list[str]:
-        """A linked list and a queue, whose entries are rank times length plus place."""
         n, rank_of = len(symbols), self.rank.get
         now = [rank_of(a + b, -1) for a, b in zip(symbols, symbols[1:])] + [-1]
         for i in frozen:
@@ -344,21 +397,22 @@ class Pieces:
                 out += one
         return struct.pack(f"<{len(out)}i", *out)
 
-    def _known(self, part: str) -> bytes:
-        """As ``_part``, remembered: of the last ``STORE`` new parts and the ``STORE`` before them, those met again stay."""
-        one = self.earlier.get(part) or self._part(part)
-        if len(part) <= LONGEST:
-            if len(self.recent) >= STORE:
-                self.earlier, self.recent = self.recent, {}
-            self.recent[part] = one
-        return one
+    def encode_all(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text its ids, and the begin and end of each piece's span in the source's bytes."""
+        normal = [self.normalised(t) for t in texts]
+        parts = [self.parts.findall(said.decode()) for said, _ in normal]
+        distinct = set().union(*parts)
+        known = self.table.merge_all(distinct) if self.table else {}
+        for part in distinct - known.keys():
+            known[part] = self._part(part)
+        packed = known.__getitem__
+        return [self._spans(list(map(packed, own)), source) for own, (_, source) in zip(parts, normal)]
 
     def encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and the begin and end of each piece's span in the source's bytes."""
-        said, source = self.normalised(text)
-        known = self.recent.get
-        packed = b"".join([known(part) or self._known(part) for part in self.parts.findall(said.decode())])
-        ids, sizes = np.frombuffer(packed, "<i4").reshape(-1, 2).T
+        return self.encode_all([text])[0]
+
+    def _spans(self, packed: list[bytes], source: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, sizes = np.frombuffer(b"".join(packed), "<i4").reshape(-1, 2).T
         ends = np.cumsum(sizes, dtype=np.int64)
         begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         if not self.model.byte_fallback and len(ids) > 1:  # a run of unknown pieces is one
@@ -405,7 +459,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
         for batch in portions(batches):
-            found = [pieces.encode(t) for t in utf8(batch)]
+            found = pieces.encode_all(utf8(batch))
             lists = {name: _lists([f[k] for f in found]) for k, name in enumerate(("ids", "begins", "ends"))}
             yield pa.RecordBatch.from_pydict({"doc_id": column(batch, "doc_id"), **lists})
 
@@ -416,21 +470,19 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 def digested(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and digests of the ids, of their spans and of the text they decode to, in one pass.
 
-    The ids are digested in decimal with commas between them; the spans as all begins, a semicolon and all ends.
+    The ids are digested in decimal with commas between them; the spans as little-endian 32-bit integers, begins first.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string"
 
-    def digest(numbers: list[int]) -> str:
-        return ",".join(map(str, numbers))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
+        decimal = list(map(str, range(len(pieces.text_of)))).__getitem__
         for batch in portions(batches):
             rows = []
-            for text in utf8(batch):
-                ids, begins, ends = (x.tolist() for x in pieces.encode(text))
-                said = digest(ids), pieces.decode(ids), digest(begins) + ";" + digest(ends)
-                rows.append((len(ids), *(sha256(x.encode()).hexdigest() for x in said)))
+            for found, begins, ends in pieces.encode_all(utf8(batch)):
+                ids = found.tolist()
+                said = ",".join(map(decimal, ids)).encode(), pieces.decode(ids).encode(), begins.tobytes() + ends.tobytes()
+                rows.append((len(ids), *(sha256(x).hexdigest() for x in said)))
             cols = [pa.array(c, pa.string() if k else pa.int64()) for k, c in enumerate(list(zip(*rows)) or [[]] * 4)]
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), *cols], names=[f.split()[0] for f in schema.split(", ")])
 

@@ -96,13 +96,13 @@ def test_any_ids_decode_as_by_the_library(name):
         assert own.decode(ids) == library.decode(ids), ids
 
 
-def test_long_parts_use_the_queue():
+def test_side_by_side_equals_the_queue():
     with open(FILE, "rb") as f:
         own = sentence.Pieces(f.read())
-    for k in range(200):
-        g = random.Random(k)
-        part = "".join(g.choice("aeinrst") for _ in range(g.randrange(1, 60)))
-        assert own._merge_short(list(part)) == own._merge_queued(list(part), frozenset())
+    parts = [("▁" if g.random() < 0.5 else "") + "".join(g.choice("aeinrst.é日") for _ in range(g.randrange(1, 60))) for g in map(random.Random, range(500))]
+    found = own.table.merge_all(parts + ["a\u1234", "\U000fffff"])
+    assert set(found) == {p for p in parts if len(p) <= sentence.LONGEST}
+    assert all(found[p] == own._part(p) for p in found)
 
 
 def test_query_columns(spark):
@@ -118,7 +118,7 @@ def test_query_columns(spark):
         assert len(x.ids) == len(x.begins) == len(x.ends) and all(a <= b for a, b in zip(x.begins, x.ends))
     both = sorted([(x.doc_id, x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in sentence.digested(docs, FILE).collect()], key=str)
     assert both == sorted([(i, len(ids), sha(",".join(map(str, ids))), text) for i, ids, text in want], key=str)
-    spans = {x.doc_id: sha(",".join(map(str, x.begins)) + ";" + ",".join(map(str, x.ends))) for x in made.where("doc_id > 1").collect()}
+    spans = {x.doc_id: hashlib.sha256(struct.pack(f"<{2 * len(x.ids)}i", *x.begins, *x.ends)).hexdigest() for x in made.where("doc_id > 1").collect()}
     assert {x.doc_id: x.spans_sha256 for x in sentence.digested(docs.where("doc_id > 1"), FILE).collect()} == spans
     none = spark.createDataFrame([], "doc_id long, text string")
     assert sentence.decoded(sentence.encoded(none, FILE), FILE).count() == 0
