@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickweave.llm import bpe, counts, infill, jaccard, mixing, pii, quality, rules, sentence, tiling, tokenfiles, urls
+from clickweave.llm import bpe, counts, infill, jaccard, mixing, negatives, pii, quality, rules, sentence, tiling, tokenfiles, urls
 from clickweave.llm.common import table
 from clickweave.llm.pieces import stored
 
@@ -152,6 +152,28 @@ def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence.digested(table(spark, sf_dir, "documents"), stored("piece_bpe_32k.model"))
 
 
+NEGATIVES_SQL = r"""
+WITH r AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, b.label = a.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.r <> b.r),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  row_number() OVER (PARTITION BY p.a, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank, n.vec_id AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON p.a = n.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+@register("op12_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 INFILL_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
 u AS (SELECT doc_id, text, length(text) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
