@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.vectors import literal
 from clickweave.operators.encode import as_text, long_fields, vocabulary_sizes
-from clickweave.operators.joins import keyed_lookup, lookup_join, missing_keys, row_limit
+from clickweave.operators.joins import broadcast_fields, fits_broadcast, keyed_lookup, lookup_join, missing_keys, row_limit
+from clickweave.operators.rows import numbered, put_back
 from clickweave.scratch import pin
 
 
@@ -109,28 +110,18 @@ def compose(vocab: DataFrame, table: DataFrame, sizes: dict[str, int] | None = N
     return Lookup(met, sizes, {r["feature"]: (r["w"], list(r["vec"])) for r in rows})
 
 
-def attach(
-    df: DataFrame,
-    fields: list[str],
-    lookup: Lookup,
-    key: list[str] | None = None,
-    limit: int | None = None,
-    plan: str = "auto",
-) -> DataFrame:
+def attach(df: DataFrame, fields: list[str], lookup: Lookup, limit: int | None = None) -> DataFrame:
     """Raw categories to ``<field>__w`` and ``<field>__v``, one lookup per field.
 
-    When every field's table passes the size check the row stays wide and nothing
-    is shuffled; otherwise the fields go to long form, meet the table in one
-    skew-safe join and are gathered again per ``key`` (one entry per declared field).
+    Fields whose tables pass the size check are looked up in the wide row and shuffle nothing. The others
+    go to long form together, meet the table in one skew-safe join and come back under the row's number.
     """
-    if plan == "auto":
-        limit = row_limit(64 + 8 * lookup.dim) if limit is None else limit
-        plan = "wide" if all(lookup.sizes.get(f, 0) <= limit for f in fields) else "long"
-    if plan == "wide":
-        return _attach_wide(df, fields, lookup)
-    if not key:
-        raise ValueError("the long plan gathers fields per row and needs a row key")
-    return _attach_long(df, fields, lookup, key)
+    limit = row_limit(64 + 8 * lookup.dim) if limit is None else limit
+    wide = broadcast_fields(lookup.sizes, fields, limit)
+    large = [f for f in fields if f not in wide]
+    out = _attach_long(df, large, lookup) if large else df
+    out = _attach_wide(out, wide, lookup) if wide else out
+    return out.select(*df.columns, *[f"{f}__{part}" for f in fields for part in "wv"])
 
 
 def _or_spare(c: Column, lookup: Lookup, feature: str, part: str) -> Column:
@@ -152,10 +143,11 @@ def _attach_wide(df: DataFrame, fields: list[str], lookup: Lookup) -> DataFrame:
     return out.select(*df.columns, *columns)
 
 
-def _attach_long(df: DataFrame, fields: list[str], lookup: Lookup, key: list[str]) -> DataFrame:
-    long = long_fields(df, fields, keep=key)
+def _attach_long(df: DataFrame, fields: list[str], lookup: Lookup) -> DataFrame:
+    rows, row = numbered(df)
+    long = long_fields(rows, fields, keep=[row])
     met = lookup_join(long, lookup.table, ["feature", "category"], ["w", "vec"], fits=False)
-    gathered = met.groupBy(*key).agg(
+    gathered = met.groupBy(row).agg(
         *[
             F.first(F.when(F.col("feature") == f, F.struct("w", "vec")), ignorenulls=True).alias(f"_{f}")
             for f in fields
@@ -165,7 +157,7 @@ def _attach_long(df: DataFrame, fields: list[str], lookup: Lookup, key: list[str
     for f in fields:
         columns.append(_or_spare(F.col(f"_{f}.w"), lookup, f, "w").alias(f"{f}__w"))
         columns.append(_or_spare(F.col(f"_{f}.vec"), lookup, f, "v").alias(f"{f}__v"))
-    return df.join(gathered.select(*key, *columns), key)
+    return put_back(rows, gathered.select(row, *columns), row)
 
 
 def deep_input(vectors: list[Column], numbers: list[Column]) -> Column:
@@ -181,19 +173,37 @@ def pair_lookup(
 ) -> DataFrame:
     """Field-aware vectors: ``<i>__for__<j>`` from ``table(feature, other, idx, vec)``, ids in ``<i>``.
 
-    All vectors of one field are first put side by side per id, so each field is
-    one lookup instead of one per ordered pair.
+    All vectors of one field are first put side by side per id, so each field is one broadcast lookup
+    instead of one per ordered pair. Larger tables take one join for all fields in long form.
     """
+    sides = table.where(F.col("feature").isin(fields) & F.col("other").isin(fields) & (F.col("feature") != F.col("other")))
+    sides = sides.groupBy("feature", F.col("idx").cast("bigint").alias("_id")).agg(
+        *[F.first(F.when(F.col("other") == o, F.col("vec")), ignorenulls=True).alias(f"_for{i}") for i, o in enumerate(fields)]
+    )
+    if fits is None:
+        fits = fits_broadcast(sides, limit)
+    if not fits:
+        return _pairs_long(df, fields, sides)
     out = df
     for f in fields:
-        others = [o for o in fields if o != f]
-        one = (
-            table.where((F.col("feature") == f) & F.col("other").isin(others))
-            .groupBy(F.col("idx").cast("bigint").alias("_id"))
-            .agg(*[F.first(F.when(F.col("other") == o, F.col("vec")), ignorenulls=True).alias(f"{f}__for__{o}") for o in others])
-        )
-        out = lookup_join(
-            out.withColumn("_id", F.col(f).cast("bigint")), one, ["_id"], [f"{f}__for__{o}" for o in others],
-            fits=fits, limit=limit,
-        ).drop("_id")
+        named = [F.col(f"_for{i}").alias(f"{f}__for__{o}") for i, o in enumerate(fields) if o != f]
+        one = sides.where(F.col("feature") == f).select("_id", *named)
+        names = [f"{f}__for__{o}" for o in fields if o != f]
+        out = lookup_join(out.withColumn("_id", F.col(f).cast("bigint")), one, ["_id"], names, fits=True).drop("_id")
     return out
+
+
+def _pairs_long(df: DataFrame, fields: list[str], sides: DataFrame) -> DataFrame:
+    rows, row = numbered(df)
+    ids = rows.select(row, *[F.col(f).cast("bigint").alias(f) for f in fields]).unpivot([row], fields, "feature", "_id")
+    others = [f"_for{i}" for i in range(len(fields))]
+    met = lookup_join(ids, sides, ["feature", "_id"], others, fits=False)
+    found = met.groupBy(row).agg(
+        *[
+            F.first(F.when(F.col("feature") == f, F.col(f"_for{i}")), ignorenulls=True).alias(f"{f}__for__{o}")
+            for f in fields
+            for i, o in enumerate(fields)
+            if o != f
+        ]
+    )
+    return put_back(rows, found, row)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import hash_bucket
 from clickweave.operators.blocks import global_rank
-from clickweave.operators.joins import BROADCAST_ROWS, keyed_lookup, lookup_join, row_count_up_to
+from clickweave.operators.joins import BROADCAST_ROWS, broadcast_fields, keyed_lookup, lookup_join, row_count_up_to
+from clickweave.operators.rows import numbered, put_back
 from clickweave.scratch import pin
 
 MISSING_TEXT = "nan"
@@ -54,25 +55,40 @@ def apply_vocabulary(
 ) -> DataFrame:
     """Replace (or add, with ``suffix``) each field by its class number; unseen and null get ``n``.
 
-    One broadcast hash join per field keeps the row wide and shuffles nothing;
-    fields with more classes than ``limit`` take the shuffled lookup.
+    One broadcast hash join per field keeps the row wide and shuffles nothing. Fields with more classes than
+    ``limit`` (or beyond four times that in all) go to long form together: one pass finds the frequent
+    classes of all of them, one skew-safe join looks them up, and they meet again under the row's number.
     """
     sizes = sizes or vocabulary_sizes(vocab)
     unknown = [f for f in fields if f not in sizes]
     if sizes and unknown:
         raise ValueError(f"the encoder was not fitted on {unknown}")
+    wide = set(broadcast_fields(sizes, fields, limit))
+    large = [f for f in fields if f not in wide]
     out, ids = df, {}
+    if large:
+        out = _looked_up_long(df, large, vocab)
     for i, f in enumerate(fields):
-        n = sizes.get(f, 0)
-        cat, idx = f"_cat{i}", f"_idx{i}"
-        table = vocab.where(F.col("feature") == f).select(F.col("category").alias(cat), F.col("idx").alias(idx))
-        out = keyed_lookup(out, as_text(F.col(f)), table, cat, [idx], fits=n <= limit)
-        ids[f + suffix] = F.coalesce(idx, F.lit(n)).cast("int").alias(f + suffix)
+        idx = f"_idx{i}" if f in wide else f"_long{large.index(f)}"
+        if f in wide:
+            table = vocab.where(F.col("feature") == f).select(F.col("category").alias(f"_cat{i}"), F.col("idx").alias(idx))
+            out = keyed_lookup(out, as_text(F.col(f)), table, f"_cat{i}", [idx], fits=True)
+        ids[f + suffix] = F.coalesce(idx, F.lit(sizes.get(f, 0))).cast("int").alias(f + suffix)
     if suffix:
         return out.select(*df.columns, *ids.values())
     return out.select(*[ids.get(c, F.col(c)) for c in df.columns])
 
 
+def _looked_up_long(df: DataFrame, fields: list[str], vocab: DataFrame) -> DataFrame:
+    """``df`` with the class number of the i-th field as ``_long<i>`` (null: unseen)."""
+    rows, row = numbered(df)
+    met = lookup_join(long_fields(rows, fields, keep=[row]), vocab, ["feature", "category"], ["idx"], fits=False)
+    found = met.groupBy(row).agg(
+        *[F.first(F.when(F.col("feature") == f, F.col("idx")), ignorenulls=True).alias(f"_long{i}") for i, f in enumerate(fields)]
+    )
+    return put_back(rows, found, row)
+
+
 def vocabulary_report(df: DataFrame, fields: list[str], hash_factor: int = 5) -> DataFrame:
     """Per encoded field: max+1, distinct count, size with unseen bucket, hash space, automatic width.
 

@@ -33,6 +33,17 @@ def row_bytes(table: DataFrame, array_length: int = 64) -> int:
     return 16 + sum(width.get(t.split("<")[0], 8) for _, t in table.dtypes)
 
 
+def broadcast_fields(sizes: dict[str, int], fields: list[str], limit: int) -> list[str]:
+    """The fields whose tables are broadcast side by side: each within ``limit`` rows, all within four times that."""
+    out, left = set(), 4 * limit
+    for f in sorted(fields, key=lambda f: sizes.get(f, 0)):
+        n = sizes.get(f, 0)
+        if n <= min(limit, left):
+            out.add(f)
+            left -= n
+    return [f for f in fields if f in out]
+
+
 def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
     """Counted, not guessed: true when rows times width stay below both bounds."""
     limit = row_limit(row_bytes(table)) if limit is None else limit

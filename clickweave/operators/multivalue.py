@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.functions.vectors import let, scale, softmax, total
+from clickweave.functions.vectors import let, total
 from clickweave.operators.blocks import global_rank
 from clickweave.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join, row_count_up_to, row_limit
+from clickweave.operators.rows import numbered, put_back
 from clickweave.scratch import pin
 
 # fixed values: guard against division by zero, and the mask of a maximum
@@ -41,13 +42,15 @@ def sequence_vocabulary(
     return ranked.select("token", F.col("idx").cast("int").alias("idx"))
 
 
-def tokens_to_ids(df: DataFrame, key: Sequence[str], tokens: str, vocab: DataFrame, out: str) -> DataFrame:
+def tokens_to_ids(df: DataFrame, tokens: str, vocab: DataFrame, out: str) -> DataFrame:
     """Array of texts to array of ids; a text without an id becomes 0. Rows without texts keep an empty array."""
-    long = df.select(*key, F.posexplode_outer(tokens).alias("_p", "token"))
+    rows, row = numbered(df)
+    long = rows.select(row, F.posexplode(tokens).alias("_p", "token"))
     met = lookup_join(long, vocab, ["token"], ["idx"])
-    entry = F.when(F.col("_p").isNotNull(), F.struct("_p", F.coalesce("idx", F.lit(0)).alias("idx")))
-    ids = met.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["idx"]).alias(out))
-    return df.join(ids, list(key))
+    entry = F.struct("_p", F.coalesce("idx", F.lit(0)).alias("idx"))
+    ids = met.groupBy(row).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["idx"]).alias(out))
+    none = F.array().cast("array<int>")
+    return put_back(rows, ids, row).withColumn(out, F.coalesce(F.col(out), none))
 
 
 def max_length(df: DataFrame, column: str) -> int:
@@ -90,18 +93,27 @@ def sequence_weights(weights: Column, valid: Column, normalise: bool = True) ->
     )
 
 
-def _positions(df: DataFrame, key: Sequence[str], ids: str, length: str | None, weights: Column | None) -> DataFrame:
-    valid = valid_by_length(F.col(ids), F.col(length)) if length else valid_by_zero(F.col(ids))
-    w = weights if weights is not None else F.transform(F.col(ids), lambda _: F.lit(1.0))
-    cells = F.transform(
-        F.arrays_zip(F.col(ids).alias("i"), valid.alias("ok"), w.alias("w")),
+def _cells(ids: Column, length: Column | None, weights: Column | None) -> Column:
+    """Array of (_id, _wt), one entry a position; masked positions have a null id."""
+    valid = valid_by_length(ids, length) if length is not None else valid_by_zero(ids)
+    w = weights if weights is not None else F.transform(ids, lambda _: F.lit(1.0))
+    return F.transform(
+        F.arrays_zip(ids.alias("i"), valid.alias("ok"), w.alias("w")),
         lambda c: F.struct(F.when(c["ok"], c["i"]).cast("bigint").alias("_id"), c["w"].alias("_wt")),
     )
-    return df.select(*key, F.inline_outer(cells))
+
+
+def _kept(ids: Column, length: Column | None, weights: Column | None, maxlen: int | None):
+    """A sequence over ``maxlen`` keeps its last values, as ``pad`` does; weights and length go with it."""
+    if maxlen is None:
+        return ids, length, weights
+    gone = F.greatest(F.size(ids) - maxlen, F.lit(0))
+    cut = lambda c: F.slice(c, gone + 1, F.lit(maxlen))
+    return cut(ids), length - gone if length is not None else None, cut(weights) if weights is not None else None
 
 
 def pool(
-    df: DataFrame, key: Sequence[str], ids: str, table: DataFrame, dim: int, mode: str = "mean", *,
+    df: DataFrame, ids: str, table: DataFrame, dim: int, mode: str = "mean", *,
     length: str | None = None, weights: Column | None = None, out: str = "pooled", empty_max: float | None = None,
     maxlen: int | None = None, fits: bool | None = None,
 ) -> DataFrame:
@@ -109,22 +121,27 @@ def pool(
 
     Short sequences against a broadcast table are looked up position by position
     in the wide row, without a shuffle. Otherwise positions are exploded, met in
-    one skew-safe join and summed per row; the map side has reduced a row to one
-    record before anything moves.
+    one skew-safe join and summed per row number; the map side has reduced a row to one
+    record before anything moves. A sequence longer than ``maxlen`` keeps its last values.
     """
     if mode not in ("sum", "mean", "max"):
         raise ValueError(f"unknown pooling mode {mode}")
     one = table.select(F.col("idx").cast("bigint").alias("_id"), F.col("vec").alias("_vec"))
     if fits is None:
         fits = fits_broadcast(one, row_limit(16 + 8 * dim))
+    kept = _kept(F.col(ids), F.col(length) if length else None, weights, maxlen)
     if fits and maxlen is not None and maxlen <= WIDE_POSITIONS:
-        return _pool_wide(df, ids, one, dim, mode, length, weights, out, empty_max, maxlen)
-    met = lookup_join(_positions(df, key, ids, length, weights), one, ["_id"], ["_vec"], fits=fits)
-    cell = [F.col("_vec").getItem(d) * F.col("_wt") for d in range(dim)]
+        return _pool_wide(df, kept, one, dim, mode, out, empty_max, maxlen)
+    rows, row = numbered(df)
+    cells = rows.select(row, F.inline(_cells(*kept)))
+    met = lookup_join(cells, one, ["_id"], ["_vec"], fits=fits)
     gather = F.max if mode == "max" else F.sum
-    sums = met.groupBy(*key).agg(*[gather(c).alias(f"_c{d}") for d, c in enumerate(cell)], F.count("_id").alias("_n"))
-    cells = [_finish(F.col(f"_c{d}"), F.col("_n"), mode, empty_max) for d in range(dim)]
-    return df.join(sums.select(*key, F.array(*cells).alias(out)), list(key))
+    sums = met.groupBy(row).agg(
+        *[gather(F.col("_vec").getItem(d) * F.col("_wt")).alias(f"_c{d}") for d in range(dim)], F.count("_id").alias("_n")
+    )
+    found = put_back(rows, sums, row)
+    done = [_finish(F.col(f"_c{d}"), F.coalesce("_n", F.lit(0)), mode, empty_max) for d in range(dim)]
+    return found.select(*df.columns, F.array(*done).alias(out))
 
 
 def _finish(c: Column, n: Column, mode: str, empty_max: float | None) -> Column:
@@ -134,17 +151,13 @@ def _finish(c: Column, n: Column, mode: str, empty_max: float | None) -> Column:
     return s / (n + F.lit(MEAN_EPS)) if mode == "mean" else s
 
 
-def _pool_wide(df, ids, one, dim, mode, length, weights, out, empty_max, maxlen) -> DataFrame:
-    cur = df
-    if weights is not None:
-        cur = cur.withColumn("_weights", weights)
+def _pool_wide(df, kept, one, dim, mode, out, empty_max, maxlen) -> DataFrame:
+    cur = df.withColumn("_cells", _cells(*kept))
     for p in range(maxlen):
-        at = F.get(F.col(ids), F.lit(p)).cast("bigint")
-        ok = (F.lit(p) < F.col(length)) if length else (at != 0)
-        cur = cur.withColumn("_id", F.when(ok, at))
-        cur = cur.join(F.broadcast(one), ["_id"], "left")
-        vec = F.col("_vec") if weights is None else scale(F.col("_vec"), F.get(F.col("_weights"), F.lit(p)))
-        cur = cur.withColumns({f"_v{p}": vec, f"_ok{p}": F.col("_id").isNotNull().cast("int")}).drop("_id", "_vec")
+        at = F.get(F.col("_cells"), F.lit(p))
+        cur = cur.withColumns({"_id": at["_id"], "_wt": at["_wt"]}).join(F.broadcast(one), ["_id"], "left")
+        vec = let(F.col("_wt"), lambda k: F.transform(F.col("_vec"), lambda x: x * k))
+        cur = cur.withColumns({f"_v{p}": vec, f"_ok{p}": F.col("_id").isNotNull().cast("int")}).drop("_id", "_wt", "_vec")
     n = sum((F.col(f"_ok{p}") for p in range(1, maxlen)), F.col("_ok0"))
     cells = []
     for d in range(dim):
@@ -154,25 +167,28 @@ def _pool_wide(df, ids, one, dim, mode, length, weights, out, empty_max, maxlen)
         else:
             c = sum((F.coalesce(x, F.lit(0.0)) for x in at[1:]), F.coalesce(at[0], F.lit(0.0)))
         cells.append(_finish(c, n, mode, empty_max))
-    tmp = [f"_v{p}" for p in range(maxlen)] + [f"_ok{p}" for p in range(maxlen)] + ["_weights"]
-    return cur.withColumn(out, F.array(*cells)).drop(*tmp)
+    return cur.select(*df.columns, F.array(*cells).alias(out))
 
 
 def pool_many(
-    df: DataFrame, key: Sequence[str], fields: dict[str, tuple[str, str]], table: DataFrame, dim: int,
+    df: DataFrame, fields: dict[str, tuple[str, str]], table: DataFrame, dim: int,
     weights: dict[str, Column] | None = None, fits: bool | None = None,
 ) -> DataFrame:
-    """Pool several sequence columns at once: one explode, one join, one aggregation.
+    """Pool several sequence columns at once: one explode, one join, one aggregation per row number.
 
     ``fields`` maps a column to (table name, mode); ``table(feature, idx, vec)``.
     """
-    weights = weights or {}
-    parts = None
-    for column, (name, _) in fields.items():
-        p = _positions(df, key, column, None, weights.get(column)).select(
-            *key, F.lit(column).alias("_column"), F.lit(name).alias("feature"), "_id", "_wt"
-        )
-        parts = p if parts is None else parts.unionByName(p)
+    rows, row = numbered(df)
+
+    def entries(column: str, name: str) -> Column:
+        """A column's positions, marked with it and with its table."""
+        marks = F.lit(column).alias("_column"), F.lit(name).alias("feature")
+        cells = _cells(F.col(column), None, (weights or {}).get(column))
+        return F.transform(cells, lambda x: F.struct(*marks, x["_id"].alias("_id"), x["_wt"].alias("_wt")))
+
+    cells = [entries(c, name) for c, (name, _) in fields.items()]
+    nothing = "array<struct<_column:string,feature:string,_id:bigint,_wt:double>>"
+    parts = rows.select(row, F.inline(F.concat(*[F.coalesce(c.cast(nothing), F.array().cast(nothing)) for c in cells])))
     one = table.select("feature", F.col("idx").cast("bigint").alias("_id"), F.col("vec").alias("_vec"))
     met = lookup_join(parts, one, ["feature", "_id"], ["_vec"], fits=fits)
     aggs = []
@@ -181,24 +197,26 @@ def pool_many(
         gather = F.max if mode == "max" else F.sum
         aggs += [gather(F.when(mine, F.col("_vec").getItem(d) * F.col("_wt"))).alias(f"{column}_{d}") for d in range(dim)]
         aggs.append(F.count(F.when(mine, F.col("_id"))).alias(f"{column}_n"))
-    sums = met.groupBy(*key).agg(*aggs)
+    sums = met.groupBy(row).agg(*aggs)
     pooled = [
         F.array(*[_finish(F.col(f"{c}_{d}"), F.col(f"{c}_n"), mode, None) for d in range(dim)]).alias(f"{c}__v")
         for c, (_, mode) in fields.items()
     ]
-    return df.join(sums.select(*key, *pooled), list(key))
+    found = put_back(rows, sums.select(row, *pooled), row)
+    # a row without any position pools nothing
+    empty = {c: F.array(*[_finish(F.lit(None).cast("double"), F.lit(0), mode, None)] * dim) for c, (_, mode) in fields.items()}
+    return found.select(*df.columns, *[F.coalesce(F.col(f"{c}__v"), empty[c]).alias(f"{c}__v") for c in fields])
 
 
-def sequence_vectors(
-    df: DataFrame, key: Sequence[str], ids: str, table: DataFrame, out: str, fits: bool | None = None
-) -> DataFrame:
+def sequence_vectors(df: DataFrame, ids: str, table: DataFrame, out: str, fits: bool | None = None) -> DataFrame:
     """Add the vectors of a padded id sequence, in position order; padding gives null entries."""
+    rows, row = numbered(df)
     one = table.select(F.col("idx").cast("bigint").alias("_id"), F.col("vec").alias("_vec"))
-    long = df.select(*key, F.posexplode_outer(F.transform(F.col(ids), lambda x: x.cast("bigint"))).alias("_p", "_id"))
+    long = rows.select(row, F.posexplode(F.transform(F.col(ids), lambda x: x.cast("bigint"))).alias("_p", "_id"))
     met = lookup_join(long, one, ["_id"], ["_vec"], fits=fits)
-    entry = F.when(F.col("_p").isNotNull(), F.struct("_p", "_vec"))
-    got = met.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_vec"]).alias(out))
-    return df.join(got, list(key))
+    got = met.groupBy(row).agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_vec"))), lambda e: e["_vec"]).alias(out))
+    none = F.array().cast(one.schema["_vec"].dataType.simpleString().join(["array<", ">"]))
+    return put_back(rows, got, row).withColumn(out, F.coalesce(F.col(out), none))
 
 
 def attention_weights(scores: Column, valid: Column, normalise: bool = False) -> Column:

@@ -403,6 +403,20 @@ def _aware_sum(a: int, b: int) -> str:
     return "+".join(f"{pair_cell(f'i{a}', a, b, d)}*{pair_cell(f'i{b}', b, a, d)}" for d in range(D))
 
 
+@register(
+    "e10_field_aware_lookup_long",
+    f"WITH {ENC}\nSELECT {ROW_SQL}, "
+    + ", ".join(f"{r6(pair_cell(f'i{a}', a, b, 0))} AS s{a}_{b}" for a in range(NF) for b in range(NF) if a != b)
+    + " FROM enc",
+)
+def e10_long(spark, sf):
+    """All fields in one shuffled join, as tables too large to broadcast need it."""
+    df = emb.pair_lookup(encoded(spark, sf), SPARSE, pair_table(spark, sf), fits=False)
+    return row_with(
+        df, **{f"s{a}_{b}": F.col(f"{SPARSE[a]}__for__{SPARSE[b]}")[0] for a in range(NF) for b in range(NF) if a != b}
+    )
+
+
 @register(
     "x18_field_aware_products",
     f"WITH {ENC}\nSELECT {ROW_SQL}, " + ", ".join(f"{r6(_aware_sum(a, b))} AS p{n}" for n, (a, b) in enumerate(PAIRS)) + " FROM enc",
@@ -586,9 +600,7 @@ def p3(spark, sf):
 def p3_long(spark, sf):
     """The same score through the shuffled plan used when a table is too large to broadcast."""
     m = stored_model(spark, sf, WIDE)
-    df = scoring.score_fm(
-        impressions(spark, sf), SPARSE, DENSE, m.lookup, WIDE, KERNEL, bias=-0.05, plan="long", key=KEY
-    )
+    df = scoring.score_fm(impressions(spark, sf), SPARSE, DENSE, m.lookup, WIDE, KERNEL, bias=-0.05, limit=0)
     return row_with(df, score=F.col("score"))
 
 

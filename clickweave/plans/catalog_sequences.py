@@ -125,7 +125,7 @@ def q3(spark, sf):
 )
 def q4(spark, sf):
     df = _tokens(spark, sf)
-    ids = M.tokens_to_ids(df, ["p_partkey"], "tokens", M.sequence_vocabulary(df, "tokens", ["p_partkey"]), "ids")
+    ids = M.tokens_to_ids(df, "tokens", M.sequence_vocabulary(df, "tokens", ["p_partkey"]), "ids")
     padded = ids.select("p_partkey", M.pad(F.col("ids"), 3).alias("c"), M.pad(F.col("ids"), 1).alias("k"))
     return padded.select("p_partkey", *[F.col("c")[p].alias(f"c{p}") for p in range(3)], F.col("k")[0].alias("kept_last"))
 
@@ -156,7 +156,7 @@ def _pool_sql(mode: str) -> str:
 def _pool(mode: str, wide: bool):
     def run(spark, sf):
         df, table, _ = histories(spark, sf)
-        out = M.pool(df, ["event_id"], "ids", table, D, mode, maxlen=MAXLEN if wide else None)
+        out = M.pool(df, "ids", table, D, mode, maxlen=MAXLEN if wide else None)
         return out.select("event_id", *[rounded(F.col("pooled")[d]).alias(f"c{d}") for d in range(D)])
 
     return run
@@ -181,7 +181,7 @@ def q7(spark, sf):
     valid = M.valid_by_zero(F.col("ids"))
     for name, soft in (("soft", True), ("raw", False)):
         df = df.withColumn(f"w_{name}", M.sequence_weights(weight, valid, soft))
-        df = M.pool(df, ["event_id"], "ids", table, D, "sum", weights=F.col(f"w_{name}"), out=name, maxlen=MAXLEN)
+        df = M.pool(df, "ids", table, D, "sum", weights=F.col(f"w_{name}"), out=name, maxlen=MAXLEN)
     return df.select("event_id", *[rounded(F.col(n)[d]).alias(f"{n}{d}") for n in ("soft", "raw") for d in range(D)])
 
 
@@ -203,7 +203,7 @@ def q8(spark, sf):
     ids = df.select(F.explode("buckets").alias("idx")).where("idx <> 0").distinct()
     other = emb.formula_table(ids.select(F.lit("bucket").alias("feature"), "idx"), ["item", "bucket"], spark_vec(D), lambda i, p: i * 0.0)
     both = table.select("feature", F.col("idx").cast("bigint").alias("idx"), "vec").unionByName(other.select("feature", "idx", "vec"))
-    out = M.pool_many(df, ["event_id"], {"ids": ("item", "mean"), "buckets": ("bucket", "sum")}, both, D)
+    out = M.pool_many(df, {"ids": ("item", "mean"), "buckets": ("bucket", "sum")}, both, D)
     return out.select(
         "event_id", *[rounded(F.col("ids__v")[d]).alias(f"m{d}") for d in range(D)],
         *[rounded(F.col("buckets__v")[d]).alias(f"s{d}") for d in range(D)],
@@ -320,7 +320,7 @@ def q12_loss(spark, sf):
 
 def _with_keys(spark, sf):
     df, table, n = histories(spark, sf)
-    df = M.sequence_vectors(df, ["event_id"], "ids", table, "keys")
+    df = M.sequence_vectors(df, "ids", table, "keys")
     return emb.lookup(df, "item", table, "item", "query", fits=n <= 500_000)
 
 

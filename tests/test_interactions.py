@@ -9,7 +9,7 @@ from clickweave.functions.towers import Tower, attention_scores, tower_logit, to
 from clickweave.functions.vectors import literal, softmax
 from clickweave.operators import embedding as emb
 from clickweave.operators import interactions as X
-from clickweave.operators.encode import fit_vocabulary
+from clickweave.operators.encode import apply_vocabulary, fit_vocabulary
 
 ROWS = [[(1.0, 2.0), (3.0, 4.0), (5.0, 6.0)], [(0.5, -1.0), (2.0, 0.25), (-3.0, 1.0)]]
 
@@ -193,12 +193,29 @@ def test_wide_and_long_attach_agree(spark):
     table = emb.formula_table(ids, ["a", "b"], lambda i, p: F.array(i * 1.0, p + 0.5), lambda i, p: i * 2.0 + p)
     lookup = emb.compose(vocab, table)
     wide = emb.attach(df, ["a", "b"], lookup)
-    long = emb.attach(df, ["a", "b"], lookup, key=["id"], plan="long")
     pick = ["id", "a__w", "a__v", "b__w", "b__v"]
-    assert wide.select(*pick).orderBy("id").collect() == long.select(*pick).orderBy("id").collect()
+    for limit in (0, 4, 6):  # both fields, one of them, none in long form
+        long = emb.attach(df, ["a", "b"], lookup, limit=limit)
+        assert long.columns == wide.columns
+        assert wide.select(*pick).orderBy("id").collect() == long.select(*pick).orderBy("id").collect()
     assert wide.where("id = 4").first()["a__v"] == [4.0, 0.5]  # unseen category takes the spare row
-    with pytest.raises(ValueError):
-        emb.attach(df, ["a"], lookup, plan="long")
+
+
+def test_attach_keeps_null_equal_and_repeated_rows(spark):
+    rows = [(1, "a", "x"), (1, "b", None), (None, "b", "x"), (None, "b", "x"), (2, None, "y"), (2, "zz", "y")]
+    df = spark.createDataFrame(rows, "id int, a string, b string").repartition(3)
+    vocab = fit_vocabulary(df.where("a <> 'zz'"), ["a", "b"])
+    ids = vocab.select("feature", "idx").unionByName(vocab.groupBy("feature").agg((F.max("idx") + 1).alias("idx")))
+    table = emb.formula_table(ids, ["a", "b"], lambda i, p: F.array(i * 1.0, p + 0.5), lambda i, p: i * 2.0 + p)
+    lookup = emb.compose(vocab, table)
+    found = [sorted(map(str, emb.attach(df, ["a", "b"], lookup, limit=n).collect())) for n in (None, 0)]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    ids = [sorted(map(str, apply_vocabulary(df, vocab, ["a", "b"], "_i", limit=n).collect())) for n in (10, 0)]
+    assert ids[0] == ids[1] and len(ids[0]) == len(rows)
+    both = spark.createDataFrame([(f, o, i, [float(i)]) for f, o in (("a", "b"), ("b", "a")) for i in range(3)], "feature string, other string, idx int, vec array<double>")
+    coded = apply_vocabulary(df, vocab, ["a", "b"])
+    pairs = [sorted(map(str, emb.pair_lookup(coded, ["a", "b"], both, fits=f).collect())) for f in (True, False)]
+    assert pairs[0] == pairs[1] and len(pairs[0]) == len(rows)
 
 
 def test_ids_out_of_range_are_found(spark):

@@ -13,7 +13,7 @@ def table(spark):
 
 
 def pooled(df, table, mode, **how):
-    return [r["pooled"] for r in M.pool(df, ["id"], "ids", table, 2, mode, **how).orderBy("id").collect()]
+    return [r["pooled"] for r in M.pool(df, "ids", table, 2, mode, **how).orderBy("id").collect()]
 
 
 def test_split_vocabulary_and_padding(spark):
@@ -21,7 +21,7 @@ def test_split_vocabulary_and_padding(spark):
     df = df.withColumn("t", M.split_values(F.col("g")))
     for rows in (10, 0):
         vocab = M.sequence_vocabulary(df, "t", ["id"], window_rows=rows)
-        ids = M.tokens_to_ids(df, ["id"], "t", vocab, "ids").orderBy("id").select(M.pad(F.col("ids"), 3)).collect()
+        ids = M.tokens_to_ids(df, "t", vocab, "ids").orderBy("id").select(M.pad(F.col("ids"), 3)).collect()
         assert [r[0] for r in ids] == [[1, 2, 0], [3, 4, 0], [2, 5, 0]]
     kept = spark.createDataFrame([([1, 2, 3, 4],), ([],)], "a array<int>").select(M.pad(F.col("a"), 3)).collect()
     assert [r[0] for r in kept] == [[2, 3, 4], [0, 0, 0]]
@@ -37,6 +37,38 @@ def test_pooling_fixtures(spark, table, maxlen):
     assert pooled(df, table, "max", maxlen=maxlen, empty_max=M.MASKED)[1] == [-1e9, -1e9]
 
 
+@pytest.mark.parametrize("mode", ["sum", "mean", "max"])
+def test_pooling_is_the_same_in_every_plan(spark, table, mode):
+    """Null and equal keys, whole equal rows, empty, null and over-long sequences."""
+    rows = [(1, [1, 2], [0.5, 2.0]), (1, [2, 0], [1.0, 1.0]), (None, [1, 1], [1.0, 3.0]), (None, [1, 1], [1.0, 3.0]), (2, [1, 2, 2], [9.0, 1.0, 1.0])]
+    rows += [(3, [], []), (4, None, None), (5, [0, 0], [1.0, 1.0]), (6, [7, 1], [1.0, 1.0]), (7, [2], [1.0])]
+    df = spark.createDataFrame(rows, "id int, ids array<int>, w array<double>").repartition(3)
+    for weights in (None, F.col("w")):
+        plans = [dict(maxlen=2), dict(maxlen=2, fits=False), dict(maxlen=2, fits=True)]
+        found = [sorted(map(str, M.pool(df, "ids", table, 2, mode, weights=weights, **how).collect())) for how in plans]
+        assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    capped = df.withColumn("n", F.size("ids"))
+    by_length = [sorted(map(str, M.pool(capped, "ids", table, 2, mode, length="n", maxlen=2, fits=f).collect())) for f in (True, False)]
+    assert by_length[0] == by_length[1]
+    one = M.pool(df.where("id = 2"), "ids", table, 2, "sum", maxlen=2).first()["pooled"]
+    assert one == [6.0, 8.0]  # the last two of three
+
+
+def test_taken_apart_rows_come_back_whole(spark, table):
+    rows = [(1, ["a", "b"]), (1, ["b"]), (None, ["zz", "a"]), (None, ["zz", "a"]), (2, []), (3, None), (4, [None, "a"])]
+    df = spark.createDataFrame(rows, "id int, t array<string>").repartition(3)
+    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "token string, idx int")
+    got = M.tokens_to_ids(df, "t", vocab, "ids")
+    want = [(i, t, [{"a": 1, "b": 2}.get(x, 0) for x in t or []]) for i, t in rows]
+    assert sorted(map(str, [tuple(r) for r in got.collect()])) == sorted(map(str, want))
+    seqs = M.sequence_vectors(got, "ids", table, "keys").select("id", "ids", "keys")
+    vec = {1: [1.0, 2.0], 2: [3.0, 4.0]}
+    assert sorted(map(str, [tuple(r) for r in seqs.collect()])) == sorted(str((i, ids, [vec.get(x) for x in ids])) for i, _, ids in want)
+    named = table.withColumn("feature", F.lit("t"))
+    many = M.pool_many(got, {"ids": ("t", "sum")}, named, 2).collect()
+    assert sorted(str(r["ids__v"]) for r in many) == sorted(str([sum(vec.get(x, [0.0, 0.0])[d] for x in ids) + 0.0 for d in (0, 1)]) for _, _, ids in want)
+
+
 def test_pooling_by_length_and_shuffled_join(spark, table):
     df = spark.createDataFrame([(0, [1, 2, 1], 2), (1, [2, 2, 2], 0)], "id int, ids array<int>, n int")
     want = [[4.0, 6.0], [0.0, 0.0]]
@@ -64,7 +96,7 @@ def test_equal_weights_under_sum_are_the_mean(spark, table):
 def test_pool_many_matches_single_pools(spark, table):
     df = spark.createDataFrame([(0, [1, 2], [2, 2]), (1, [0, 0], [1, 0])], "id int, ids array<int>, other array<int>")
     named = table.withColumn("feature", F.lit("t"))
-    got = M.pool_many(df, ["id"], {"ids": ("t", "sum"), "other": ("t", "max")}, named, 2).orderBy("id").collect()
+    got = M.pool_many(df, {"ids": ("t", "sum"), "other": ("t", "max")}, named, 2).orderBy("id").collect()
     assert [r["ids__v"] for r in got] == pooled(df, table, "sum")
     assert [r["other__v"] for r in got] == [[3.0, 4.0], [1.0, 2.0]]
 
@@ -75,7 +107,7 @@ def test_k_max(spark):
 
 def test_attention_pool_ignores_padding(spark, table):
     df = spark.createDataFrame([(0, [1, 2, 0])], "id int, ids array<int>")
-    df = M.sequence_vectors(df, ["id"], "ids", table, "keys").withColumn("s", F.expr("array(1D, 2D, 9D)"))
+    df = M.sequence_vectors(df, "ids", table, "keys").withColumn("s", F.expr("array(1D, 2D, 9D)"))
     valid = M.valid_by_zero(F.col("ids"))
     got = df.select(M.attention_pool(M.attention_weights(F.col("s"), valid), F.col("keys"), 2)).first()[0]
     assert got == [7.0, 10.0]
