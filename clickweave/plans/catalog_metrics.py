@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import rounded
 from clickweave.operators import metrics as M
-from clickweave.operators.encode import apply_vocabulary
+from clickweave.operators.embedding import attach, deep_input
 from clickweave.plans import training as TR
-from clickweave.plans.catalog import ENC, IMP, r6, register, sql_weight, stored_model, stored_vocab
+from clickweave.plans.catalog import ENC, IMP, r6, register, sql_weight, stored_model
 from clickweave.plans.impressions import DENSE, SPARSE, impressions, read
+from clickweave.scratch import pin
 
 PRED = """pr AS (SELECT l.doc_id, quality AS y, toxic AS y2, n_chars / (n_chars + 500e0) AS p, CAST(n_chars % 7 + 1 AS DOUBLE) AS wt
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
@@ -181,35 +182,46 @@ def t6_stop(spark, sf):
 
 
 def _train_table(spark, sf):
-    vocab, sizes = stored_vocab(spark, sf)
-    df = apply_vocabulary(impressions(spark, sf), vocab, SPARSE, sizes=sizes)
-    return df.withColumns({c: F.col(c) / s for c, s in zip(DENSE, (50.0, 0.1, 500000.0))})
+    return impressions(spark, sf).withColumns({c: F.col(c) / s for c, s in zip(DENSE, (50.0, 0.1, 500000.0))})
 
 
-@register("t1_linear_fit")
-def t1(spark, sf):
-    """Rows only: first-order weights per field and class from a logistic fit."""
-    model = TR.fit_linear(_train_table(spark, sf), SPARSE, DENSE, "label", iterations=10)
-    got = model.transform(_train_table(spark, sf))
-    return got.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.avg(F.element_at(_prob(got), 2)).alias("mean_p"))
-
+def _judged(got, label: str, losses: list[float]):
+    """Rows by label, and whether the fit is calibrated (within 5 %) and no worse than it began."""
+    told = got.agg(F.sum(label).alias("y"), F.sum("score").alias("p")).first()
+    by_label = got.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    near = abs(told["p"] - told["y"]) <= 0.05 * told["y"]
+    return by_label.withColumns({"calibrated": F.lit(near), "improved": F.lit(losses[-1] <= losses[0])})
 
-def _prob(df):
-    from pyspark.ml.functions import vector_to_array
 
-    return vector_to_array("probability")
+@register("t1_linear_fit", f"WITH {IMP}\nSELECT label, count(*) AS n, TRUE AS calibrated, TRUE AS improved FROM imp GROUP BY label")
+def t1(spark, sf):
+    """A logistic fit of first-order weights per class, and what it predicts."""
+    df = pin(_train_table(spark, sf), "train")
+    model = TR.fit_linear(df, SPARSE, DENSE, "label", epochs=6, step=0.01)
+    return _judged(model.transform(df), "label", model.losses)
 
 
-@register("t2_fm_fit")
+@register(
+    "t2_fm_fit",
+    f"WITH {IMP},\nu AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS category FROM imp" for c in SPARSE)
+    + ") SELECT feature, count(DISTINCT category) AS classes, 4::INTEGER AS width, TRUE AS moved, TRUE AS improved FROM u GROUP BY feature",
+)
 def t2(spark, sf):
-    """Rows only: learned factors as an embedding table."""
-    model = TR.fit_fm(_train_table(spark, sf), SPARSE, DENSE, "label", factors=4, iterations=8)
-    return TR.fm_table(spark, model, SPARSE).select("feature", "idx", "w", F.size("vec").alias("width"))
+    """Learned weights and factors: one row per class, every field moved, the loss down."""
+    model = TR.fit_fm(_train_table(spark, sf), SPARSE, DENSE, "label2", factors=4, epochs=6, step=0.01)
+    found = model.table.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("classes"), F.max(F.size("vec")).alias("width"), (F.max(F.abs("w")) > 0).alias("moved")
+    )
+    return found.withColumn("improved", F.lit(model.losses[-1] < model.losses[0]))
 
 
-@register("t3_tower_fit")
+@register("t3_tower_fit", f"WITH {IMP}\nSELECT label2, count(*) AS n, TRUE AS calibrated, TRUE AS improved FROM imp GROUP BY label2")
 def t3(spark, sf):
-    """Rows only: a small perceptron on the same table."""
-    model = TR.fit_tower(_train_table(spark, sf), SPARSE, DENSE, "label", hidden=(8,), iterations=8)
-    got = model.transform(_train_table(spark, sf))
-    return got.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("mean_prediction"))
+    """A small tower over the stored vectors and the numbers."""
+    m = stored_model(spark, sf, 4)
+    met = attach(_train_table(spark, sf), SPARSE, m.lookup)
+    numbers = [F.col(c) for c in DENSE]
+    df = pin(met.select("label2", deep_input([F.col(f"{f}__v") for f in SPARSE], numbers).alias("x")), "tower-train")
+    model = TR.fit_tower(df, "x", "label2", hidden=(8,), rounds=15)
+    return _judged(model.transform(df, "x"), "label2", model.losses)

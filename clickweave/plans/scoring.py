@@ -31,10 +31,10 @@ def score_fm(
     out: str = "score",
     **how,
 ) -> DataFrame:
-    """Linear + second-order score. Without fields it is a linear score of the numbers."""
+    """Linear + second-order score. Without fields it is a linear score of the numbers, without width one of first-order weights."""
     met = attach(df, fields, lookup, **how) if fields else df
     first = X.linear_logit(weights(fields), [F.col(c) for c in numbers], kernel)
-    second = X.fm_second_order(vectors(fields), dim) if len(fields) > 1 else None
+    second = X.fm_second_order(vectors(fields), dim) if len(fields) > 1 and dim else None
     drop = [f"{f}__{x}" for f in fields for x in "wv"]
     return met.withColumn(out, X.predict_head(X.logit_sum(first, second), task, bias)).drop(*drop)
 

@@ -1,74 +1,251 @@
-"""Fits that Spark itself runs, and the bookkeeping of runs."""
+"""Fits as rounds of ordinary jobs, and the bookkeeping of runs.
+
+A model's per-class weights and factors are a table keyed by (feature, category). A round looks the
+parameters up for a batch of rows, computes each row's prediction and error in the row, adds the gradients
+up by key (on the map side first) and writes the next version of the table. Only the bias, one number for
+each numeric field and the loss reach the driver, so the classes may be as many as the cluster holds.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import FMClassifier, LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.regression import FMRegressor, LinearRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickweave.functions.scalars import log_loss_term, sigmoid
+from clickweave.functions.towers import Tower, activate, matrix_of, tower_logit
+from clickweave.functions.vectors import column_sum
+from clickweave.operators import interactions as X
+from clickweave.operators.embedding import Lookup, attach, seeded_normal
+from clickweave.operators.encode import as_text, long_fields, vocabulary_sizes
+from clickweave.plans.scoring import score_fm
+from clickweave.scratch import pin
+
+# fixed value: keeps the first adaptive steps finite
+EPS = 1e-10
+#: Names under which a round's sums of the whole batch travel among the keyed ones.
+BATCH = "#batch"
+
+
+@dataclass
+class Fitted:
+    """``table(feature, category, w, vec)``, kernel of the numbers, bias, and the mean loss before each round."""
+
+    table: DataFrame
+    sizes: dict[str, int]
+    fields: list[str]
+    numbers: list[str]
+    factors: int
+    kernel: list[float]
+    bias: float
+    task: str
+    losses: list[float] = field(default_factory=list)
+
+    @property
+    def lookup(self) -> Lookup:
+        """What ``score_fm`` and the other scoring jobs take; a class that was not trained on weighs nothing."""
+        return Lookup(self.table, self.sizes, {f: (0.0, [0.0] * self.factors) for f in self.fields})
+
+    def transform(self, df: DataFrame, out: str = "score") -> DataFrame:
+        return score_fm(df, self.fields, self.numbers, self.lookup, self.factors, self.kernel, self.bias, self.task, out)
 
-def feature_stages(ids: Sequence[str], numbers: Sequence[str]) -> list:
-    """Sparse one-hot ids followed by numbers."""
-    hot = [f"{c}__hot" for c in ids]
-    stages: list = []
-    if ids:
-        stages.append(OneHotEncoder(inputCols=list(ids), outputCols=hot, dropLast=False, handleInvalid="keep"))
-    return stages + [VectorAssembler(inputCols=[*hot, *numbers], outputCol="features")]
 
+def _logit(fields: Sequence[str], numbers: Sequence[str], factors: int, kernel: Sequence[float], bias: float) -> Column:
+    first = X.linear_logit([F.col(f"{f}__w") for f in fields], [F.col(c) for c in numbers], kernel, bias)
+    if factors and len(fields) > 1:
+        return first + X.fm_second_order([F.col(f"{f}__v") for f in fields], factors)
+    return first
 
-def _fit(df: DataFrame, ids, numbers, estimator) -> PipelineModel:
-    return Pipeline(stages=[*feature_stages(ids, numbers), estimator]).fit(df)
 
+def _gradients(met: DataFrame, fields, numbers, factors: int, logit: Column, task: str) -> DataFrame:
+    """feature, category, g, g0.. (sums over the batch); bias, numbers, loss and weight under ``BATCH``."""
+    p = sigmoid(F.col("_z")) if task == "binary" else F.col("_z")
+    loss = log_loss_term(F.col("_y"), p) if task == "binary" else (F.col("_z") - F.col("_y")) * (F.col("_z") - F.col("_y")) / 2
+    dims = range(factors)
+    cells = met.withColumn("_z", logit).withColumns({"_g": F.col("_s") * (p - F.col("_y")), "_loss": F.col("_s") * loss})
+    if factors:
+        cells = cells.withColumn("_sum", F.array(*[column_sum([F.col(f"{f}__v").getItem(d) for f in fields]) for d in dims]))
 
-def fit_linear(
-    df: DataFrame, ids: Sequence[str], numbers: Sequence[str], label: str, task: str = "binary", l2: float = 1e-5,
-    weight: str | None = None, iterations: int = 50,
-) -> PipelineModel:
-    how = {"featuresCol": "features", "labelCol": label, "regParam": l2, "elasticNetParam": 0.0, "maxIter": iterations}
-    if weight:
-        how["weightCol"] = weight
-    est = LogisticRegression(**how) if task == "binary" else LinearRegression(**how)
-    return _fit(df, ids, numbers, est)
+    def entry(feature: str, category: Column, g: Column, vec: str | None = None) -> Column:
+        own = [F.col("_g") * (F.col("_sum").getItem(d) - F.col(vec).getItem(d)) if vec else F.lit(0.0) for d in dims]
+        return F.struct(F.lit(feature).alias("feature"), category.alias("category"), g.alias("g"), *[c.alias(f"g{d}") for d, c in enumerate(own)])
+
+    entries = [entry(f, F.col(f), F.col("_g"), f"{f}__v" if factors else None) for f in fields]
+    whole = {"bias": F.col("_g"), "loss": F.col("_loss"), "weight": F.col("_s")}
+    whole |= {f"number{i}": F.col("_g") * F.col(c) for i, c in enumerate(numbers)}
+    entries += [entry(BATCH, F.lit(name), c) for name, c in whole.items()]
+    long = cells.select(F.inline(F.array(*entries)))
+    return long.groupBy("feature", "category").agg(*[F.sum(c).alias(c) for c in ["g", *[f"g{d}" for d in dims]]])
+
+
+def _stepped(table: DataFrame, grads: DataFrame, factors: int, weight: float, step: float, l2: float) -> DataFrame:
+    """The next version of the table: adaptive steps for the keys the batch touched."""
+    touched = F.col("g").isNotNull()
+    g = F.col("g") / weight + l2 * F.col("w")
+    aw = F.col("aw") + g * g
+    new = {"w": F.when(touched, F.col("w") - step * g / (F.sqrt(aw) + EPS)).otherwise(F.col("w")), "aw": F.when(touched, aw).otherwise(F.col("aw"))}
+    vec, av = [], []
+    for d in range(factors):
+        v, a = F.col("vec").getItem(d), F.col("av").getItem(d)
+        gd = F.col(f"g{d}") / weight + l2 * v
+        ad = a + gd * gd
+        vec.append(F.when(touched, v - step * gd / (F.sqrt(ad) + EPS)).otherwise(v))
+        av.append(F.when(touched, ad).otherwise(a))
+    empty = F.array().cast("array<double>")
+    met = table.join(grads.where(F.col("feature") != BATCH), ["feature", "category"], "left")
+    new |= {"vec": F.array(*vec) if factors else empty, "av": F.array(*av) if factors else empty}
+    return met.select("feature", "category", *[c.alias(n) for n, c in new.items()])
 
 
 def fit_fm(
-    df: DataFrame, ids: Sequence[str], numbers: Sequence[str], label: str, task: str = "binary", factors: int = 8,
-    l2: float = 1e-5, iterations: int = 50, step: float = 0.05, seed: int = 2020,
-) -> PipelineModel:
-    how = dict(
-        featuresCol="features", labelCol=label, factorSize=factors, regParam=l2, maxIter=iterations, stepSize=step,
-        solver="adamW", seed=seed,
+    df: DataFrame, fields: Sequence[str], numbers: Sequence[str], label: str, task: str = "binary", factors: int = 8,
+    l2: float = 1e-5, epochs: int = 10, batches: int = 1, step: float = 0.1, std: float = 0.01, seed: int = 2020,
+    weight: str | None = None, limit: int | None = None,
+) -> Fitted:
+    """Linear and second-order model. ``batches`` cuts the rows of an epoch; ``weight`` names the rows' weights.
+
+    Rows with a null label or a null number take no part; a null category is a class of its own.
+    """
+    fields, numbers = list(fields), list(numbers)
+    rows = df.select(
+        *[as_text(F.col(f)).alias(f) for f in fields],
+        *[F.col(c).cast("double").alias(c) for c in numbers],
+        F.col(label).cast("double").alias("_y"),
+        (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_s"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches)).alias("_part"),
     )
-    return _fit(df, ids, numbers, FMClassifier(**how) if task == "binary" else FMRegressor(**how))
+    rows = pin(rows.na.drop(subset=["_y", "_s", *numbers]), "training-rows")
+    start = F.transform(
+        F.sequence(F.lit(1), F.lit(factors)), lambda d: seeded_normal(seed, F.col("feature"), F.col("category"), d) * std
+    ) if factors else F.array().cast("array<double>")
+    zeros = F.array_repeat(F.lit(0.0), factors)
+    keys = long_fields(rows, fields).distinct() if fields else rows.limit(0).select(F.lit("").alias("feature"), F.lit("").alias("category"))
+    table = pin(keys.select("feature", "category", F.lit(0.0).alias("w"), F.lit(0.0).alias("aw"), start.alias("vec"), zeros.alias("av")), "parameters")
+    sizes = vocabulary_sizes(table)
+    mean = rows.agg(F.sum(F.col("_y") * F.col("_s")) / F.sum("_s")).first()[0] or 0.0
+    inside = min(max(mean, 1e-6), 1 - 1e-6)
+    bias, abias = (math.log(inside / (1 - inside)) if task == "binary" else mean), 0.0
+    kernel, akernel = np.zeros(len(numbers)), np.zeros(len(numbers))
+    fitted = Fitted(table.select("feature", "category", "w", "vec"), sizes, fields, numbers, factors, kernel.tolist(), bias, task)
+    for number in range(epochs * batches):
+        part = rows.where(F.col("_part") == number % batches) if batches > 1 else rows
+        met = attach(part, fields, fitted.lookup, limit) if fields else part
+        grads = pin(_gradients(met, fields, numbers, factors, _logit(fields, numbers, factors, kernel, bias), task), "gradients")
+        whole = {r["category"]: r["g"] for r in grads.where(F.col("feature") == BATCH).select("category", "g").collect()}
+        n = whole.get("weight") or 0.0
+        if n <= 0:
+            continue
+        table = pin(_stepped(table, grads, factors, n, step, l2), "parameters")
+        fitted.losses.append(whole["loss"] / n)
+        g = whole["bias"] / n
+        abias += g * g
+        bias -= step * g / (math.sqrt(abias) + EPS)
+        g = np.array([whole[f"number{i}"] for i in range(len(numbers))]) / n + l2 * kernel
+        akernel += g * g
+        kernel = kernel - step * g / (np.sqrt(akernel) + EPS)
+        fitted.table, fitted.kernel, fitted.bias = table.select("feature", "category", "w", "vec"), kernel.tolist(), bias
+    return fitted
 
 
-def fit_tower(df: DataFrame, ids, numbers, label: str, hidden: Sequence[int] = (16,), iterations: int = 50, seed: int = 2020):
-    """Sigmoid layers and a two-way softmax, trained by Spark's own perceptron."""
-    prepared = Pipeline(stages=feature_stages(ids, numbers)).fit(df)
-    ready = prepared.transform(df)
-    width = ready.select("features").first()[0].size
-    net = MultilayerPerceptronClassifier(
-        featuresCol="features", labelCol=label, layers=[width, *hidden, 2], maxIter=iterations, seed=seed
-    )
-    return PipelineModel([prepared, net.fit(ready)])
-
-
-def fm_table(spark: SparkSession, model: PipelineModel, ids: Sequence[str]) -> DataFrame:
-    """Learned factors and weights as an embedding table; parameters live on the driver after a fit."""
-    hot, fm = model.stages[0], model.stages[-1]
-    factors, linear = fm.factors.toArray(), fm.linear.toArray()
-    rows, at = [], 0
-    for name, n in zip(ids, hot.categorySizes):
-        # one extra slot keeps unseen ids
-        for i in range(n + 1):
-            rows.append((name, i, float(linear[at + i]), [float(x) for x in factors[at + i]]))
-        at += n + 1
-    return spark.createDataFrame(rows, "feature string, idx int, w double, vec array<double>")
+def fit_linear(df: DataFrame, fields: Sequence[str], numbers: Sequence[str], label: str, **how) -> Fitted:
+    """First-order weights alone: linear or logistic regression."""
+    return fit_fm(df, fields, numbers, label, factors=0, **how)
+
+
+def fm_table(fitted: Fitted) -> DataFrame:
+    """Learned weights and factors as an embedding table, for fields that were encoded before the fit."""
+    return fitted.table.select("feature", F.col("category").cast("int").alias("idx"), "w", "vec")
+
+
+# ---- dense towers --------------------------------------------------------------
+
+def _layers(flat: np.ndarray, widths: Sequence[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Views of the flat parameters: (matrix, bias) of each layer, the last one to a single number."""
+    out, at = [], 0
+    for a, b in zip(widths, widths[1:]):
+        out.append((flat[at : at + a * b].reshape(a, b), flat[at + a * b : at + a * b + b]))
+        at += a * b + b
+    return out
+
+
+def tower_gradient(flat: np.ndarray, widths: Sequence[int], x: np.ndarray, y: np.ndarray, s: np.ndarray, task: str) -> tuple[np.ndarray, float]:
+    """Sums over rows of the loss and of its derivatives; hidden layers are relu, the output a single logit."""
+    layers = _layers(flat, widths)
+    values = [x]
+    for w, b in layers[:-1]:
+        values.append(np.maximum(values[-1] @ w + b, 0.0))
+    z = (values[-1] @ layers[-1][0] + layers[-1][1])[:, 0]
+    p = activate(z, "sigmoid") if task == "binary" else z
+    loss = np.logaddexp(0.0, z) - y * z if task == "binary" else (z - y) ** 2 / 2
+    back, out = (s * (p - y))[:, None], np.zeros_like(flat)
+    own = _layers(out, widths)
+    for k in range(len(layers) - 1, -1, -1):
+        own[k][0][...] = values[k].T @ back
+        own[k][1][...] = back.sum(axis=0)
+        if k:
+            back = (back @ layers[k][0].T) * (values[k] > 0)
+    return out, float((s * loss).sum())
+
+
+@dataclass
+class FittedTower:
+    """A relu tower, the kernel of its last layer and a bias, as the scoring jobs take them."""
+
+    tower: Tower
+    kernel: list[float]
+    bias: float
+    task: str
+    losses: list[float]
+
+    def transform(self, df: DataFrame, inputs: str, out: str = "score") -> DataFrame:
+        return df.withColumn(out, X.predict_head(tower_logit(self.tower, self.kernel)(F.col(inputs)), self.task, self.bias))
+
+
+def fit_tower(
+    df: DataFrame, inputs: str, label: str, hidden: Sequence[int] = (16,), task: str = "binary", rounds: int = 30,
+    step: float = 0.05, l2: float = 0.0, seed: int = 2020,
+) -> FittedTower:
+    """A dense tower over ``inputs``, an array of numbers of one length (field vectors, then numbers).
+
+    Each round sends the parameters to all tasks, adds their gradients up by position and takes a step with
+    running moments. The parameters are as many as the layers have, whatever the rows and the classes.
+    """
+    rows = pin(df.select(F.col(inputs).cast("array<double>").alias("x"), F.col(label).cast("double").alias("y")).na.drop(), "tower-rows")
+    first = rows.first()
+    if first is None:
+        raise ValueError("a tower needs rows to learn from")
+    widths = [len(first["x"]), *hidden, 1]
+    g = np.random.default_rng(seed)
+    flat = np.concatenate([np.concatenate([g.normal(0, math.sqrt(2 / a), a * b), np.zeros(b)]) for a, b in zip(widths, widths[1:])])
+    m, v, losses = np.zeros_like(flat), np.zeros_like(flat), []
+    spark = df.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(flat) + 2)
+        for batch in batches:
+            x, y = matrix_of(batch.column(0)), batch.column(1).to_numpy()
+            if len(y):
+                grad, loss = tower_gradient(sent.value, widths, x, y, np.ones(len(y)), task)
+                total += np.concatenate([grad, [loss, len(y)]])
+        yield pa.RecordBatch.from_pydict({"i": pa.array(range(len(total)), pa.int32()), "g": pa.array(total)})
+
+    for number in range(1, rounds + 1):
+        sent = spark.sparkContext.broadcast(flat)
+        found = rows.mapInArrow(run, "i int, g double").groupBy("i").agg(F.sum("g").alias("g")).toArrow()
+        sent.destroy()
+        total = np.zeros(len(flat) + 2)
+        total[found["i"].to_numpy()] = found["g"].to_numpy()
+        losses.append(total[-2] / total[-1])
+        grad = total[:-2] / total[-1] + l2 * flat
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        flat = flat - step * (m / (1 - 0.9**number)) / (np.sqrt(v / (1 - 0.999**number)) + 1e-8)
+    layers = _layers(flat, widths)
+    return FittedTower(Tower(layers[:-1]), layers[-1][0][:, 0].tolist(), float(layers[-1][1][0]), task, losses)
 
 
 def log_runs(log: DataFrame, path: str) -> None:

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -116,21 +118,72 @@ def test_linear_fit_finds_planted_weights(spark):
     )
     z = F.when(F.col("a") == 2, 2.0).otherwise(-1.0) + 3.0 * F.col("x")
     df = df.withColumn("y", (F.col("u") < 1 / (1 + F.exp(-z))).cast("double"))
-    lr = TR.fit_linear(df, ["a"], ["x"], "y").stages[-1]
-    c = lr.coefficients.toArray()
-    assert 2.3 < c[-1] < 3.7 and 2.3 < c[2] - c[0] < 3.7
-    reg = TR.fit_linear(df.withColumn("t", 2.0 * F.col("x") + F.col("a")), ["a"], ["x"], "t", task="regression").stages[-1]
-    assert reg.coefficients.toArray()[-1] == pytest.approx(2.0, abs=0.05)
+    lr = TR.fit_linear(df, ["a"], ["x"], "y", step=1.0, epochs=14)
+    w = {r["category"]: r["w"] for r in lr.table.collect()}
+    assert 2.3 < lr.kernel[0] < 3.7 and 2.3 < w["2"] - w["0"] < 3.7 and lr.losses[-1] < lr.losses[0]
+    reg = TR.fit_linear(df.withColumn("t", 2.0 * F.col("x") + F.col("a")), ["a"], ["x"], "t", task="regression", step=1.0, epochs=14)
+    assert reg.kernel[0] == pytest.approx(2.0, abs=0.1) and reg.losses[-1] < 0.01
+
+
+def test_round_equals_plain_gradients(spark):
+    """One step of the keyed table against the formulas in NumPy, broadcast and shuffled, with weights and odd rows."""
+    rng = np.random.default_rng(11)
+    rows = [(rng.choice(["u", "v", None]), rng.choice(["p", "q", "r"]), float(rng.normal()), float(rng.integers(2)), float(rng.integers(1, 4))) for _ in range(60)]
+    odd = [("u", "p", None, 1.0, 1.0), ("u", "p", 0.5, None, 1.0)]
+    df = spark.createDataFrame(rows + odd, "a string, b string, x double, y double, s double").repartition(3)
+    how = dict(factors=2, l2=0.01, step=0.5, std=0.3, weight="s")
+    start = TR.fit_fm(df, ["a", "b"], ["x"], "y", epochs=0, **how)
+    init = {(r["feature"], r["category"]): np.array([r["w"], *r["vec"]]) for r in start.table.collect()}
+    n = sum(r[4] for r in rows)
+    grads, gk, gb, loss = {k: np.zeros(3) for k in init}, 0.0, 0.0, 0.0
+    for a, b, x, y, s in rows:
+        ka, kb = ("a", a or "nan"), ("b", b)
+        z = start.bias + float(init[ka][1:] @ init[kb][1:])
+        p = 1 / (1 + math.exp(-z))
+        loss -= s * (y * math.log(p) + (1 - y) * math.log(1 - p))
+        g = s * (p - y)
+        grads[ka] += [g, *(g * init[kb][1:])]
+        grads[kb] += [g, *(g * init[ka][1:])]
+        gk, gb = gk + g * x, gb + g
+    for limit in (None, 0):
+        one = TR.fit_fm(df, ["a", "b"], ["x"], "y", epochs=1, limit=limit, **how)
+        for r in one.table.collect():
+            k = (r["feature"], r["category"])
+            g = grads[k] / n + 0.01 * init[k]
+            assert [r["w"], *r["vec"]] == pytest.approx((init[k] - 0.5 * g / (np.abs(g) + 1e-10)).tolist(), abs=1e-9)
+        assert one.kernel[0] == pytest.approx(-0.5 * math.copysign(1, gk)) and one.bias == pytest.approx(start.bias - 0.5 * math.copysign(1, gb), abs=1e-6)
+        assert one.losses == [pytest.approx(loss / n)]
 
 
 def test_fm_fit_separates_an_interaction(spark):
     # the label depends on the pair of classes only, so a linear part cannot find it
     df = spark.range(2000).select((F.col("id") % 2).cast("int").alias("a"), (F.floor(F.col("id") / 2) % 2).cast("int").alias("b"))
     df = df.withColumn("y", (F.col("a") == F.col("b")).cast("double"))
-    m = TR.fit_fm(df, ["a", "b"], [], "y", factors=4, iterations=150, step=0.1)
-    assert m.transform(df).where("prediction = y").count() > 1900
-    table = TR.fm_table(spark, m, ["a", "b"])
-    assert table.where("feature = 'a'").count() == 3 and len(table.first()["vec"]) == 4
+    m = TR.fit_fm(df, ["a", "b"], [], "y", factors=4, epochs=12, step=0.5, std=0.1)
+    assert m.transform(df).where("(score > 0.5) = (y = 1)").count() == 2000
+    table = TR.fm_table(m)
+    assert table.where("feature = 'a'").count() == 2 and len(table.first()["vec"]) == 4
+    unseen = spark.createDataFrame([(7, 0)], "a int, b int")
+    assert 0 < m.transform(unseen).first()["score"] < 1
+
+
+def test_tower_gradient_and_fit(spark):
+    rng = np.random.default_rng(1)
+    widths, x, s = [3, 4, 1], rng.normal(size=(20, 3)), rng.uniform(1, 2, 20)
+    flat = rng.normal(size=3 * 4 + 4 + 4 + 1)
+    for task, y in (("binary", rng.integers(0, 2, 20).astype(float)), ("regression", rng.normal(size=20))):
+        grad, _ = TR.tower_gradient(flat, widths, x, y, s, task)
+        for i in range(len(flat)):
+            up, down = flat.copy(), flat.copy()
+            up[i], down[i] = up[i] + 1e-6, down[i] - 1e-6
+            slope = (TR.tower_gradient(up, widths, x, y, s, task)[1] - TR.tower_gradient(down, widths, x, y, s, task)[1]) / 2e-6
+            assert grad[i] == pytest.approx(slope, abs=1e-4)
+    df = spark.range(800).select((F.col("id") % 2).alias("a"), (F.floor(F.col("id") / 2) % 2).alias("b"))
+    df = df.select(F.array(F.col("a").cast("double"), F.col("b").cast("double")).alias("x"), (F.col("a") == F.col("b")).cast("double").alias("y"))
+    m = TR.fit_tower(df, "x", "y", hidden=(8,), rounds=40, step=0.1)
+    assert m.transform(df, "x").where("(score > 0.5) = (y = 1)").count() == 800 and m.losses[-1] < 0.2
+    with pytest.raises(ValueError):
+        TR.fit_tower(df.limit(0), "x", "y")
 
 
 def test_run_log_rules(spark):
