@@ -26,5 +26,16 @@ def rounded(x: Column, digits: int = 6) -> Column:
     return F.round(x, digits) + F.lit(0.0)
 
 
-def hash_bucket(x: Column, n: int) -> Column:
-    return F.pmod(F.xxhash64(x.cast("string")), F.lit(n)).cast("bigint")
+def hash_bucket(x: Column, n: int, kind: str = "xxhash64") -> Column:
+    """Bucket of the text form: by Spark's own hash, by digits of its md5 (any SQL engine can repeat it), or by the
+    fingerprint that stored click models use."""
+    text = x.cast("string")
+    if kind == "xxhash64":
+        return F.pmod(F.xxhash64(text), F.lit(n)).cast("bigint")
+    if kind == "md5":
+        return F.pmod(F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint"), F.lit(n)).cast("bigint")
+    if kind == "fingerprint":
+        from clickweave.functions.fingerprint import fingerprint_bucket
+
+        return fingerprint_bucket(text, n)
+    raise ValueError(f"unknown hash {kind}")

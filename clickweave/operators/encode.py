@@ -119,10 +119,10 @@ def lookup_file_vocabulary(
     return joined.withColumn(name, F.coalesce("_idx", F.lit(default)).cast("bigint")).select(*df.columns, name)
 
 
-def hash_field(c: Column, buckets: int, keep_zero: bool = False) -> Column:
+def hash_field(c: Column, buckets: int, keep_zero: bool = False, kind: str = "xxhash64") -> Column:
     """Bucket of the text form; with ``keep_zero`` the padding value 0 stays 0."""
     if not keep_zero:
-        return hash_bucket(c, buckets)
+        return hash_bucket(c, buckets, kind)
     text = c.cast("string")
     # texts of zero in whole and fractional types
-    return F.when(text.isin("0", "0.0"), F.lit(0).cast("bigint")).otherwise(1 + hash_bucket(c, buckets - 1))
+    return F.when(text.isin("0", "0.0"), F.lit(0).cast("bigint")).otherwise(1 + hash_bucket(c, buckets - 1, kind))

@@ -306,33 +306,51 @@ def f16(spark, sf):
     return df.select("l_orderkey", "l_linenumber", rounded(F.col("l_extendedprice")).alias("l_extendedprice"), rounded(F.col("l_quantity")).alias("l_quantity"))
 
 
-@register("f17_hash_bucket")
-def f17(spark, sf):
-    """Rows only: bucket ids follow Spark's hash."""
-    return read(spark, sf, "orders").select("o_orderkey", E.hash_field(F.col("o_orderpriority"), 1000).alias("bucket"), E.hash_field(F.col("o_custkey"), 1000).alias("number_bucket"))
+def md5_bucket(text: str, n: int) -> str:
+    return f"(('0x' || md5({text})[1:15])::BIGINT % {n})"
 
 
-@register("f18_hash_bucket_keep_zero")
-def f18(spark, sf):
-    return read(spark, sf, "lineitem").select(*ROW, E.hash_field(F.col("l_partkey"), 500, keep_zero=True).alias("bucket"))
+@register(
+    "f17_hash_bucket",
+    f"""SELECT o_orderkey, {md5_bucket('o_orderpriority', 1000)} AS bucket, {md5_bucket('CAST(o_custkey AS VARCHAR)', 1000)} AS number_bucket,
+    TRUE AS others_in_range FROM orders""",
+)
+def f17(spark, sf):
+    """Buckets by md5, which SQL can repeat; those by Spark's hash and by the fingerprint lie in range."""
+    c = F.col("o_custkey")
+    others = [E.hash_field(c, 1000, kind=k) for k in ("xxhash64", "fingerprint")]
+    df = read(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey", *[o.alias(f"_{i}") for i, o in enumerate(others)])
+    return df.select(
+        "o_orderkey", E.hash_field(F.col("o_orderpriority"), 1000, kind="md5").alias("bucket"),
+        E.hash_field(c, 1000, kind="md5").alias("number_bucket"),
+        (F.col("_0").between(0, 999) & F.col("_1").between(0, 999)).alias("others_in_range"),
+    )
 
 
-_voc_file = "(SELECT DISTINCT p_type AS key FROM part WHERE p_size < 26)"
+@register(
+    "f18_hash_bucket_keep_zero",
+    f"""SELECT {ROW_SQL}, CASE WHEN k = 0 THEN 0 ELSE 1 + {md5_bucket('CAST(k AS VARCHAR)', 499)} END AS bucket, k = 0 AS zero
+    FROM (SELECT *, l_partkey % 50 AS k FROM lineitem)""",
+)
+def f18(spark, sf):
+    """Zero stays zero for every hash, and only zero does."""
+    k = F.col("l_partkey") % 50
+    df = read(spark, sf, "lineitem").select(*ROW, k.alias("k"), *[E.hash_field(k, 500, True, kind).alias(kind) for kind in ("md5", "xxhash64", "fingerprint")])
+    agree = F.when((F.col("xxhash64") == 0) == (F.col("fingerprint") == 0), F.col("xxhash64") == 0)
+    return df.select(*ROW, F.col("md5").alias("bucket"), agree.alias("zero"))
 
 
 @register(
     "f19_vocabulary_file",
-    f"WITH v AS (SELECT key, row_number() OVER (ORDER BY key DESC) AS idx FROM {_voc_file} WHERE key <> 'PROMO') "
+    "WITH v AS (SELECT key, row_number() OVER (ORDER BY key) AS idx FROM (SELECT DISTINCT p_type AS key FROM part WHERE p_type <> 'PROMO')) "
     "SELECT p_partkey, coalesce(idx, 0) AS p_type_idx FROM part LEFT JOIN v ON p_type = key",
 )
 def f19(spark, sf):
     """A headless ``index,key`` file written from the part types, one type left out."""
-    from pyspark.sql import Window
-
     part = read(spark, sf, "part")
-    keys = part.where("p_size < 26 AND p_type <> 'PROMO'").select(F.col("p_type").alias("key")).distinct()
+    keys = E.fit_vocabulary(part.where("p_type <> 'PROMO'"), ["p_type"])
     path = scratch_path(spark, "vocab")
-    keys.select(F.row_number().over(Window.orderBy(F.desc("key"))).alias("idx"), "key").write.csv(path)
+    keys.select(F.col("idx") + 1, "category").write.csv(path)
     vocab = T.read_headless_csv(spark, path, "idx int, key string")
     return E.lookup_file_vocabulary(part.select("p_partkey", "p_type"), "p_type", vocab).select("p_partkey", "p_type_idx")
 
