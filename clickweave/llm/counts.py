@@ -28,12 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm.bpe import merge_word
-from clickweave.llm.common import texts
+from clickweave.llm.common import portions, texts
 from clickweave.llm.pieces import WordPieces, load
 
-#: Characters of a chunk; entries that a worker's word and state tables hold before they start anew.
+#: Characters of a chunk; entries that a worker's word, pair and state tables hold before they start anew (about
+#: 100, 100 and 700 bytes each, 50 MB in all).
 CHUNK = 1 << 15
-STORE, STATES = 500_000, 200_000
+STORE, STATES = 150_000, 30_000
 ROOT = 0
 
 
@@ -43,7 +44,7 @@ class Transducer:
     def __init__(self, pieces: WordPieces):
         self.pieces = pieces
         self._build_trie()
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}  # under first << 32 | second
         self.words: dict[str, int] = {}
         self._reset()
 
@@ -85,13 +86,13 @@ class Transducer:
         """Whether token b may come right after token a."""
         if a < 0:
             return True
-        known = self._pairs.get((a, b))
+        known = self._pairs.get(a << 32 | b)
         if known is None:
             p = self.pieces
             if len(self._pairs) >= STORE:
                 self._pairs.clear()
             known = merge_word(self.spelled[a] + self.spelled[b], p.ranks, p.merged) == [a, b]
-            self._pairs[(a, b)] = known
+            self._pairs[a << 32 | b] = known
         return known
 
     def _move(self, state: int, symbol: int) -> tuple[int, int]:
@@ -206,7 +207,7 @@ def token_counts(docs: DataFrame, path: str, chunk_chars: int = CHUNK) -> DataFr
 
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = compiled(path)
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for doc_id, text, row in zip(*[c.to_pylist() for c in batch.columns]):
                 n = max(1, -(-len(text) // chunk_chars))
@@ -221,9 +222,9 @@ def token_counts(docs: DataFrame, path: str, chunk_chars: int = CHUNK) -> DataFr
     def compose_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = compiled(path)
         for batch in batches:
-            rows = batch.to_pylist()
             found = []
-            for r in rows:
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]  # one document's maps at a time
                 ordered = sorted(r["maps"], key=lambda m: m["chunk"])
                 parts = [ChunkMap(m["head"], m["closed"], m["count"], m["tail"]) for m in ordered]
                 found.append({"doc_id": r["doc_id"], "n_bytes": r["n_bytes"], "n_tokens": total(scan(parts, machine), machine)})

@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,13 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import column, strings, texts
+from clickweave.llm.common import column, portions, strings, texts
 from clickweave.scratch import pin, scratch_path
 
 #: Text bytes and documents that a shard is meant to hold.
 SHARD_BYTES, SHARD_DOCS = 48 << 20, 200_000
-#: Texts encoded at once by the library.
-BATCH = 64
+#: Pre-tokens after which a worker starts a new store, the old one still being asked, and the longest it keeps; characters that the quick split covers.
+STORE, LONGEST, LIMIT = 400_000, 40, 0x250
+#: White space below that limit.
+WHITE = frozenset([*range(9, 14), 32, 0x85, 0xA0])
 END_ID = 0
 NULL_KEY = np.uint64(0x9E3779B97F4A7C15)
 MANIFEST = "shard int, n_docs long, n_tokens long, min_id long, max_id long, has_null boolean, name string"
@@ -190,8 +194,111 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def encode_texts(batch: list[str], path: str) -> list[list[int]]:
-    return [e.ids for e in _tokenizer(path).encode_batch_fast(batch, add_special_tokens=False)]
+class Encoder:
+    """Ids of whole texts as the library gives them, each distinct pre-token encoded once.
+
+    A byte-level file splits a text by one fixed pattern before it merges, so a text's ids are those of its
+    pre-tokens one after another; a worker remembers the pre-tokens it met last. Texts below U+0250 are split
+    by a compiled pattern over explicit character classes, others by the library's own splitter; texts that
+    hold a special string, and files of another kind, go to the library whole.
+    """
+
+    def __init__(self, path: str):
+        self.library = _tokenizer(path)
+        spec = json.loads(self.library.to_str())
+        self.dtype = f"<u{width_of(path)}"
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        pre = spec["pre_tokenizer"] or {}
+        self.whole = spec["normalizer"] is not None or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True) or pre.get("add_prefix_space", True)
+        self.store = _Store()
+
+    def _split(self, text: str) -> list[str]:
+        if not _OTHER.search(text):
+            return _WORDS.findall(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
+        store = self.store
+        store.turn()
+        get = store.__getitem__
+        out: list[bytes] = []
+        open_: list[tuple[int, list[str]]] = []
+        whole: list[int] = []
+        for i, text in enumerate(texts):
+            out.append(b"")
+            if self.whole or any(s in text for s in self.special):
+                whole.append(i)
+                continue
+            words, n = self._split(text), len(store.new)
+            packed = list(map(get, words))
+            if len(store.new) == n and b"" not in packed:
+                out[i] = b"".join(packed)
+            else:
+                open_.append((i, words))
+        new = list(store.new)
+        store.new.clear()
+        for i, packed in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = packed
+        store.update(zip(new, self._library(new)))
+        for i, words in open_:
+            out[i] = b"".join(map(get, words))
+        for w in new:
+            if len(w) > LONGEST:
+                del store[w]
+        return out
+
+
+class _Store(dict):
+    """Pre-token -> packed ids. Unknown ones are noted in ``new`` and stand as empty until they are encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.earlier: dict[str, bytes] = {}
+        self.new: dict[str, None] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        one = self.earlier.get(word, b"")
+        if not one:
+            self.new[word] = None
+        self[word] = one
+        return one
+
+    def turn(self) -> None:
+        """A full store is asked once more for what is met again, then goes."""
+        if len(self) >= STORE:
+            self.earlier = dict(self)
+            self.clear()
+
+
+def _classes() -> tuple[re.Pattern, re.Pattern]:
+    """The pre-token pattern of byte-level files over explicit classes, and a character it does not cover."""
+    sets: dict[str, list[str]] = {"L": [], "N": [], "S": []}
+    for i in range(LIMIT):
+        c = chr(i)
+        kind = "S" if i in WHITE else unicodedata.category(c)[0]
+        if kind in "LN" or i in WHITE:
+            sets[kind].append(re.escape(c))
+    letter, number, space = ("".join(sets[k]) for k in "LNS")
+    # fixed values: the file's pattern
+    words = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    return re.compile(words), re.compile(f"[^\x00-{chr(LIMIT - 1)}]")
+
+
+_WORDS, _OTHER = _classes()
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+def width_of(path: str) -> int:
+    """Bytes of an id: two where the vocabulary allows it."""
+    return 2 if _tokenizer(path).get_vocab_size() <= 1 << 16 else 4
 
 
 # ---- write and read --------------------------------------------------------
@@ -208,12 +315,13 @@ def write_shards(docs: DataFrame, path: str, folder: str | None = None, end_id:
     # the second key splits a run of equal ids that is too long for one shard
     dealt = rows.withColumn("_tie", F.rand(5)).repartitionByRange(int(shards), "doc_id", "_tie")
     ordered = dealt.sortWithinPartitions("doc_id", F.xxhash64("text")).select("doc_id", "text")
-    width = 2 if _tokenizer(path).get_vocab_size() <= 1 << 16 else 4
+    width = width_of(path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId()
         name = f"shard-{number:06d}"
         task_store, task_base = _store(folder)
+        end = np.array([end_id], f"<u{width}").tobytes()
         ids_seen: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
         low = high = None
@@ -221,17 +329,16 @@ def write_shards(docs: DataFrame, path: str, folder: str | None = None, end_id:
 
         def payload() -> Iterator[bytes]:
             nonlocal low, high, nulls
-            for batch in batches:
+            for batch in portions(batches):
                 ids, text = column(batch, "doc_id").to_pylist(), strings(batch)
                 plain = [i for i in ids if i is not None]
                 if plain:
                     low, high = (plain[0] if low is None else low), plain[-1]
                 nulls = nulls or len(plain) < len(ids)
                 ids_seen.append(key_of(ids))
-                for i in range(0, len(text), BATCH):
-                    found = encode_texts(text[i : i + BATCH], path)
-                    lengths.append(np.array([len(x) + 1 for x in found], np.int64))
-                    yield b"".join(np.array(x + [end_id], f"<u{width}").tobytes() for x in found)
+                found = _encoder(path).encode(text)
+                lengths.append(np.array([len(x) // width + 1 for x in found], np.int64))
+                yield end.join([*found, b""])
 
         _write(task_store, f"{task_base}/{name}.bin", payload())
         if not ids_seen:
