@@ -32,9 +32,9 @@ from clickweave.llm.common import portions, texts
 from clickweave.llm.pieces import WordPieces, load
 
 #: Characters of a chunk; entries that a worker's word, pair and state tables hold before they start anew (about
-#: 100, 100 and 700 bytes each, 50 MB in all).
+#: 100, 100 and 700 bytes each, 140 MB in all).
 CHUNK = 1 << 15
-STORE, STATES = 150_000, 30_000
+STORE, STATES = 350_000, 100_000
 ROOT = 0
 
 
