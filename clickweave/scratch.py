@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,4 +41,19 @@ def pin(df: DataFrame, name: str = "t") -> DataFrame:
         df.write.mode("error").parquet(path)
     finally:
         spark.conf.set(CLEANUP, was) if was is not None else spark.conf.unset(CLEANUP)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+_paths: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def release(*pinned: DataFrame) -> None:
+    """Drop the files of tables that ``pin`` gave and that no later plan reads."""
+    for df in pinned:
+        known, path = _paths.pop(id(df), (lambda: None, ""))
+        if known() is df:
+            jvm = df.sparkSession.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
