@@ -7,11 +7,12 @@ hash) into n1 parts of n2 cells with n1 > k / (k2 + 1), so that in some part at
 a set's signatures are, for each part, the contents of every choice of n2 - k2 of its cells. Two
 linked sets therefore share a signature. Sets that share one are candidates and are verified.
 
-A signature's sets are never paired all with all. A signature of two sets is one pair. In a larger
-one, the set that occurs in most shared signatures is compared with the others (a star); once its
-links are known, signatures whose sets are connected are done, and the rest repeats without it.
-Signatures with few sets left are then paired across components; those with many are refined by a
-second, independent family of signatures (again none of the linked pairs is lost).
+A signature's sets are never paired all with all. Signatures with the same sets are compared once. First each
+set meets one set only, the one that shares most signatures with others of its crowd (a star); what links is
+merged, and signatures whose sets are connected are done. Then every set of an open signature meets the
+signature's most frequent one, and that one is done with it. What is still open after some rounds is cut into
+blocks of bounded size, and pairs of blocks are compared across components. Before two sets are compared
+element by element, their sizes and profiles (elements by cell of their hash) must allow the similarity.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing;
 fewer words than a shingle make one shingle; rows with equal texts are linked whatever their ids;
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
-from itertools import combinations
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +32,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import column, texts, utf8, words_of
-from clickweave.scratch import pin
+from clickweave.llm.common import column, portions, texts, utf8, words_of
+from clickweave.scratch import pin, release
 
 SHINGLE, PERCENT = 4, 85
-#: Signatures of at most so many sets are compared across components in one row; words that a worker remembers;
-#: bits of the table that preselects rows (a fixed size; it lets false ones pass, which joins remove).
-SMALL, STORE, TABLE_BITS = 256, 400_000, 27
+#: Sets of a block; star rounds before blocks; cells of a profile; words that a worker remembers; bits of the table
+#: that preselects rows (a fixed size; it lets false ones pass, which joins remove).
+BLOCK, STARS, PROFILE, STORE, TABLE_BITS = 128, 3, 64, 400_000, 27
 SEEN = 200_000
 
 _U = np.uint64
@@ -65,17 +66,21 @@ class _Words(dict):
 _words = _Words()
 
 
+def shingle_sets(texts: list[bytes], n: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; all texts are hashed side by side."""
+    words = [words_of(t) for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    h = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    width = np.repeat(np.minimum(sizes, n), sizes).astype(np.uint64)
+    out, ahead = width.copy(), np.append(h, np.zeros(n, np.uint64))
+    for i in range(n):
+        out = np.where(width > i, _mix(out * _M3 + ahead[i : i + len(h)]), out)
+    ends = np.cumsum(sizes)
+    return [np.unique(out[e - s : e - min(s, n) + 1]) if s else out[:0] for s, e in zip(sizes.tolist(), ends.tolist())]
+
+
 def shingle_set(text: bytes, n: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    words = words_of(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    width = min(n, len(h))
-    out = np.full(len(h) - width + 1, width, np.uint64)
-    for i in range(width):
-        out = _mix(out * _M3 + h[i : len(h) - width + 1 + i])
-    return np.unique(out)
+    return shingle_sets([text], n)[0]
 
 
 def digest(s: np.ndarray) -> tuple[int, int]:
@@ -109,102 +114,97 @@ def instance(band: int, percent: int, starts: list[int]) -> tuple[int, int, int,
     return k, n1, (3 if k >= 40 else 4), k2
 
 
-def signatures(s: np.ndarray, percent: int, starts: list[int], seed: int = 0) -> np.ndarray:
-    """All signatures of a set, of its own band's instance and of the one below."""
-    if not len(s):
-        return np.zeros(0, np.uint64)
-    own = band_of(len(s), percent, starts)
-    out = []
-    salted = _mix(s + _salt(seed * 1_000_003 + 17))
-    content = _mix(salted ^ _M1)
-    for band in (own, own - 1):
-        if band < 0:
-            continue
-        k, n1, n2, k2 = instance(band, percent, starts)
-        if k == 0:
-            continue  # equal sets only: one class
-        cell = ((salted >> _U(20)) % _U(n1 * n2)).astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        sums = np.zeros(n1 * n2, np.uint64)
-        edge = np.flatnonzero(np.diff(cell[order], prepend=-1))
-        sums[cell[order][edge]] = np.add.reduceat(content[order], edge)
-        sums = _mix(sums + np.arange(n1 * n2, dtype=np.uint64) * _M3).reshape(n1, n2)
-        base = _salt((band + 1) * 0x1F123BB5 + seed)
-        for c, chosen in enumerate(combinations(range(n2), n2 - k2)):
-            total = sums[:, list(chosen)].sum(axis=1, dtype=np.uint64)
-            out.append(_mix(total + base + _salt(c + 7)))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+def _instances(most: int, percent: int) -> tuple[list[int], np.ndarray]:
+    """First sizes of the bands up to that of size ``most``, and n1 and n2 of each (0 where only equal sets link)."""
+    starts: list[int] = []
+    last = band_of(max(1, most), percent, starts)
+    found = [instance(b, percent, starts) for b in range(last + 1)]
+    return starts, np.array([(n1, n2) if k else (0, 1) for k, n1, n2, _ in found], np.int64)
 
 
-# ---- passes over the texts -------------------------------------------------
+def signatures_of(sets: list[np.ndarray], percent: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures, of each set's own band's instance and of the one below, and the number of the set of each.
 
-def _sets_of(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    for i, text in enumerate(utf8(batch)):
-        yield i, shingle_set(text, n)
+    Only one cell of a part is left out (k2 = 1), so a signature is its part's sum less one cell's.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    if not sizes.sum():
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    starts, shapes = _instances(int(sizes.max()), percent)
+    own = np.searchsorted(starts, sizes, side="right") - 1
+    of, values = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+    salted = _mix(values + _salt(seed * 1_000_003 + 17))
+    content = _mix(salted ^ _M1)
+    sig, who = [], []
+    for below in (0, 1):
+        band = own - below
+        n1, n2 = shapes[np.maximum(band, 0)].T
+        cells = np.where((sizes > 0) & (band >= 0), n1 * n2, 0)
+        first = np.cumsum(cells) - cells
+        use = cells[of] > 0
+        place = first[of[use]] + ((salted[use] >> _U(20)) % cells[of[use]].astype(np.uint64)).astype(np.int64)
+        sums = np.zeros(int(cells.sum()), np.uint64)
+        np.add.at(sums, place, content[use])
+        owner = np.repeat(np.arange(len(sets)), cells)
+        sums = _mix(sums + (np.arange(len(sums)) - first[owner]).astype(np.uint64) * _M3)
+        for width in np.unique(n2[cells > 0]).tolist():
+            mine = n2[owner] == width
+            part, by = sums[mine].reshape(-1, width), owner[mine][::width]
+            base = (band[by] + 1).astype(np.uint64) * _U(0x1F123BB5) + _U(seed)
+            left = part.sum(axis=1, dtype=np.uint64)[:, None] - part
+            left = _mix(left + base[:, None] * _M3 + (np.arange(width, dtype=np.uint64) + _U(7)) * _M1)
+            sig.append(left.ravel())
+            who.append(np.repeat(by, width))
+    return (np.concatenate(sig), np.concatenate(who)) if sig else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
+# ---- passes over the texts -------------------------------------------------
+
 def _digests(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [(len(s), *digest(s)) for _, s in _sets_of(batch, n)]
+    for batch in portions(batches):
+        found = [(len(s), *digest(s)) for s in shingle_sets(utf8(batch), n)]
         size, d1, d2 = (pa.array([f[k] for f in found], pa.int64()) for k in range(3))
         yield pa.RecordBatch.from_pydict({"doc_id": column(batch, "doc_id").cast(pa.int64()), "n_shingles": size, "d1": d1, "d2": d2})
 
 
-def _new(seen: set, key: int) -> bool:
-    """False for a class that this task has just had; forgetting some only costs repeated rows."""
-    if key in seen:
-        return False
-    if len(seen) >= SEEN:
-        seen.clear()
-    seen.add(key)
-    return True
+def _new_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list[tuple[int, int]], list[np.ndarray]]]:
+    """Digests and sets that a task has not just had; forgetting some only costs repeated rows."""
+    seen: set[tuple[int, int]] = set()
+    for batch in portions(batches, most=1 << 20):
+        found = {digest(s): s for s in shingle_sets(utf8(batch), n) if len(s)}
+        fresh = [d for d in found if d not in seen]
+        if len(seen) >= SEEN:
+            seen.clear()
+        seen.update(fresh)
+        yield fresh, [found[d] for d in fresh]
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch], n: int, percent: int, only) -> Iterator[pa.RecordBatch]:
-    starts: list[int] = []
-    seen: set[int] = set()
-    table = None if only is None else only.value
-    for batch in batches:
-        sig, of = [], []
-        for _, s in _sets_of(batch, n):
-            d = digest(s)[0] if len(s) else 0
-            if not len(s) or not _new(seen, d):
-                continue
-            own = signatures(s, percent, starts)
-            if table is not None:
-                own = own[_in_table(own.view(np.int64), table)]
-            sig.append(own)
-            of.append(np.full(len(own), d, np.int64))
-            if sum(map(len, sig[-64:])) > 200_000:
-                yield _two(sig, of)
-                sig, of = [], []
-        yield _two(sig, of)
-
-
-def _two(sig: list[np.ndarray], of: list[np.ndarray]) -> pa.RecordBatch:
-    join = lambda x, t: np.concatenate(x).view(np.int64) if x else np.zeros(0, t)
-    return pa.RecordBatch.from_pydict({"sig": pa.array(join(sig, np.int64)), "d1": pa.array(join(of, np.int64))})
+def _signature_rows(batches: Iterator[pa.RecordBatch], n: int, percent: int, only, name: str = "sig") -> Iterator[pa.RecordBatch]:
+    for digests, sets in _new_sets(batches, n):
+        sig, who = signatures_of(sets, percent)
+        if only is not None:
+            kept = _in_table(sig.view(np.int64), only.value)
+            sig, who = sig[kept], who[kept]
+        d1 = np.array([d[0] for d in digests], np.int64)
+        for i in range(0, len(sig), 100_000):
+            part = slice(i, i + 100_000)
+            yield pa.RecordBatch.from_pydict({"sig": pa.array(sig[part].view(np.int64)), "d1": pa.array(d1[who[part]])})
+
+
+def profile_of(s: np.ndarray) -> bytes:
+    """Elements by cell of their hash, one byte a cell; a full byte stays, which only brings profiles nearer."""
+    return np.minimum(np.bincount((s >> _U(58)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], n: int, only) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
-    for batch in batches:
-        rows = []
-        for _, s in _sets_of(batch, n):
-            if len(s):
-                d1, d2 = digest(s)
-                if _in_table(np.array([d1], np.int64), only.value)[0] and _new(seen, d1):
-                    profile = np.minimum(np.bincount((s >> _U(57)).astype(np.int64), minlength=128), 65535)
-                    rows.append((d1, d2, s.view(np.int64), len(s), profile.astype("<u2").tobytes()))
-        yield pa.RecordBatch.from_pydict(
-            {
-                "d1": pa.array([r[0] for r in rows], pa.int64()),
-                "d2": pa.array([r[1] for r in rows], pa.int64()),
-                "shingles": pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                "size": pa.array([r[3] for r in rows], pa.int64()),
-                "profile": pa.array([r[4] for r in rows], pa.binary()),
-            }
-        )
+    for digests, sets in _new_sets(batches, n):
+        found = [(*d, s.view(np.int64), len(s), profile_of(s)) for d, s in zip(digests, sets)]
+        if found:
+            inside = _in_table(np.array([f[0] for f in found], np.int64), only.value)
+            found = [f for f, i in zip(found, inside.tolist()) if i]
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+        names = ["d1", "d2", "shingles", "size", "profile"]
+        yield pa.RecordBatch.from_pydict({c: pa.array([f[i] for f in found], t) for i, (c, t) in enumerate(zip(names, types))})
 
 
 def _slot(keys: np.ndarray) -> np.ndarray:
@@ -234,14 +234,46 @@ def bit_table(keys: DataFrame, name: str):
 
 # ---- links and components --------------------------------------------------
 
+def _may_link(size, profile, size_, profile_, percent: int) -> np.ndarray:
+    """Whether sizes and profiles allow the similarity.
+
+    Two sets' profiles differ in all by at most the number of elements the sets differ by, so a larger
+    difference than linked sets can have excludes a pair for sure.
+    """
+    total = size + size_
+    apart = np.abs(profile.astype(np.int32) - profile_).sum(axis=-1)
+    return (apart * (100 + percent) <= (100 - percent) * total) & (np.minimum(size, size_) * 100 >= np.maximum(size, size_) * percent)
+
+
+def _profiles(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column(batch, name).to_pylist()), np.uint8).reshape(-1, PROFILE)
+
+
+def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) that sizes and profiles do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = [(column(batch, f"size_{e}").to_numpy(), _profiles(batch, f"profile_{e}")) for e in "ab"]
+            yield batch.select(["a", "b"]).filter(pa.array(_may_link(*ends[0], *ends[1], percent)))
+
+    wide = pairs.select("a", "b").distinct()
+    for e in "ab":
+        wide = wide.join(sets.select(F.col("node").alias(e), F.col("size").alias(f"size_{e}"), F.col("profile").alias(f"profile_{e}")), e)
+    return wide.select("a", "b", "size_a", "profile_a", "size_b", "profile_b").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a < b) of nodes whose sets link; the larger side of each join is one set a pair."""
+    """The pairs (a < b) of nodes whose sets link."""
+    near = pin(bounded(pairs, sets, percent), "near")
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    both = pairs.select("a", "b").distinct().join(b, "b").join(a, "a")
+    both = near.join(b, "b").join(a, "a")
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
-    return both.where(common * 100 >= union * percent).select("a", "b")
+    links = pin(both.where(common * 100 >= union * percent).select("a", "b"), "links")
+    release(near)
+    return links
 
 
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,21 +311,24 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     la, lb = labels.toDF("a", "la"), labels.toDF("b", "lb")
     ends = lambda x, y: F.struct(F.col(x).alias("u"), F.col(y).alias("v"))
     edges = links.join(la, "a").join(lb, "b").where("la <> lb")
-    edges = pin(edges.select(F.explode(F.array(ends("la", "lb"), ends("lb", "la"))).alias("e")).select("e.*").distinct(), "edges")
+    edges = edges.select(F.explode(F.array(ends("la", "lb"), ends("lb", "la"))).alias("e")).select("e.*").distinct()
     edges = pin(edges.mapInArrow(_contracted, "u long, v long").distinct(), "edges")
-    now = edges.select("u").distinct().select(F.col("u").alias("node"), F.col("u").alias("label"))
+    now, last = edges.select("u").distinct().select(F.col("u").alias("node"), F.col("u").alias("label")), None
     while True:
         near = edges.join(now.toDF("u", "near"), "u").groupBy("v").agg(F.min("near").alias("near"))
         step = now.join(near.withColumnRenamed("v", "node"), "node")
         step = step.select("node", F.least("label", "near").alias("next"), F.col("label").alias("was"))
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("label"))
         now_ = pin(step.join(jump, "next").select("node", "label", "was"), "labels")
-        done = now_.where("label <> was").isEmpty()
-        now = now_.select("node", "label")
-        if done:
+        if last is not None:
+            release(last)
+        last, now = now_, now_.select("node", "label")
+        if now_.where("label <> was").isEmpty():
             break
     change = now.toDF("label", "to")
-    return pin(labels.join(change, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+    out = pin(labels.join(change, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+    release(edges, last)
+    return out
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -304,63 +339,79 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return pin(rows.join(mixed, "sig"), "open")
 
 
+def _pair(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _hubs(rows: DataFrame) -> DataFrame:
+    """sig and the set of it that occurs with most others in all."""
+    often = rows.groupBy("node").agg(F.sum("n").alias("often"))
+    return rows.join(often, "node").groupBy("sig").agg(F.max(F.struct("often", "node", "label")).alias("hub"))
+
+
+def _nominated(rows: DataFrame) -> DataFrame:
+    """One pair for each set: with the most frequent hub of its signatures."""
+    met = rows.join(_hubs(rows), "sig").where(F.col("node") != F.col("hub.node"))
+    best = met.groupBy("node").agg(F.max("hub").alias("hub"))
+    return best.select(*_pair("node", "hub.node"))
+
+
 def _star(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(candidate pairs, members that stay): each signature's most frequent set against its other components."""
-    often = rows.groupBy("node").agg(F.sum("n").alias("often"))
-    hub = rows.join(often, "node").groupBy("sig").agg(F.max_by(F.struct("node", "label"), F.struct("often", "node")).alias("hub"))
-    met = rows.join(hub, "sig")
-    other = F.col("label") != F.col("hub.label")
-    pairs = met.where(other).select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+    met = rows.join(_hubs(rows), "sig")
+    pairs = met.where(F.col("label") != F.col("hub.label")).select(*_pair("node", "hub.node"))
     return pairs.distinct(), met.where(F.col("node") != F.col("hub.node")).select("sig", "node")
 
 
-def _near_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of a signature's few sets, of different components, that size and profile do not rule out.
+def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates of all open signatures: their sets in blocks, and each two blocks side by side.
 
-    Two sets' profiles (elements by cell of the hash) differ in all by at most the number of elements
-    the sets differ by, so a larger difference than linked sets can have excludes the pair for sure.
+    Rows are sorted by (signature, two blocks) and read as a stream, so a task holds two blocks at most.
     """
-    for batch in batches:
-        found = set()
-        for members in column(batch, "members"):
-            own = members.values
-            node, label = (own.field(k).to_numpy() for k in ("node", "label"))
-            profile = np.frombuffer(b"".join(own.field("profile").to_pylist()), "<u2").reshape(len(node), -1).astype(np.int32)
-            size = own.field("size").to_numpy()
-            for i in range(len(node) - 1):
-                total = size[i] + size[i + 1 :]
-                apart = np.abs(profile[i + 1 :] - profile[i]).sum(axis=1)
-                may = (label[i + 1 :] != label[i]) & (apart * (100 + percent) <= (100 - percent) * total)
-                for j in np.flatnonzero(may):
-                    a, b = int(node[i]), int(node[i + 1 + j])
-                    found.add((min(a, b), max(a, b)))
-        pairs = sorted(found)
-        yield pa.RecordBatch.from_pydict({k: pa.array([x[i] for x in pairs], pa.int64()) for i, k in enumerate("ab")})
-
-
-def _small_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidates of the signatures with at most ``SMALL`` sets; such a group is one bounded row."""
-    wide = rows.join(sets.select("node", "size", "profile"), "node")
-    groups = wide.groupBy("sig").agg(F.collect_list(F.struct("node", "label", "size", "profile")).alias("members"))
-    return groups.select("members").mapInArrow(partial(_near_pairs, percent=percent), "a long, b long").distinct()
-
-
-def _refined(rows: DataFrame, sets: DataFrame, percent: int, seed: int) -> DataFrame:
-    """Members of crowded signatures under (signature, signature of another family)."""
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts: list[int] = []
-        for batch in batches:
-            for s, n, old in zip(column(batch, "shingles"), column(batch, "node").to_pylist(), column(batch, "sigs").to_pylist()):
-                own = signatures(np.array(s.values).astype(np.int64).view(np.uint64), percent, starts, seed)
-                for part in np.array_split(np.array(old, np.int64), max(1, len(old) // 64)):
-                    sig = np.concatenate([_mix(own + _salt(o)) for o in part.tolist()])
-                    out = _two([sig], [np.full(len(sig), n, np.int64)])
-                    yield pa.RecordBatch.from_arrays([out.column(0), out.column(1)], names=["sig", "node"])
 
-    # a set is in as many crowded signatures as it has parts, which its own size bounds
-    own = rows.groupBy("node").agg(F.collect_list("sig").alias("sigs"))
-    return own.join(sets.select("node", "shingles"), "node").mapInArrow(again, "sig long, node long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def pairs() -> list[tuple[int, int]]:
+            node, label, block, size = (np.array([h[i] for h in held], np.int64) for i in range(4))
+            profile = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(-1, PROFILE)
+            found = set()
+            for i in range(len(held) - 1):
+                rest = slice(i + 1, None)
+                may = _may_link(size[i], profile[i], size[rest], profile[rest], percent) & (label[rest] != label[i])
+                if key[1] != key[2]:
+                    may &= block[rest] != block[i]
+                found.update((min(node[i], x), max(node[i], x)) for x in node[rest][may].tolist())
+            return sorted((int(a), int(b)) for a, b in found)
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for sig, i, j, *row in zip(*[c.to_pylist() for c in batch.columns]):
+                if (sig, i, j) != key:
+                    out += pairs() if len(held) > 1 else []
+                    key, held = (sig, i, j), []
+                held.append(row)
+            yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
+        last = pairs() if len(held) > 1 else []
+        yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in last], pa.int64()) for k, c in enumerate("ab")})
+
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("long"))
+    wide = own.select("sig", "node", "label", "own", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    wide = wide.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "own")
+    wide = wide.join(sets.select("node", "size", "profile"), "node").select("sig", "i", "j", "node", "label", "own", "size", "profile")
+    return wide.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def _once(members: DataFrame) -> DataFrame:
+    """The members of one signature for each distinct collection of sets.
+
+    A collection is known by its number of sets and by two hashes of them, folded together; none is gathered.
+    """
+    part = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "d1"))
+    kinds = members.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), part(1).alias("h1"), part(2).alias("h2"))
+    first = kinds.groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
+    return members.join(first, "sig", "left_semi")
 
 
 def links_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -379,38 +430,42 @@ def links_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple
     shared = signature_rows().groupBy("sig").agg(F.min("d1").alias("a"), F.max("d1").alias("b"), F.count(F.lit(1)).alias("n"))
     shared = pin(shared.where(F.col("a") < F.col("b")), "shared")
     crowded = shared.where("n > 2").select("sig")
-    members = signature_rows(bit_table(crowded, "sig")).join(crowded, "sig", "left_semi").distinct()
-    members = pin(members, "members")
-    two = shared.where("n = 2").select("a", "b").distinct()
+    table = bit_table(crowded, "sig")
+    everyone = pin(signature_rows(table).join(crowded, "sig", "left_semi").distinct(), "members")
+    members = pin(_once(everyone), "members")
+    two = pin(shared.where("n = 2").select("a", "b").distinct(), "two")
+    release(everyone, shared)
     wanted = pin(two.select(F.explode(F.array("a", "b")).alias("d1")).union(members.select("d1")).distinct(), "wanted")
     table = bit_table(wanted, "d1")
     sets = text.mapInArrow(partial(_set_rows, n=n, only=table), "d1 long, d2 long, shingles array<long>, size long, profile binary")
     sets = sets.join(wanted, "d1", "left_semi").groupBy("d1", "d2").agg(*[F.first(c).alias(c) for c in ("shingles", "size", "profile")])
     sets = pin(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     key = sets.select("node", "d1")
-    pairs = two.join(key.toDF("x", "a"), "a").join(key.toDF("y", "b"), "b")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = two.join(key.toDF("x", "a"), "a").join(key.toDF("y", "b"), "b").select(*_pair("x", "y"))
     labels = pin(key.select("node", F.col("node").alias("label")), "labels")
-    open_ = _open(pin(members.join(key, "d1").select("sig", "node"), "members"), labels)
-    star, open_members = _star(open_)
-    links = pin(verified(pairs.union(star), sets, percent), "links")
-    labels = merged(labels, links)
-    round_ = 1
+    left = pin(members.join(key, "d1").select("sig", "node"), "members")
+    release(members, wanted)
+    open_ = _open(left, labels)
+    links, round_ = None, 0
     while True:
-        open_ = _open(open_members, labels)
-        crowd = open_.where(F.col("n") > SMALL)
-        crowded_ = not crowd.isEmpty()
-        if crowded_ and round_ % 3:
-            pairs, open_members = _star(open_)
+        if round_ == 0:
+            pairs = pairs.union(_nominated(open_))
+        elif round_ <= STARS:
+            pairs, stay = _star(open_)
+            left_ = pin(stay, "members")
+            release(left)
+            left = left_
         else:
-            pairs = _small_pairs(open_.where(F.col("n") <= SMALL), sets, percent)
-            open_members = pin(_refined(crowd, sets, percent, round_), "refined") if crowded_ else None
-        more = pin(verified(pairs, sets, percent), "links")
-        links = links.union(more)
-        labels = merged(labels, more)
+            pairs = _block_pairs(open_, sets, percent)
+        more = verified(pairs, sets, percent)
+        labels_ = merged(labels, more)
+        release(labels, open_)
+        labels, links = labels_, more if links is None else links.union(more)
         round_ += 1
-        if open_members is None:
+        open_ = _open(left, labels)
+        if round_ > STARS + 1 or open_.isEmpty():
             break
+    release(left, open_)
     return documents, sets.select("node", "d1", "d2").join(labels, "node"), links
 
 

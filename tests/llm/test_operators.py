@@ -136,13 +136,41 @@ def edited(text, seed, n):
     return " ".join(w)
 
 
+def test_linked_sets_share_a_signature():
+    """No link is lost: random sets at and above the limit, of many sizes, in two families of signatures."""
+    g = np.random.default_rng(3)
+    for percent in (80, 85, 95):
+        for size in [*range(2, 40), 75, 150, 400]:
+            for seed in (0, 1):
+                a = np.unique(g.integers(0, 1 << 63, size).astype(np.uint64))
+                most = len(a) * (100 - percent) // (100 + percent) if seed else len(a) * (100 - percent) // 100
+                b = np.unique(np.concatenate([a[most:], g.integers(0, 1 << 63, most if seed else 0).astype(np.uint64)]))
+                both = len(np.intersect1d(a, b))
+                if len(a) == both == len(b) or 100 * both < percent * (len(a) + len(b) - both):
+                    continue
+                sig, who = jaccard.signatures_of([a, b], percent, seed)
+                assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist()), (percent, size, seed)
+
+
+def test_shingles_side_by_side():
+    texts = [b"", b" ", b"A b", b"a B c d", b"a b c d e f a b c d", "é x\x85y z q".encode()] * 2
+    for n in (1, 4, 5):
+        for text, got in zip(texts, jaccard.shingle_sets(texts, n)):
+            w = text.lower().split()
+            grams = {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+            assert len(got) == len(grams) and (got == jaccard.shingle_set(text, n)).all()
+    assert (jaccard.shingle_set(b"a b c", 4) == jaccard.shingle_set(b"A  B\nC", 4)).all()
+    assert jaccard.shingle_set(b"a b c", 4) != jaccard.shingle_set(b"a b c c", 4)
+
+
 def test_jaccard_equals_brute_force(spark, docs, none, monkeypatch):
-    monkeypatch.setattr(jaccard, "SMALL", 6)  # the crowded path is taken as well
     passage = prose(60, 50)
     texts = [t for _, t in CASES] + [edited(BASE, s, s % 9) for s in range(60)]
     texts += [passage + " " + prose(25, 300 + s) for s in range(60)] + [edited(prose(9, 60), s, 1) for s in range(30)]
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    for n, percent in ((4, 85), (5, 80)):
+    for n, percent, stars, block in ((4, 85, 3, 128), (5, 80, 0, 4), (5, 80, 1, 128)):  # stars alone, blocks at once, both
+        monkeypatch.setattr(jaccard, "STARS", stars)
+        monkeypatch.setattr(jaccard, "BLOCK", block)
         found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(d, n, percent).collect()}
         sets, roots = brute_components(texts, n, percent)
         least = {}
