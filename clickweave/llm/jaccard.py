@@ -23,8 +23,7 @@ an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
-from itertools import chain
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import column, portions, texts, utf8, words_of
+from clickweave.llm.common import column, portions, texts, utf8
 from clickweave.scratch import pin, release
 
 SHINGLE, PERCENT = 4, 85
-#: Sets of a block; star rounds before blocks; cells of a profile; words that a worker remembers; bits of the table
-#: that preselects rows (a fixed size; it lets false ones pass, which joins remove).
-BLOCK, STARS, PROFILE, STORE, TABLE_BITS = 128, 3, 64, 400_000, 27
-SEEN = 200_000
+#: Partners in a share; sets of a block; star rounds before blocks; cells of a profile; nodes that a task connects at once; bits of the table
+#: that preselects rows (a fixed size; it lets false ones pass, which joins remove); digests a task remembers; bytes hashed at once.
+SHARE, BLOCK, STARS, PROFILE, STORE, TABLE_BITS = 256, 128, 3, 256, 400_000, 27
+SEEN, WINDOW = 200_000, 1 << 20
 
 _U = np.uint64
 _M1, _M2, _M3 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
@@ -55,28 +54,71 @@ def _salt(n: int) -> np.uint64:
     return _U(n * int(_M3) & (2**64 - 1))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= STORE:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
-_words = _Words()
+#: A word's hash is a polynomial in one odd base over a random number for each byte; blanks (and the ends of texts) count nothing.
+_BASE = 0x9E3779B97F4A7C15
+_OF_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _M2)
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), 32]] = True
+_OF_BYTE[_BLANK] = 0
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    up, down = (np.full(WINDOW + 1, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def _window_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place, hash) of the words of a window that starts and ends between words."""
+    up, down = _powers()
+    blank = _BLANK[raw]
+    edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+    first, end = edge[::2], edge[1::2]
+    if len(raw) > WINDOW:  # one word longer than a window
+        parts = [_window_words(raw[i : i + WINDOW])[1] for i in range(0, len(raw), WINDOW)]
+        whole = np.array([xxhash.xxh3_64_intdigest(np.concatenate(parts).tobytes())], np.uint64)
+        return first, whole
+    sums = np.append(_U(0), np.cumsum(_OF_BYTE[raw] * up[: len(raw)]))
+    return first, _mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64) * _M1)
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(first place, hash) of each word, A-Z lower-cased, without making the words; a bounded window at a time."""
+    raw = np.frombuffer(text.lower(), np.uint8)
+    at, found = 0, [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    while at < len(raw):
+        end = min(len(raw), at + WINDOW)
+        if end < len(raw):
+            blanks = np.flatnonzero(_BLANK[raw[at:end]])
+            if len(blanks):
+                end = at + int(blanks[-1]) + 1
+            else:  # go on to the end of the word
+                rest = next((i + int(b[0]) for i in range(end, len(raw), WINDOW) if len(b := np.flatnonzero(_BLANK[raw[i : i + WINDOW]]))), len(raw))
+                end = rest
+        first, h = _window_words(raw[at:end])
+        found.append((first + at, h))
+        at = end
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def shingle_sets(texts: list[bytes], n: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; all texts are hashed side by side."""
-    words = [words_of(t) for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    h = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    first, h = word_hashes(b"\n".join(texts))
+    after = np.cumsum([len(t) + 1 for t in texts])
+    ends = np.searchsorted(first, after)
+    sizes = np.diff(ends, prepend=0)
     width = np.repeat(np.minimum(sizes, n), sizes).astype(np.uint64)
     out, ahead = width.copy(), np.append(h, np.zeros(n, np.uint64))
     for i in range(n):
         out = np.where(width > i, _mix(out * _M3 + ahead[i : i + len(h)]), out)
-    ends = np.cumsum(sizes)
-    return [np.unique(out[e - s : e - min(s, n) + 1]) if s else out[:0] for s, e in zip(sizes.tolist(), ends.tolist())]
+    return [_distinct(out[e - s : e - min(s, n) + 1]) if s else out[:0] for s, e in zip(sizes.tolist(), ends.tolist())]
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])]
 
 
 def shingle_set(text: bytes, n: int = SHINGLE) -> np.ndarray:
@@ -193,16 +235,16 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], n: int, percent: int, onl
 
 def profile_of(s: np.ndarray) -> bytes:
     """Elements by cell of their hash, one byte a cell; a full byte stays, which only brings profiles nearer."""
-    return np.minimum(np.bincount((s >> _U(58)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
+    return np.minimum(np.bincount((s >> _U(56)).astype(np.int64), minlength=PROFILE), 255).astype(np.uint8).tobytes()
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], n: int, only) -> Iterator[pa.RecordBatch]:
     for digests, sets in _new_sets(batches, n):
-        found = [(*d, s.view(np.int64), len(s), profile_of(s)) for d, s in zip(digests, sets)]
+        found = [(*d, s.tobytes(), len(s), profile_of(s)) for d, s in zip(digests, sets)]
         if found:
             inside = _in_table(np.array([f[0] for f in found], np.int64), only.value)
             found = [f for f, i in zip(found, inside.tolist()) if i]
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
         names = ["d1", "d2", "shingles", "size", "profile"]
         yield pa.RecordBatch.from_pydict({c: pa.array([f[i] for f in found], t) for i, (c, t) in enumerate(zip(names, types))})
 
@@ -264,15 +306,43 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a < b) of nodes whose sets link."""
+    """The pairs (a < b) of nodes whose sets link.
+
+    A pair belongs to the end that has more pairs. The sets of its partners are sent to that end in shares of
+    a bounded number, the end's own set once to each share; rows are read as a stream.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own = None, np.zeros(0, np.int64)
+        for batch in portions(batches, "shingles"):
+            out = []
+            shingles = column(batch, "shingles").to_pylist()
+            for hub, share, node, raw in zip(*[column(batch, c).to_pylist() for c in ("hub", "share", "node")], shingles):
+                s = np.frombuffer(raw, np.int64)
+                if node == hub:
+                    key, own = (hub, share), s
+                elif key == (hub, share):
+                    both = len(own) + len(s) - len(_distinct(np.concatenate([own, s])))
+                    if both * 100 >= (len(own) + len(s) - both) * percent:
+                        out.append((min(hub, node), max(hub, node)))
+            yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
+
     near = pin(bounded(pairs, sets, percent), "near")
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    both = near.join(b, "b").join(a, "a")
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    links = pin(both.where(common * 100 >= union * percent).select("a", "b"), "links")
-    release(near)
+    degree = near.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    both = near.join(degree.toDF("a", "na"), "a").join(degree.toDF("b", "nb"), "b")
+    first = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    sent = both.select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("node"),
+        F.ceil(F.greatest("na", "nb") / SHARE).alias("shares"),
+    )
+    sent = pin(sent.select("hub", F.pmod(F.xxhash64("node"), F.col("shares")).alias("share"), "node"), "sent")
+    asked = sent.unionByName(sent.select("hub", "share", F.col("hub").alias("node")).distinct())
+    rows = asked.join(sets.select("node", "shingles"), "node").select("hub", "share", "node", "shingles")
+    own = F.when(F.col("node") == F.col("hub"), 0).otherwise(1)
+    rows = rows.repartition("hub", "share").sortWithinPartitions("hub", "share", own)
+    links = pin(rows.mapInArrow(run, "a long, b long"), "links")
+    release(near, sent)
     return links
 
 
@@ -364,45 +434,66 @@ def _star(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidates of all open signatures: their sets in blocks, and each two blocks side by side.
+    """Candidates of all open signatures across components, block by block.
 
-    Rows are sorted by (signature, two blocks) and read as a stream, so a task holds two blocks at most.
+    Of a signature's sets those of the largest component need not meet each other. The rest is cut into blocks;
+    each meets itself, the later ones, and the blocks of the largest component. Rows are sorted by signature
+    and the two blocks and read as a stream, so a task holds two blocks at most.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
-        def pairs() -> list[tuple[int, int]]:
-            node, label, block, size = (np.array([h[i] for h in held], np.int64) for i in range(4))
+        def pairs() -> set[tuple[int, int]]:
+            node, label, side, size = (np.array([h[i] for h in held], np.int64) for i in range(4))
             profile = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(-1, PROFILE)
-            found = set()
-            for i in range(len(held) - 1):
-                rest = slice(i + 1, None)
-                may = _may_link(size[i], profile[i], size[rest], profile[rest], percent) & (label[rest] != label[i])
-                if key[1] != key[2]:
-                    may &= block[rest] != block[i]
-                found.update((min(node[i], x), max(node[i], x)) for x in node[rest][may].tolist())
-            return sorted((int(a), int(b)) for a, b in found)
-
+            out = set()
+            left = np.flatnonzero(side == 0)
+            for i in left.tolist():
+                # within one block each pair once, between two blocks only across
+                rest = left[left > i] if key[1] == key[2] else np.flatnonzero(side == 1)
+                rest = rest[label[rest] != label[i]]
+                near = rest[_may_link(size[i], profile[i], size[rest], profile[rest], percent)]
+                out.update((int(min(node[i], x)), int(max(node[i], x))) for x in node[near].tolist())
+            return out
+
+        found: set[tuple[int, int]] = set()
         for batch in batches:
-            out: list[tuple[int, int]] = []
             for sig, i, j, *row in zip(*[c.to_pylist() for c in batch.columns]):
                 if (sig, i, j) != key:
-                    out += pairs() if len(held) > 1 else []
+                    found |= pairs() if len(held) > 1 else set()
                     key, held = (sig, i, j), []
                 held.append(row)
-            yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
-        last = pairs() if len(held) > 1 else []
-        yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in last], pa.int64()) for k, c in enumerate("ab")})
-
-    blocks = F.ceil(F.col("n") / BLOCK)
-    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("long"))
-    wide = own.select("sig", "node", "label", "own", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-    wide = wide.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label", "own")
-    wide = wide.join(sets.select("node", "size", "profile"), "node").select("sig", "i", "j", "node", "label", "own", "size", "profile")
+            if len(found) >= STORE:
+                yield _ends(found)
+                found = set()
+        yield _ends(found | pairs() if len(held) > 1 else found)
+
+    sized = rows.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("m"))
+    sized = sized.groupBy("sig").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("all"))
+    own = rows.select("sig", "node", "label").join(sized, "sig")
+    major = F.col("label") == F.col("top.label")
+    a, b = F.ceil((F.col("all") - F.col("top.m")) / BLOCK), F.ceil(F.col("top.m") / BLOCK)
+    own = own.select("sig", "node", "label", major.alias("major"), a.alias("a"), b.alias("b"))
+    own = own.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("b")).otherwise(F.col("a"))))
+    # the rest's blocks are 0.., those of the largest component follow them
+    one, last = F.lit(1).cast("long"), F.col("a") + F.col("b") - 1
+    place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    zero, second = F.lit(0).cast("long"), F.lit(1).cast("long")
+    of_major = F.transform(F.sequence(zero, F.col("a") - 1), lambda i: place(i, F.col("a") + F.col("own"), second))
+    as_first = F.transform(F.sequence(F.col("own"), last), lambda j: place(F.col("own"), j, zero))
+    as_second = F.transform(F.sequence(zero, F.col("own") - 1, one), lambda i: place(i, F.col("own"), second))
+    of_rest = F.when(F.col("own") > 0, F.concat(as_first, as_second)).otherwise(as_first)
+    wide = own.select("sig", "node", "label", F.inline(F.when(F.col("major"), of_major).otherwise(of_rest)))
+    wide = wide.join(sets.select("node", "size", "profile"), "node").select("sig", "i", "j", "node", "label", "side", "size", "profile")
     return wide.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(run, "a long, b long")
 
 
+def _ends(found: set[tuple[int, int]]) -> pa.RecordBatch:
+    pairs = sorted(found)
+    return pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in pairs], pa.int64()) for k, c in enumerate("ab")})
+
+
 def _once(members: DataFrame) -> DataFrame:
     """The members of one signature for each distinct collection of sets.
 
@@ -437,7 +528,7 @@ def links_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple
     release(everyone, shared)
     wanted = pin(two.select(F.explode(F.array("a", "b")).alias("d1")).union(members.select("d1")).distinct(), "wanted")
     table = bit_table(wanted, "d1")
-    sets = text.mapInArrow(partial(_set_rows, n=n, only=table), "d1 long, d2 long, shingles array<long>, size long, profile binary")
+    sets = text.mapInArrow(partial(_set_rows, n=n, only=table), "d1 long, d2 long, shingles binary, size long, profile binary")
     sets = sets.join(wanted, "d1", "left_semi").groupBy("d1", "d2").agg(*[F.first(c).alias(c) for c in ("shingles", "size", "profile")])
     sets = pin(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     key = sets.select("node", "d1")
