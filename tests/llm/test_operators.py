@@ -274,6 +274,51 @@ def test_pii_terms_and_sanitising(spark, docs, none):
     assert pii.spans_report(none).count() == pii.sanitised(none).count() == 0
 
 
+def test_pii_secrets(spark):
+    """Literals next to a word that is always next to literals; the same shapes elsewhere stay."""
+    r = random.Random(9)
+    hexes = ["".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(30)]
+    held = [(i, f'{prose(30, 800 + i)} {"Token" if i % 2 else "token"} = "{h}" {prose(30, 900 + i)} call +1 555 123 {i:04d}.') for i, h in enumerate(hexes)]
+    plain = [(100 + i, prose(60, 1000 + i) + f" abcdefghijklmnop{i} iiiiiiiiiiiiiiii1 {prose(20, 1100 + i)}") for i in range(40)]
+    d = spark.createDataFrame(held + plain, "doc_id long, text string").repartition(4)
+    found = {x.doc_id: x for x in pii.spans_report(d).collect()}
+    for i, t in held:
+        at = t.index('"') + 1
+        assert f"secret:{at}:{at + 40}" in found[i].spans.split(",") and found[i].n_secret == 1 and found[i].n_phone == 1
+    assert all(found[i].n_spans == 0 for i, _ in plain)
+    clean = {x.doc_id: x.text for x in pii.sanitised(d).collect()}
+    assert all('= "[SECRET]"' in clean[i] and "[PHONE]" in clean[i] for i, _ in held) and all(clean[i] == t for i, t in plain)
+
+
+def test_pii_disclosure_counts_equal_brute_force(spark):
+    """Shares of information by plain counting over all texts, with terms that stop early among them."""
+    rows = [f"{prose(6, 40 + i % 7)} {'zarko' if i % 3 else 'common'} near u{i % 4}@mail.example.com {prose(5, 60 + i)}" for i in range(60)]
+    rows += [prose(25, 2000 + i) + " common word" for i in range(50)] + ["", None]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").repartition(3)
+    got = {(x.entity, x.term): round(x.disclosure, 9) for x in pii.disclosing_terms(d, 2, 0.5).collect()}
+    contexts, mentions, of_entity = {}, {}, {}
+    for t in rows:
+        ms = list(pii._TERM.finditer(t or ""))
+        words = [m[0].lower() for m in ms]
+        for i, w in enumerate(words):
+            contexts.setdefault(w, set()).add(tuple(words[max(0, i - 2) : i + 3]))
+        for span in pii.base_spans(t or ""):
+            at = sum(m.start() < span[1] for m in ms)
+            near = [i for i in range(max(0, at - pii.WINDOW), min(len(ms), at + pii.WINDOW)) if ms[i].end() <= span[1] or ms[i].start() >= span[2]]
+            e = pii.entity_of(t, span)
+            of_entity.setdefault(e, set()).add(tuple(words[i] for i in near))
+            for i in near:
+                mentions.setdefault((e, words[i]), set()).add(tuple(words[max(0, i - 2) : i + 3]))
+    total = sum(map(len, of_entity.values()))
+    want = {}
+    for (e, w), own in mentions.items():
+        ic = -math.log(len(of_entity[e]) / total)
+        share = 1 + math.log(len(own) / max(len(contexts[w]), len(own))) / ic
+        if len(own) >= 2 and share >= 0.5:
+            want[e, w] = round(share, 9)
+    assert got == want and len(want) > 3
+
+
 def test_mixing_base_and_probability(spark, docs, none):
     found = mixing.scored(docs).collect()
     train = Counter()
