@@ -8,7 +8,7 @@ All other users take one plain window. Results are the same either way.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clickweave.operators.blocks import global_rank, ordered_blocks
 from clickweave.operators.joins import HOT_ROWS, hot_keys, lookup_join
 from clickweave.operators.multivalue import pad
+from clickweave.operators.rows import numbered, put_back
 from clickweave.scratch import pin
 
 
@@ -24,7 +25,7 @@ def _last(c: Column, m: int) -> Column:
 
 
 def _split_hot(events: DataFrame, user: str, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    hot = pin(hot_keys(events, [user], hot_rows), "hot")
+    hot = hot_keys(events, [user], hot_rows)  # read from a table that is written already
     if hot.isEmpty():
         return events, None
     small = F.broadcast(hot)
@@ -141,42 +142,42 @@ def session_items(events: DataFrame, user: str, sess: str, order: Sequence[str],
 
 
 def draw_negatives(
-    clicks: DataFrame, user: str, item_idx: str, n_items: int, draw: Callable[[int], Column], rounds: int = 8,
-    out: str = "neg_idx",
+    clicks: DataFrame, user: str, item_idx: str, n_items: int, draw: Column, out: str = "neg_idx", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One item index the user never touched for every click, null if none exists.
 
-    ``draw(round)`` is a candidate index from the row alone. A candidate found in
-    the user's own history is drawn again; the few rows left after the rounds
-    take the user's smallest free index. Keys are (user, item), so neither a busy
-    user nor a popular item gathers in one task, and no pairs are enumerated.
+    ``draw`` is any whole number of the row (a hash of seed and key). With m own items of the user, the click gets
+    the k-th free index, k = draw mod (n_items - m), so all free indexes are equally likely. The index below which
+    k free ones lie is k plus the own items i_j (j-th smallest) with i_j - j <= k: clicks and own items are merged
+    in the order of that number and counted once. A null user, or an item outside 0..n_items - 1, owns nothing.
     """
-    seen = pin(clicks.select(F.col(user).alias("_u"), F.col(item_idx).cast("bigint").alias("_i")).distinct(), "seen")
-    marked = seen.withColumn("_taken", F.lit(True))
-    pending, parts = clicks, []
-    for r in range(rounds):
-        drawn = pending.withColumn(out, draw(r).cast("bigint"))
-        hit = (F.col(user) == F.col("_u")) & (F.col(out) == F.col("_i"))
-        tried = pin(drawn.join(marked, hit, "left").drop("_u", "_i"), "draw")
-        parts.append(tried.where(F.col("_taken").isNull()).drop("_taken"))
-        pending = tried.where(F.col("_taken")).select(*clicks.columns)
-        if pending.isEmpty():
-            break
-    else:
-        users = pending.select(F.col(user).alias("_u")).distinct()
-        own = seen.join(users, ["_u"], "left_semi")
-        ranked = global_rank(own, [F.col("_i")], "_rank", group=["_u"], few_groups=False)
-        gap = ranked.where(F.col("_i") != F.col("_rank")).groupBy("_u").agg(F.min("_rank").alias("_gap"))
-        size = own.groupBy("_u").agg(F.count(F.lit(1)).alias("_size"))
-        free = size.join(gap, ["_u"], "left").select(
-            F.col("_u").alias(user),
-            F.coalesce("_gap", F.when(F.col("_size") < n_items, F.col("_size"))).cast("bigint").alias(out),
-        )
-        parts.append(lookup_join(pending, free, [user], [out]).select(*clicks.columns, out))
-    done = parts[0]
-    for p in parts[1:]:
-        done = done.unionByName(p)
-    return done
+    inside = F.col(item_idx).between(0, n_items - 1) & F.col(user).isNotNull()
+    seen = clicks.where(inside).select(F.col(user).alias("_u"), F.col(item_idx).cast("bigint").alias("_i")).distinct()
+    ranked = pin(global_rank(seen, [F.col("_i")], "_rank", group=["_u"], few_groups=False), "owned")
+    owned = ranked.groupBy("_u").agg(F.count(F.lit(1)).alias("_m"))
+    rows, row = numbered(clicks.withColumn("_draw", draw.cast("bigint")))
+    met = lookup_join(rows.select(row, F.col(user).alias("_u"), "_draw"), owned, ["_u"], ["_m"])
+    free = F.lit(n_items).cast("bigint") - F.coalesce("_m", F.lit(0))
+    asked = met.select(row, "_u", F.when(free > 0, F.pmod("_draw", free)).alias("_at"), F.lit(1).alias("_click"))
+    # own items come before the clicks of the same number
+    steps = ranked.select(F.lit(None).cast("bigint").alias(row), "_u", (F.col("_i") - F.col("_rank")).alias("_at"), F.lit(0).alias("_click"))
+    merged = asked.where(F.col("_at").isNotNull()).unionByName(steps)
+    order = ["_at", "_click", row]
+    cold, hot = _split_hot(merged, "_u", hot_rows)
+    own = (1 - F.col("_click")).cast("bigint")
+    before = Window.partitionBy("_u").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    counted = cold.withColumn("_own", F.sum(own).over(before)).select(row, "_at", "_click", "_own")
+    if hot is not None:
+        blocked = ordered_blocks(hot, [F.col(c) for c in ["_u", *order]])
+        # one row a user and block is windowed, so a busy user's blocks are, its rows are not
+        earlier = Window.partitionBy("_u").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        sums = blocked.groupBy("_u", "_block").agg(F.sum(own).alias("_s"))
+        sums = sums.select("_u", "_block", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"))
+        inner = Window.partitionBy("_block", "_u").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+        spread = blocked.withColumn("_own", F.sum(own).over(inner)).join(sums, ["_u", "_block"])
+        counted = counted.unionByName(spread.select(row, "_at", "_click", (F.col("_own") + F.col("_before")).alias("_own")))
+    found = counted.where(F.col("_click") == 1).select(row, (F.col("_at") + F.col("_own")).alias(out))
+    return put_back(rows.drop("_draw"), found, row)
 
 
 def next_steps(df: DataFrame, key: Sequence[str], clicked: str, negative: str, length: str) -> DataFrame:

@@ -97,10 +97,8 @@ def keyed_lookup(facts: DataFrame, key: Column, table: DataFrame, on: str, value
 def split_hot_join(
     facts: DataFrame, table: DataFrame, on: list[str], values: list[str], least: int = HOT_ROWS
 ) -> DataFrame:
-    from clickweave.scratch import pin
-
     columns = facts.columns
-    hot = pin(hot_keys(facts, on, least), "hot")
+    hot = hot_keys(facts, on, least)  # read from a table that is written already
     found = table.join(F.broadcast(hot), on, "left_semi")
     # a hot key that the table lacks is hot all the same: its values are null
     hot_rows = hot.join(found, on, "left").select(

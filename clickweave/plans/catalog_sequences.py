@@ -262,27 +262,32 @@ def q10_last(spark, sf):
     return items.join(lengths, "user_id").select("user_id", "sess", "sess_length", F.array_join("items", ",").alias("items"))
 
 
-ROUNDS = 12
-_draw = "(l_orderkey*7919 + l_linenumber*131 + l_partkey*17 + {r}*104729 + 13)"
+_draw = "(l_orderkey*7919 + l_linenumber*131 + l_partkey*17 + 13)"
+_free = f"""WITH clicks AS (SELECT row_number() OVER () AS r, o_custkey, l_orderkey, l_linenumber, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+own AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i FROM clicks WHERE l_partkey < (SELECT count(*) FROM part)),
+gaps AS (SELECT u, i - (row_number() OVER (PARTITION BY u ORDER BY i) - 1) AS gap FROM own),
+k AS (SELECT clicks.*, {_draw} % ((SELECT count(*) FROM part) - coalesce(m, 0)) AS k FROM clicks LEFT JOIN (SELECT u, count(*) AS m FROM own GROUP BY u) ON o_custkey = u)
+SELECT o_custkey, l_orderkey, l_linenumber, l_partkey, k + count(gap) AS neg_idx FROM k LEFT JOIN gaps ON o_custkey = u AND gap <= k
+GROUP BY r, o_custkey, l_orderkey, l_linenumber, l_partkey, k"""
 
 
-@register(
-    "q11_negative_history",
-    f"""WITH clicks AS (SELECT o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-own AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i FROM clicks),
-c AS (SELECT clicks.*, r, {_draw.format(r='r')} % (SELECT count(*) FROM part) AS cand FROM clicks, range(0, {ROUNDS}) t(r)),
-ok AS (SELECT c.* FROM c ANTI JOIN own ON c.o_custkey = own.u AND c.cand = own.i)
-SELECT o_custkey, l_orderkey, l_linenumber, l_partkey, CAST(arg_min(cand, r) AS BIGINT) AS neg_idx FROM ok
-GROUP BY o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice""",
-)
-def q11(spark, sf):
+def _negatives(spark, sf, **how):
     """Bought parts as clicks: one part the customer never bought per bought part."""
     clicks = read(spark, sf, "lineitem").join(read(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    clicks = clicks.select("o_custkey", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    clicks = clicks.select("o_custkey", "l_orderkey", "l_linenumber", "l_partkey")
     n = read(spark, sf, "part").count()
-    draw = lambda r: F.expr(_draw.format(r=r)) % n
-    out = H.draw_negatives(clicks, "o_custkey", "l_partkey", n, draw, ROUNDS)
-    return out.select("o_custkey", "l_orderkey", "l_linenumber", "l_partkey", "neg_idx")
+    return H.draw_negatives(clicks, "o_custkey", "l_partkey", n, F.expr(_draw), **how)
+
+
+@register("q11_negative_history", _free)
+def q11(spark, sf):
+    return _negatives(spark, sf)
+
+
+@register("q11_negative_history_hot_users", _free)
+def q11_hot(spark, sf):
+    """The same with every customer of more than ten rows counted in blocks."""
+    return _negatives(spark, sf, hot_rows=10)
 
 
 NEG = "(({x}) % (SELECT max(item) FROM it) + 1)"

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickweave.sources.partitions import has_files, list_folders
+
 
 def _schema(schema: str | T.StructType) -> T.StructType:
     return T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -81,15 +83,15 @@ def write_store(df: DataFrame, path: str, version: str, partition_by: Sequence[s
 
 def read_store(spark: SparkSession, path: str, schema: str | T.StructType, version: str | None = None) -> DataFrame:
     """Rows of one version; by default the newest: the largest number where all versions are numbers, else the last text."""
-    want = T.StructType([*_schema(schema).fields, T.StructField("version", T.StringType())])
-    df = spark.read.schema(want).parquet(path)
     if version is None:
-        number = F.expr("try_cast(version AS bigint)")
-        newest = F.when(F.count("version") == F.count(number), F.max_by("version", number)).otherwise(F.max("version"))
-        version = df.agg(newest).first()[0]
-        if version is None:
+        # listed, not read: no data file is opened to find the newest version
+        found = {v: f for v, f in list_folders(spark, path, "version").items() if has_files(spark, f)}
+        if not found:
             raise ValueError(f"no version under {path}")
-    return df.where(F.col("version") == version).drop("version")
+        version = max(found, key=int) if all(v.lstrip("-").isdigit() for v in found) else max(found)
+        return spark.read.schema(_schema(schema)).parquet(found[version])
+    want = T.StructType([*_schema(schema).fields, T.StructField("version", T.StringType())])
+    return spark.read.schema(want).parquet(path).where(F.col("version") == version).drop("version")
 
 
 def write_predictions(df: DataFrame, path: str, partition_by: Sequence[str] = ("dt", "hour")) -> None:

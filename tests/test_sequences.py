@@ -169,15 +169,24 @@ def test_negatives_are_never_own_items(spark):
     # user 0 owns all but one item, user 1 owns everything, user 2 owns one
     rows = [(0, i) for i in range(10) if i != 6] + [(1, i) for i in range(10)] + [(2, 4)] * 30
     df = spark.createDataFrame([(n, u, i) for n, (u, i) in enumerate(rows)], "k long, u long, i long")
-    out = H.draw_negatives(df, "u", "i", 10, lambda r: (F.col("k") * 7 + r * 3) % 10, rounds=2).collect()
-    assert len(out) == len(rows)
-    for r in out:
-        if r["u"] == 0:
-            assert r["neg_idx"] == 6
-        elif r["u"] == 1:
-            assert r["neg_idx"] is None
-        else:
-            assert r["neg_idx"] != 4
+    rows += [(None, 3), (3, None), (3, 99)]
+    df = spark.createDataFrame([(n, u, i) for n, (u, i) in enumerate(rows)], "k long, u long, i long").repartition(3)
+    plans = [sorted(map(tuple, H.draw_negatives(df, "u", "i", 10, F.col("k") * 7, hot_rows=n).collect()), key=str) for n in (100_000, 5)]
+    assert plans[0] == plans[1] and len(plans[0]) == len(rows)
+    for k, u, _, neg in plans[0]:
+        own = {i for v, i in rows if v == u and u is not None and i is not None and i < 10}
+        free = [i for i in range(10) if i not in own]
+        assert neg == (free[k * 7 % len(free)] if free else None)
+
+
+def test_negatives_are_uniform_over_free_items(spark):
+    df = spark.range(9000).select((F.col("id") % 3).alias("u"), (F.col("id") % 7 * 2).alias("i"), "id")
+    got = H.draw_negatives(df, "u", "i", 20, F.xxhash64(F.lit(5), "id")).where("u = 1").groupBy("neg_idx").count().collect()
+    free = [i for i in range(20) if i % 2 or i > 12]
+    counts = {r["neg_idx"]: r["count"] for r in got}
+    assert set(counts) == set(free)
+    mean = 3000 / len(free)
+    assert sum((c - mean) ** 2 / mean for c in counts.values()) < 35  # 12 degrees of freedom, far beyond the 0.1 % point
 
 
 def test_next_steps(spark):

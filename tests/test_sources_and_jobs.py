@@ -53,6 +53,22 @@ def test_latest_partition_rules(spark, tmp_path):
     assert "PartitionFilters" in plan
 
 
+def test_newest_folder_is_found_by_listing(spark, tmp_path):
+    path = tmp_path / "p"
+    rows = [("20241029", "23", 1), ("20241030", "07", 2), ("20241030", "08", 3)]
+    T.write_predictions(spark.createDataFrame(rows, "dt string, hour string, v int"), str(path))
+    for n in range(3000):  # older folders whose files no reader could open
+        (path / f"dt=2023{n:04d}" / "hour=00").mkdir(parents=True)
+        (path / f"dt=2023{n:04d}" / "hour=00" / "part-0.parquet").write_bytes(b"no parquet")
+    (path / "dt=20241031" / "hour=00").mkdir(parents=True)
+    (path / "dt=20241031" / "hour=00" / "_SUCCESS").touch()
+    got = PT.read_newest(spark, str(path), "v int")
+    assert [tuple(r) for r in got.select("v", "dt", "hour").collect()] == [(3, "20241030", "08")] and got.columns == ["v", "dt", "hour"]
+    assert sorted(r["v"] for r in PT.read_newest(spark, str(path), "v int, hour string", ("dt",)).collect()) == [2, 3]
+    with pytest.raises(ValueError):
+        PT.read_newest(spark, str(tmp_path / "none"), "v int")
+
+
 def test_versioned_store(spark, tmp_path):
     path = str(tmp_path / "s")
     for v in ("1", "2", "1"):
