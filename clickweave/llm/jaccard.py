@@ -305,8 +305,8 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.select("a", "b", "size_a", "profile_a", "size_b", "profile_b").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a < b) of nodes whose sets link.
+def verified(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a < b) of nodes whose sets link, of pairs that their profiles allow.
 
     A pair belongs to the end that has more pairs. The sets of its partners are sent to that end in shares of
     a bounded number, the end's own set once to each share; rows are read as a stream.
@@ -327,7 +327,6 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         out.append((min(hub, node), max(hub, node)))
             yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
 
-    near = pin(bounded(pairs, sets, percent), "near")
     degree = near.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
     both = near.join(degree.toDF("a", "na"), "a").join(degree.toDF("b", "nb"), "b")
     first = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
@@ -342,10 +341,31 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = F.when(F.col("node") == F.col("hub"), 0).otherwise(1)
     rows = rows.repartition("hub", "share").sortWithinPartitions("hub", "share", own)
     links = pin(rows.mapInArrow(run, "a long, b long"), "links")
-    release(near, sent)
+    release(sent)
     return links
 
 
+def connected(pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, nodes: int) -> tuple[DataFrame, DataFrame]:
+    """(labels after the links among the pairs, those links).
+
+    At most as many pairs as there are sets are compared at a time, so what is sent never exceeds the sets'
+    own size much; pairs that earlier ones have connected are left out.
+    """
+    near = pin(bounded(pairs, sets, percent), "near")
+    slices, links = max(1, -(-near.count() // max(1, nodes))), None
+    for number in range(slices):
+        part = near.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == number) if slices > 1 else near
+        if number:
+            apart = part.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b").where("la <> lb")
+            part = pin(apart.select("a", "b"), "part")
+        more = verified(part, sets, percent)
+        labels_ = merged(labels, more)
+        release(labels, *([part] if number else []))
+        labels, links = labels_, more if links is None else links.union(more)
+    release(near)
+    return labels, links
+
+
 def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's edges as stars around their smallest ends, in both directions; as much at once as memory allows."""
     parent: dict[int, int] = {}
@@ -537,7 +557,7 @@ def links_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple
     left = pin(members.join(key, "d1").select("sig", "node"), "members")
     release(members, wanted)
     open_ = _open(left, labels)
-    links, round_ = None, 0
+    links, round_, nodes = None, 0, sets.count()
     while True:
         if round_ == 0:
             pairs = pairs.union(_nominated(open_))
@@ -548,10 +568,9 @@ def links_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> tuple
             left = left_
         else:
             pairs = _block_pairs(open_, sets, percent)
-        more = verified(pairs, sets, percent)
-        labels_ = merged(labels, more)
-        release(labels, open_)
-        labels, links = labels_, more if links is None else links.union(more)
+        labels, more = connected(pairs, sets, labels, percent, nodes)
+        release(open_)
+        links = more if links is None else links.union(more)
         round_ += 1
         open_ = _open(left, labels)
         if round_ > STARS + 1 or open_.isEmpty():
