@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import column, portions, texts, utf8
+from clickweave.operators.joins import row_limit
 from clickweave.scratch import pin, release
 
 SHINGLE, PERCENT = 4, 85
@@ -305,8 +306,8 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return wide.select("a", "b", "size_a", "profile_a", "size_b", "profile_b").mapInArrow(run, "a long, b long")
 
 
-def verified(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a < b) of nodes whose sets link, of pairs that their profiles allow.
+def verified(near: DataFrame, sets: DataFrame, percent: int, count: int) -> DataFrame:
+    """The pairs (a < b) of nodes whose sets link, of ``count`` pairs or fewer that their profiles allow.
 
     A pair belongs to the end that has more pairs. The sets of its partners are sent to that end in shares of
     a bounded number, the end's own set once to each share; rows are read as a stream.
@@ -337,7 +338,9 @@ def verified(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     sent = pin(sent.select("hub", F.pmod(F.xxhash64("node"), F.col("shares")).alias("share"), "node"), "sent")
     asked = sent.unionByName(sent.select("hub", "share", F.col("hub").alias("node")).distinct())
-    rows = asked.join(sets.select("node", "shingles"), "node").select("hub", "share", "node", "shingles")
+    # at most two rows a pair, three numbers each; where they fit, the sets stay in place until they are sent
+    asked = F.broadcast(asked) if 2 * count <= row_limit(40) else asked
+    rows = sets.select("node", "shingles").join(asked, "node").select("hub", "share", "node", "shingles")
     own = F.when(F.col("node") == F.col("hub"), 0).otherwise(1)
     rows = rows.repartition("hub", "share").sortWithinPartitions("hub", "share", own)
     links = pin(rows.mapInArrow(run, "a long, b long"), "links")
@@ -348,17 +351,18 @@ def verified(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def connected(pairs: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, nodes: int) -> tuple[DataFrame, DataFrame]:
     """(labels after the links among the pairs, those links).
 
-    At most as many pairs as there are sets are compared at a time, so what is sent never exceeds the sets'
-    own size much; pairs that earlier ones have connected are left out.
+    At most a quarter as many pairs as there are sets are compared at a time, so what is sent never exceeds
+    half of the sets' own size; pairs that earlier ones have connected are left out.
     """
     near = pin(bounded(pairs, sets, percent), "near")
-    slices, links = max(1, -(-near.count() // max(1, nodes))), None
+    count, links = near.count(), None
+    slices = max(1, -(-4 * count // max(1, nodes)))
     for number in range(slices):
         part = near.where(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == number) if slices > 1 else near
         if number:
             apart = part.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b").where("la <> lb")
             part = pin(apart.select("a", "b"), "part")
-        more = verified(part, sets, percent)
+        more = verified(part, sets, percent, count)
         labels_ = merged(labels, more)
         release(labels, *([part] if number else []))
         labels, links = labels_, more if links is None else links.union(more)
