@@ -474,14 +474,25 @@ def x22(spark, sf):
 
 # ---- embedding tables --------------------------------------------------
 
-@register("e1_embedding_table_create")
+@register(
+    "e1_embedding_table_create",
+    f"WITH {ENC}, u AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, max(i{f}) + 2 AS n FROM enc" for f, c in enumerate(SPARSE))
+    + f") SELECT feature, CAST(n AS BIGINT) AS ids, CAST(n * {WIDE} AS BIGINT) AS cells, TRUE AS centred, TRUE AS scaled, TRUE AS again FROM u",
+)
 def e1(spark, sf):
-    """Rows only: seeded normals from a hash; per table its size and moments."""
+    """Seeded normals from a hash: per table its size, mean and spread within five standard errors, and the same again."""
     _, sizes = stored_vocab(spark, sf)
     table = emb.create_table(spark, {f: n + 1 for f, n in sizes.items()}, WIDE, seed=7)
-    cells = table.select("feature", "idx", F.explode("vec").alias("x"))
-    return cells.groupBy("feature").agg(
-        F.countDistinct("idx").alias("ids"), F.count("x").alias("cells"), F.avg("x").alias("mean"), F.stddev("x").alias("std")
+    again = emb.create_table(spark, {f: n + 1 for f, n in sizes.items()}, WIDE, seed=7).select("feature", "idx", F.col("vec").alias("vec2"))
+    both = table.join(again, ["feature", "idx"])
+    cells = both.select("feature", "idx", (F.col("vec") == F.col("vec2")).alias("same"), F.explode("vec").alias("x"))
+    sizes_ = [F.countDistinct("idx").alias("ids"), F.count("x").alias("cells"), F.avg("x").alias("mean"), F.stddev("x").alias("std"), F.min("same").alias("again")]
+    found = cells.groupBy("feature").agg(*sizes_)
+    root = F.sqrt(F.col("cells"))
+    return found.select(
+        "feature", "ids", "cells", (F.abs("mean") < 5 * 1e-4 / root).alias("centred"),
+        (F.abs(F.col("std") - 1e-4) < 5 * 1e-4 / root).alias("scaled"), "again",
     )
 
 

@@ -390,12 +390,27 @@ def f23(spark, sf):
     return df.select(*ROW, *SPARSE)
 
 
-@register("f24_random_split")
+@register(
+    "f24_random_split",
+    f"WITH {IMP} SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice)) AS keys, "
+    "TRUE AS fifth, TRUE AS unbiased, TRUE AS apart FROM imp",
+)
 def f24(spark, sf):
-    """Rows only: sizes and label means of both sides of a key-hash split."""
+    """A key-hash split: no row lost, a fifth tested, the label's mean alike on both sides (within five standard
+    errors), no key on both sides."""
     train, test = S.hash_split(impressions(spark, sf), KEY)
-    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    return both.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("label_mean"))
+    both = train.withColumn("side", F.lit(0)).unionByName(test.withColumn("side", F.lit(1)))
+    keys = both.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.sum("side").alias("tested"), F.sum("label").alias("y"))
+    tested, y = F.sum("tested"), F.sum(F.when(F.col("tested") > 0, F.col("y")).otherwise(0))
+    told = keys.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"), tested.alias("t"), F.sum("y").alias("all"), y.alias("yt"),
+        F.min((F.col("tested") == 0) | (F.col("tested") == F.col("n"))).alias("apart"),
+    )
+    error = F.sqrt(F.lit(0.25) / F.col("t") + F.lit(0.25) / (F.col("n") - F.col("t")))
+    return told.select(
+        "n", "keys", (F.abs(F.col("t") / F.col("n") - 0.2) < 2.5 / F.sqrt("n")).alias("fifth"),
+        (F.abs(F.col("yt") / F.col("t") - (F.col("all") - F.col("yt")) / (F.col("n") - F.col("t"))) < 5 * error).alias("unbiased"), "apart",
+    )
 
 
 def _tail_sql(share: float) -> str:
