@@ -9,6 +9,9 @@ import weakref
 from pyspark.sql import DataFrame, SparkSession
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: the shuffles behind it go when the write ends, since the table replaces them, and batches for
+#: Python workers are bounded by their bytes (rows alone bound nothing where texts are long).
+WRITING = {CLEANUP: "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 _local_roots: dict[str, str] = {}
 
@@ -34,13 +37,14 @@ def pin(df: DataFrame, name: str = "t") -> DataFrame:
     """Write once to shared storage and read back: short lineage, real size statistics."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    # the written table replaces the shuffles behind it; their files may go when the write ends
-    was = spark.conf.get(CLEANUP, None)
+    before = {name: spark.conf.get(name, None) for name in WRITING}
     try:
-        spark.conf.set(CLEANUP, "true")
+        for setting, value in WRITING.items():
+            spark.conf.set(setting, value)
         df.write.mode("error").parquet(path)
     finally:
-        spark.conf.set(CLEANUP, was) if was is not None else spark.conf.unset(CLEANUP)
+        for setting, was in before.items():
+            spark.conf.set(setting, was) if was is not None else spark.conf.unset(setting)
     out = spark.read.schema(df.schema).parquet(path)
     _paths[id(out)] = (weakref.ref(out), path)
     return out
