@@ -131,7 +131,8 @@ def s13(spark, sf):
 
 @register("s14_prediction_sink", f"WITH {DT} SELECT dt, hour, count(*) AS n, {r6('sum(value)', 4)} AS total FROM dp GROUP BY dt, hour")
 def s14(spark, sf):
-    return _by_hour(spark, sf).groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("value"), 4).alias("total"))
+    rows = PT.read_partitioned(spark, _by_hour(spark, sf), "event_id bigint, value double")
+    return rows.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("value"), 4).alias("total"))
 
 
 @register("s16_sample_look", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")

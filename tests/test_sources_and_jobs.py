@@ -224,3 +224,13 @@ def test_predictions_of_other_hours_stay(spark, tmp_path):
     for hour, v in (("00", 1), ("01", 2), ("01", 3)):
         T.write_predictions(spark.createDataFrame([("20240101", hour, v)], "dt string, hour string, v int"), path)
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 3]
+
+
+def test_prediction_sink_is_read_back(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [(1, "2024-10-29 01:00:00", 1.5), (2, "2024-10-29 13:00:00", 2.0), (3, "2024-10-29 02:00:00", 0.25), (4, "2024-10-30 00:00:00", None)]
+    events = spark.createDataFrame(rows, "event_id bigint, t string, value double")
+    events.select("event_id", F.to_timestamp_ntz("t").alias("ts"), "value").write.parquet(str(tmp_path / "events.parquet"))
+    got = {tuple(r) for r in entry.queries()["s14_prediction_sink"](spark, str(tmp_path)).collect()}
+    assert got == {("20241029", "00", 2, 1.75), ("20241029", "12", 1, 2.0), ("20241030", "00", 1, None)}
