@@ -7,15 +7,17 @@ depend on each other once the errors are known, so the fold is exact in parallel
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import log_loss_term, sigmoid
 from clickweave.functions.vectors import let, total
-from clickweave.operators.blocks import ordered_blocks
+from clickweave.operators.blocks import block_count
 from clickweave.operators.embedding import seeded_normal
 from clickweave.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 from clickweave.operators.prepare import long_form
@@ -35,7 +37,7 @@ class FtrlSettings:
     std: float = 0.1
     seed: int = 2020
     cross: str = "self"
-    # rows of one key folded in one go; longer batches are folded in this many rows at a time
+    # rows of one key folded in one go; longer batches are folded as a stream of sorted rows
     fold_rows: int = 200_000
 
 
@@ -221,26 +223,81 @@ def _schema() -> str:
     return SCHEMA
 
 
+def _fold_on(state: dict, x: list[float], e: list[float], s: FtrlSettings) -> None:
+    """``_step`` over consecutive pairs of one key, in place and in the same order of operations."""
+
+    def sign(a: float) -> float:
+        return 1.0 if a > 0 else -1.0 if a < 0 else a
+
+    w, z, n, v, zf, nf = (state[c] for c in VALUES)
+    for a, b in zip(x, e):
+        ge = b * a
+        pull = s.l1 * sign(w) if s.l1 else 0.0
+        z = z + ge - pull
+        if s.l2:
+            z = z - s.l2 * w
+        n, nf = n + 1.0, nf + 1.0
+        rate = s.beta + math.sqrt(nf)
+        zf = [f + ge * c for f, c in zip(zf, v)]
+        v = [(f - s.l1 * sign(c)) / rate for f, c in zip(zf, v)] if s.l1 else [f / rate for f in zf]
+        w = (z - pull) / (s.beta + math.sqrt(n))
+    state.update(zip(VALUES, (w, z, n, v, zf, nf)))
+
+
+def _fold_sorted(batches: Iterator, s: FtrlSettings) -> Iterator:
+    """New states from rows sorted by key, the states of a key before its pairs and these in row order."""
+    import numpy as np
+    import pyarrow as pa
+
+    numbers, lists = pa.float64(), pa.list_(pa.float64())
+    schema = pa.schema([("key", pa.string()), *[(c, lists if c in ("v", "zf") else numbers) for c in VALUES]])
+    key, states, touched = None, [], False
+
+    def done() -> Iterator:
+        if states and touched:
+            yield pa.RecordBatch.from_pylist([{"key": key, **state} for state in states], schema=schema)
+
+    for batch in batches:
+        names, has_seq, is_pair = batch["key"], batch["seq"].is_valid().to_numpy(False), batch["_pair"].to_numpy(False)
+        x, e = (batch[c].to_numpy(zero_copy_only=False) for c in ("x", "e"))
+        codes = names.dictionary_encode().indices.to_numpy(False)
+        cuts = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+        for start, end in zip(cuts, cuts[1:]):
+            if start == end:
+                continue
+            if names[start].as_py() != key:
+                yield from done()
+                key, states, touched = names[start].as_py(), [], False
+            first = start + int((~is_pair[start:end]).sum())
+            states += [batch["state"][i].as_py() for i in range(start, first)]
+            touched = touched or first < end
+            first += int((~has_seq[first:end]).sum())  # a pair without a place in the order only marks its key
+            if first < end:
+                a, b = x[first:end].tolist(), e[first:end].tolist()
+                for state in states:
+                    _fold_on(state, a, b, s)
+    yield from done()
+
+
 def fold_in_rounds(pairs: DataFrame, keys: DataFrame, batch_rows: int, s: FtrlSettings) -> DataFrame:
-    """Fold in consecutive row ranges so that no key ever gathers more than one range.
+    """``fold`` for any batch: a longer one than ``fold_rows`` is folded as a stream in row order, in one job.
 
     A key present in every row (a bias, a number) would otherwise collect the
-    whole batch. The recurrence of a key is sequential, so ranges follow each
-    other; each of them is one distributed job and the result is the same.
+    whole batch. The recurrence of a key is sequential: its pairs are sorted by
+    Spark, which spills what does not fit, and a task holds one Arrow batch of them.
     """
     if batch_rows <= s.fold_rows:
         return fold(pairs, keys, s)
-    pairs = _taught(pairs)
-    keys = keys.join(pairs.select("key").distinct(), ["key"], "left_semi")  # as in a single fold: touched keys only
-    rounds = -(-batch_rows // s.fold_rows)
-    ranges = pin(ordered_blocks(pairs.select("seq").distinct(), [F.col("seq")], rounds).select("seq", "_block"), "ranges")
-    placed = pin(pairs.join(ranges, ["seq"]), "pairs")
-    current = keys
-    for r in range(rounds):
-        new = fold(placed.where(F.col("_block") == r).select("key", "seq", "x", "e"), current, s)
-        same = current.join(new.select("key"), ["key"], "left_anti")
-        current = pin(new.unionByName(same), "fold")
-    return current
+    state = F.struct(*VALUES)
+    first = keys.select(
+        "key", F.lit(False).alias("_pair"), *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in ("seq", "x", "e")],
+        state.alias("state"),
+    )
+    then = _taught(pairs).select("key", F.lit(True).alias("_pair"), "seq", "x", "e", F.lit(None).cast(first.schema["state"].dataType).alias("state"))
+    rows = first.unionByName(then).where(F.col("key").isNotNull())
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in ("x", "e")})
+    rows = rows.repartition(block_count(rows), "key").sortWithinPartitions("key", "_pair", "seq", "x", "e")
+    return pin(rows.mapInArrow(partial(_fold_sorted, s=s), _schema()), "fold")
 
 
 def learn_batch(batch: DataFrame, batch_id: int, store: LearnerState, rows: Rows, s: FtrlSettings) -> float:

@@ -173,3 +173,21 @@ def test_null_values_teach_nothing_and_untouched_keys_stay_away(spark, fold_rows
     got = O.fold_in_rounds(pairs, keys, len(rows), s).collect()
     assert [(r["key"], r["z"], r["n"]) for r in got] == [("a", 1.0, 2.0)]
     assert [(r["key"], r["z"], r["n"]) for r in O.closed_form_weights(pairs, keys, s).collect()] == [("a", 1.0, 2.0)]
+
+
+@pytest.mark.parametrize("l1, l2", [(0.01, 0.02), (0.0, 0.0)])
+def test_many_fold_ranges_take_one_job_and_keep_the_order(spark, l1, l2):
+    rows = [("k" if i % 3 else f"rare{i % 2}", (7 * i) % 400, ((i * 13) % 17) / 17 - 0.4, ((i * 5) % 11) / 11 - 0.5) for i in range(800)]
+    rows += [("k", None, 0.5, 0.5), ("only_null", None, 1.0, 1.0), (None, 3, 1.0, 1.0), ("k", 3, None, 1.0), ("stateless", 1, 1.0, 1.0)]
+    pairs = spark.createDataFrame(rows, "key string, seq long, x double, e double")
+    start = [(k, 0.1, 0.2, 1.0, [0.3, -0.1], [0.2, 0.0], 1.0) for k in ("k", "rare0", "rare1", "only_null", "untouched")]
+    start += [("k", -0.3, 0.1, 2.0, [0.1, 0.4], [0.0, 0.1], 2.0), (None, 0.1, 0.2, 1.0, [0.3, -0.1], [0.2, 0.0], 1.0)]
+    keys = spark.createDataFrame(start, O._schema())
+    whole = O.fold(pairs.where("seq is not null"), keys, O.FtrlSettings(k=2, l1=l1, l2=l2)).collect()
+    whole += keys.where("key = 'only_null'").collect()
+    spark.sparkContext.setJobGroup("ranges", "ranges")
+    got = O.fold_in_rounds(pairs, keys, len(rows), O.FtrlSettings(k=2, l1=l1, l2=l2, fold_rows=3))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("ranges")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 10  # not one or more a range
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole))
