@@ -55,7 +55,9 @@ def minus(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x - y)
 
 
-def scale(a: Column, s: Column) -> Column:
+def scale(a: Column, s: Column, dim: int | None = None) -> Column:
+    if dim is not None:
+        return F.array(*[x * s for x in elements(a, dim)])
     return let(s, lambda k: F.transform(a, lambda x: x * k))
 
 
@@ -101,6 +103,17 @@ def elements(v: Column, width: int) -> list[Column]:
     return [v.getItem(i) for i in range(width)]
 
 
+def in_small_methods(df, **cols):
+    """``df`` with ``cols``, compiled as many small methods.
+
+    A fused stage writes a projection as one method, and beyond 8,000 bytes the JVM only interprets it. A projection with
+    a higher-order function is not fused: here the first column passes through one, all others are compiled as written.
+    """
+    first = df.columns[0]
+    passed = F.transform(F.array(F.col(f"`{first}`")), lambda x: x).getItem(0)
+    return df.withColumns({first: passed, **cols})
+
+
 def with_columns(df, **cols):
     """Project step by step so that a shared vector is computed once."""
     for name, c in cols.items():

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import sigmoid
 from clickweave.functions.vectors import (
-    column_sum, dot, elements, hadamard, literal, matvec, plus, quadratic, relu, scale, softmax, total, vector_sum,
+    column_sum, dot, elements, hadamard, in_small_methods, literal, matvec, plus, quadratic, relu, scale, softmax, total, vector_sum,
 )
 
 # fixed value: up to this many products a sum is written out, which compiles to
 # straight arithmetic; longer ones use array functions so the method stays small
 UNROLL = 256
+# and up to this many where the projection is compiled as many small methods
+WRITTEN = 2048
 
 
 def pairs(n: int) -> list[tuple[int, int]]:
@@ -128,6 +130,9 @@ def outer_products(vectors: Sequence[Column], kernels: Sequence, kind: str = "ma
         return [dot(vectors[j], matvec(literal(k), vectors[i])) for (i, j), k in zip(ij, kernels)]
     products = _width(dim, len(ij) * (dim or 0))
     if kind == "vec":
+        if products:
+            cells = [zip(k, elements(vectors[i], products), elements(vectors[j], products)) for (i, j), k in zip(ij, kernels)]
+            return [column_sum([F.lit(float(a)) * (x * y) for a, x, y in c]) for c in cells]
         return [dot(literal(k), hadamard(vectors[i], vectors[j])) for (i, j), k in zip(ij, kernels)]
     if kind == "num":
         return [F.lit(float(k)) * dot(vectors[i], vectors[j], products) for (i, j), k in zip(ij, kernels)]
@@ -163,14 +168,14 @@ def bilinear(vectors: Sequence[Column], kernels, kind: str = "interaction", dim:
         return matvec(literal(columns), v)
 
     if kind == "interaction":
-        return [hadamard(times(vectors[i], kernels[n]), vectors[j]) for n, (i, j) in enumerate(ij)]
+        return [hadamard(times(vectors[i], kernels[n]), vectors[j], w) for n, (i, j) in enumerate(ij)]
     if kind == "each":
         left = [times(v, kernels[i]) for i, v in enumerate(vectors[:-1])]
     elif kind == "all":
         left = [times(v, kernels) for v in vectors[:-1]]
     else:
         raise ValueError(f"unknown bilinear kind {kind}")
-    return [hadamard(left[i], vectors[j]) for i, j in ij]
+    return [hadamard(left[i], vectors[j], w) for i, j in ij]
 
 
 def pair_products(vectors: Sequence[Column], dim: int | None = None) -> Column:
@@ -185,8 +190,29 @@ def pair_attention(products: Column, w, b, h) -> Column:
     return softmax(scores)
 
 
-def attentional_fm(products: Column, weights: Column, projection: Sequence[float]) -> Column:
-    """Projection of the weighted pair sum; linear, so pairs are projected first."""
+def with_pair_attention(df: DataFrame, products: str, n: int, w, b, h, out: str) -> DataFrame:
+    """``pair_attention`` of ``n`` pairs of known width, written out; each step is a projection of its own."""
+    scores = []
+    for i in range(n):
+        x = elements(F.col(products).getItem(i), len(w))
+        hidden = [
+            F.greatest(column_sum([F.lit(float(w[d][t])) * x[d] for d in range(len(w))]) + F.lit(float(b[t])), F.lit(0.0))
+            for t in range(len(h))
+        ]
+        scores.append(column_sum([a * F.lit(float(k)) for a, k in zip(hidden, h)]))
+    cur = in_small_methods(df, _scores=F.array(*scores)).withColumn("_top", F.array_max("_scores"))
+    cur = cur.withColumn("_exp", F.array(*[F.exp(s - F.col("_top")) for s in elements(F.col("_scores"), n)]))
+    cur = cur.withColumn("_norm", column_sum(elements(F.col("_exp"), n)))
+    cur = cur.withColumn(out, F.array(*[e / F.col("_norm") for e in elements(F.col("_exp"), n)]))
+    return cur.drop("_scores", "_top", "_exp", "_norm")
+
+
+def attentional_fm(products: Column, weights: Column, projection: Sequence[float], n: int | None = None) -> Column:
+    """Projection of the weighted pair sum; linear, so pairs are projected first. ``n`` pairs, if known, are written out."""
+    if n is not None:
+        cells = [elements(products.getItem(i), len(projection)) for i in range(n)]
+        sums = [column_sum([x * F.lit(float(k)) for x, k in zip(c, projection)]) for c in cells]
+        return column_sum([a * s for a, s in zip(elements(weights, n), sums)])
     p = literal(list(projection))
     return total(F.zip_with(products, weights, lambda x, a: a * dot(x, p)))
 
@@ -213,8 +239,8 @@ def field_gates(gates: Sequence[float], tau: float = 1.0) -> list[float]:
     return [x / sum(e) for x in e]
 
 
-def gate(vectors: Sequence[Column], gates: Sequence[float], tau: float = 1.0) -> list[Column]:
-    return [scale(v, F.lit(g)) for v, g in zip(vectors, field_gates(gates, tau))]
+def gate(vectors: Sequence[Column], gates: Sequence[float], tau: float = 1.0, dim: int | None = None) -> list[Column]:
+    return [scale(v, F.lit(g), dim) for v, g in zip(vectors, field_gates(gates, tau))]
 
 
 def input_aware_factors(logits: Column, fields: int) -> Column:
@@ -243,6 +269,11 @@ def cross_vector(x0: Column, xl: Column, w: Sequence[float], b: Sequence[float])
 
 def cross_matrix(x0: Column, xl: Column, w, b: Sequence[float]) -> Column:
     """``x0 * (W xl + b) + xl``."""
+    n = len(b)
+    if n * n <= WRITTEN:
+        x, y = elements(x0, n), elements(xl, n)
+        rows = [column_sum([F.lit(float(k)) * c for k, c in zip(r, y)]) + F.lit(float(a)) for r, a in zip(w, b)]
+        return F.array(*[p * r + c for p, r, c in zip(x, rows, y)])
     return plus(hadamard(x0, plus(matvec(literal(w), xl), literal(list(b)))), xl)
 
 
@@ -251,7 +282,7 @@ def cross_layers(df: DataFrame, x0: str, layers: Sequence[tuple], out: str, kind
     step = cross_vector if kind == "vector" else cross_matrix
     cur = df.withColumn(out, F.col(x0))
     for w, b in layers:
-        cur = cur.withColumn(out, step(F.col(x0), F.col(out), w, b))
+        cur = in_small_methods(cur, **{out: step(F.col(x0), F.col(out), w, b)})
     return cur
 
 

@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.functions.scalars import rounded
+from clickweave.functions.scalars import rounded, rounded_apart
+from clickweave.functions.vectors import in_small_methods
 from clickweave.operators.embedding import Lookup, attach, compose, formula_table
 from clickweave.operators.encode import fit_vocabulary, vocabulary_sizes
 from clickweave.plans.impressions import DENSE, KEY, SPARSE, impressions
@@ -26,6 +27,7 @@ ROW = ["l_orderkey", "l_linenumber", "l_partkey"]
 ROW_SQL = ", ".join(ROW)
 KERNEL = [0.01, 0.5, 1e-6]
 NF = len(SPARSE)
+MANY = 5  # results of a row from which they are compiled as small methods
 PAIRS = [(i, j) for i in range(NF) for j in range(i + 1, NF)]
 
 
@@ -129,8 +131,12 @@ def wts() -> list[Column]:
 
 
 def row_with(df: DataFrame, **cols: Column) -> DataFrame:
-    """Row columns and rounded results."""
-    return df.select(*ROW, *[rounded(c).alias(k) for k, c in cols.items()])
+    """Row columns and rounded results; many of them are compiled apart from the joins before."""
+    if len(cols) < MANY:
+        return df.select(*ROW, *[rounded(c).alias(k) for k, c in cols.items()])
+    doubles = {k for k, t in df.select(*[c.alias(k) for k, c in cols.items()]).dtypes if t == "double"}
+    out = {k: rounded_apart(c) if k in doubles else rounded(c) for k, c in cols.items()}
+    return in_small_methods(df.select(*ROW, *[c for c in df.columns if c not in ROW]), **out).select(*ROW, *cols)
 
 
 def row_with_vector(df: DataFrame, vector: Column, width: int, name: str = "c") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import rounded
 from clickweave.functions.towers import Tower
-from clickweave.functions.vectors import literal, total
+from clickweave.functions.vectors import column_sum, elements, in_small_methods, literal, total
 from clickweave.operators import embedding as emb
 from clickweave.operators import interactions as X
 from clickweave.operators.encode import apply_vocabulary
@@ -134,8 +134,8 @@ def _bilinear_cell(kind: str, n: int, b: int, left=lambda i, a: f"e{i}_{a}", rig
 
 def _bilinear(kind: str):
     def run(spark, sf):
-        df = attached(spark, sf, D).select(*ROW, F.array(*X.bilinear(vecs(), _bilinear_kernels(kind), kind, D)).alias("_b"))
-        return row_with(df, **{f"p{n}_{b}": F.col("_b")[n][b] for n in range(len(PAIRS)) for b in range(D)})
+        products = X.bilinear(vecs(), _bilinear_kernels(kind), kind, D)
+        return row_with(attached(spark, sf, D), **{f"p{n}_{b}": p[b] for n, p in enumerate(products) for b in range(D)})
 
     return run
 
@@ -171,12 +171,13 @@ AFM_SQL = "(" + "+".join(
 
 def _with_attention(spark, sf):
     df = attached(spark, sf, D).withColumn("_pairs", X.pair_products(vecs(), D))
-    return df.withColumn("_att", X.pair_attention(F.col("_pairs"), ATT_W, ATT_B, ATT_H))
+    return X.with_pair_attention(df, "_pairs", len(PAIRS), ATT_W, ATT_B, ATT_H, "_att")
 
 
 @register("x9_attentional_fm", f"WITH {_att_ctes()}\nSELECT {ROW_SQL}, {r6(AFM_SQL)} AS afm FROM att")
 def x9(spark, sf):
-    return row_with(_with_attention(spark, sf), afm=X.attentional_fm(F.col("_pairs"), F.col("_att"), ATT_P))
+    df = in_small_methods(_with_attention(spark, sf), afm=X.attentional_fm(F.col("_pairs"), F.col("_att"), ATT_P, len(PAIRS)))
+    return row_with(df, afm=F.col("afm"))
 
 
 _pair_rows = " UNION ALL ".join(f"SELECT '{SPARSE[i]}:{SPARSE[j]}' AS pair, a{n} AS a FROM att" for n, (i, j) in enumerate(PAIRS))
@@ -338,8 +339,8 @@ _gate_norm = "(" + "+".join(f"exp({lit(g)}/2e0)" for g in GATES) + ")"
     select_sql(D, **{f"v{f}_{d}": f"e{f}_{d}*exp({lit(GATES[f])}/2e0)/{_gate_norm}" for f in range(NF) for d in range(D)}),
 )
 def x16(spark, sf):
-    df = attached(spark, sf, D).select(*ROW, F.array(*X.gate(vecs(), GATES, 2.0)).alias("_v"))
-    return row_with(df, **{f"v{f}_{d}": F.col("_v")[f][d] for f in range(NF) for d in range(D)})
+    gated = X.gate(vecs(), GATES, 2.0, D)
+    return row_with(attached(spark, sf, D), **{f"v{f}_{d}": v[d] for f, v in enumerate(gated) for d in range(D)})
 
 
 NEURONS = 2
@@ -506,7 +507,7 @@ def e2(spark, sf):
     df = encoded(spark, sf)
     for f in SPARSE:
         df = emb.lookup(df, f, m.table, f, f, fits=m.sizes[f] + 1 <= 500_000)
-    return row_with(df, **{f"s{i}": total(F.col(f"{f}__v")) for i, f in enumerate(SPARSE)})
+    return row_with(df, **{f"s{i}": column_sum(elements(F.col(f"{f}__v"), WIDE)) for i, f in enumerate(SPARSE)})
 
 
 @register(

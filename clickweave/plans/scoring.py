@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.functions.vectors import in_small_methods
 from clickweave.operators import interactions as X
 from clickweave.operators.embedding import Lookup, attach
 
@@ -88,10 +89,11 @@ def score_deep_fm(
 def score_attentional(df, fields, numbers, lookup: Lookup, kernel, w, b, h, projection, bias=0.0, task="binary", out="score", **how):
     met = attach(df, fields, lookup, **how)
     met = met.withColumn("_pairs", X.pair_products(vectors(fields), len(projection)))
-    met = met.withColumn("_att", X.pair_attention(F.col("_pairs"), w, b, h))
+    n = len(X.pairs(len(fields)))
+    met = X.with_pair_attention(met, "_pairs", n, w, b, h, "_att")
+    met = in_small_methods(met, _second=X.attentional_fm(F.col("_pairs"), F.col("_att"), projection, n))
     first = X.linear_logit(weights(fields), [F.col(c) for c in numbers], kernel)
-    second = X.attentional_fm(F.col("_pairs"), F.col("_att"), projection)
-    return met.select(*df.columns, X.predict_head(first + second, task, bias).alias(out))
+    return met.select(*df.columns, X.predict_head(first + F.col("_second"), task, bias).alias(out))
 
 
 def score_field_weighted(df, fields, numbers, lookup: Lookup, kernel, strength, dim: int | None = None, bias=0.0, task="binary", out="score", **how):

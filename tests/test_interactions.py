@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from clickweave.functions.scalars import rounded, rounded_apart
 from clickweave.functions.towers import Tower, attention_scores, tower_logit, tower_output
 from clickweave.functions.vectors import literal, softmax
 from clickweave.operators import embedding as emb
@@ -224,3 +225,29 @@ def test_ids_out_of_range_are_found(spark):
     assert [tuple(r) for r in emb.out_of_range(df, ["f"], table).select("feature", "idx").collect()] == [("f", 3)]
     with pytest.raises(ValueError):
         emb.require_in_range(df, ["f"], table)
+
+
+def _methods(df):
+    parts = df._jdf.queryExecution().debug().codegenToSeq()
+    return max([parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())], default=0)
+
+
+@pytest.mark.parametrize("name", ["x4_element_products", "x8_bilinear_all", "x8_bilinear_interaction", "x14_cross_matrix", "x16_field_gating"])
+def test_wide_results_stay_below_the_size_the_jvm_compiles(spark, sf, name):
+    import __spark_entry__ as entry
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = entry.queries()[name](spark, sf)
+        assert _methods(df) < 8000
+        assert "zip_with" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_apart_rounding_is_the_rounding_of_decimals(spark):
+    values = [0.0000005, -0.0000015, 0.0078125, -0.0078125, 1e-12, -1e-12, 0.0, -0.0, 123456.7890125, 999999.9999995, 5e11, float("nan"), float("inf"), None]
+    values += [((i * 7919) % 100003) / 97.0 - 500 for i in range(2000)] + [(i + 0.5) / 1e6 for i in range(-500, 500)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(rounded(F.col("x")).alias("a"), rounded_apart(F.col("x")).alias("b"))
+    assert df.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
