@@ -80,13 +80,25 @@ def bi_interaction(vectors: Sequence[Column], dim: int) -> Column:
     return F.transform(_square_gap(vectors), lambda x: 0.5 * x)
 
 
-def long_second_order(cells: DataFrame, key: list[str]) -> DataFrame:
+def long_second_order(cells: DataFrame, key: list[str], dim: int | None = None) -> DataFrame:
     """``cells(key..., field, vec)`` to ``fm`` and the pooled vector per row.
 
     Sums of v and of v squared per dimension combine on the map side; the
     shuffle carries 2 x width numbers per row and task, not one row per cell.
+    With a known width they are columns of one row per key, and a caller that
+    reads only ``fm`` moves the sums of v and one sum of squares.
     """
-    dim = F.size("vec")
+    if dim is not None:
+        x = elements(F.col("vec"), dim)
+        sums = cells.groupBy(*key).agg(
+            *[F.sum(c).alias(f"_s{d}") for d, c in enumerate(x)], *[F.sum(c * c).alias(f"_q{d}") for d, c in enumerate(x)],
+            F.sum(column_sum([c * c for c in x])).alias("_q"),
+        )
+        s = [F.col(f"_s{d}") for d in range(dim)]
+        return sums.select(
+            *key, (0.5 * (column_sum([c * c for c in s]) - F.col("_q"))).alias("fm"),
+            F.array(*[0.5 * (c * c - F.col(f"_q{d}")) for d, c in enumerate(s)]).alias("bi"),
+        )
     marked = cells.select(*key, F.posexplode("vec").alias("d", "v"))
     per_dim = marked.groupBy(*key, "d").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q"))
     half = 0.5 * (F.col("s") * F.col("s") - F.col("q"))

@@ -45,7 +45,7 @@ def x2_long(spark, sf):
     """The plan for tables too wide to gather: cells aggregated per row key."""
     df = attached(spark, sf, WIDE)
     cells = df.select(*KEY, F.explode(F.array(*vecs())).alias("vec"))
-    return row_with(X.long_second_order(cells, KEY), fm=F.col("fm"))
+    return row_with(X.long_second_order(cells, KEY, WIDE), fm=F.col("fm"))
 
 
 @register("x3_bi_interaction", select_sql(WIDE, **{f"c{d}": f"0.5e0*{fm_dim_sql(d)}" for d in range(WIDE)}))

@@ -251,3 +251,14 @@ def test_apart_rounding_is_the_rounding_of_decimals(spark):
     values += [((i * 7919) % 100003) / 97.0 - 500 for i in range(2000)] + [(i + 0.5) / 1e6 for i in range(-500, 500)]
     df = spark.createDataFrame([(v,) for v in values], "x double").select(rounded(F.col("x")).alias("a"), rounded_apart(F.col("x")).alias("b"))
     assert df.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
+def test_long_second_order_of_known_width_moves_one_row_a_key(spark):
+    rows = [(i // 3, [0.1 * i, 0.2 - i, 0.3]) for i in range(30)] + [(3, [None, 1.0, 2.0])]
+    cells = spark.createDataFrame(rows, "k int, vec array<double>")
+    wide, known = X.long_second_order(cells, ["k"]), X.long_second_order(cells, ["k"], 3)
+    a, b = ({r["k"]: (r["fm"], r["bi"]) for r in d.collect()} for d in (wide, known))
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == pytest.approx(b[k][0]) and a[k][1] == pytest.approx(b[k][1])
+    assert "Generate" not in known._jdf.queryExecution().toString()
