@@ -90,13 +90,14 @@ def long_second_order(cells: DataFrame, key: list[str], dim: int | None = None)
     """
     if dim is not None:
         x = elements(F.col("vec"), dim)
-        sums = cells.groupBy(*key).agg(
+        sums = cells.where(F.col("vec").isNotNull()).groupBy(*key).agg(
             *[F.sum(c).alias(f"_s{d}") for d, c in enumerate(x)], *[F.sum(c * c).alias(f"_q{d}") for d, c in enumerate(x)],
-            F.sum(column_sum([c * c for c in x])).alias("_q"),
+            F.sum(column_sum([F.coalesce(c * c, F.lit(0.0)) for c in x])).alias("_q"),
         )
         s = [F.col(f"_s{d}") for d in range(dim)]
+        squares = column_sum([F.coalesce(c * c, F.lit(0.0)) for c in s])
         return sums.select(
-            *key, (0.5 * (column_sum([c * c for c in s]) - F.col("_q"))).alias("fm"),
+            *key, F.when(F.coalesce(*s).isNotNull(), 0.5 * (squares - F.col("_q"))).alias("fm"),
             F.array(*[0.5 * (c * c - F.col(f"_q{d}")) for d, c in enumerate(s)]).alias("bi"),
         )
     marked = cells.select(*key, F.posexplode("vec").alias("d", "v"))
