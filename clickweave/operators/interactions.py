@@ -239,8 +239,18 @@ def squeeze_weights(vectors: Sequence[Column], w1, w2, dim: int) -> Column:
     return relu(matvec(literal([list(c) for c in zip(*w2)]), first))
 
 
-def reweight(vectors: Sequence[Column], weights: Column) -> list[Column]:
-    return [scale(v, weights.getItem(i)) for i, v in enumerate(vectors)]
+def with_squeeze_weights(df: DataFrame, vectors: Sequence[Column], w1, w2, dim: int, out: str) -> DataFrame:
+    """``squeeze_weights`` of known widths, written out; each layer is a projection of its own."""
+    cur = in_small_methods(df, _layer=F.array(*[column_sum(elements(v, dim)) / float(dim) for v in vectors]))
+    for name, m in (("_layer", w1), (out, w2)):
+        x = elements(F.col("_layer"), len(m))
+        cells = [column_sum([F.lit(float(k)) * a for k, a in zip(c, x)]) for c in zip(*m)]
+        cur = in_small_methods(cur, **{name: F.array(*[F.greatest(c, F.lit(0.0)) for c in cells])})
+    return cur.drop("_layer")
+
+
+def reweight(vectors: Sequence[Column], weights: Column, dim: int | None = None) -> list[Column]:
+    return [scale(v, weights.getItem(i), dim) for i, v in enumerate(vectors)]
 
 
 def field_gates(gates: Sequence[float], tau: float = 1.0) -> list[float]:
@@ -295,7 +305,13 @@ def cross_layers(df: DataFrame, x0: str, layers: Sequence[tuple], out: str, kind
     step = cross_vector if kind == "vector" else cross_matrix
     cur = df.withColumn(out, F.col(x0))
     for w, b in layers:
-        cur = in_small_methods(cur, **{out: step(F.col(x0), F.col(out), w, b)})
+        if kind == "vector" and len(b) <= WRITTEN:
+            first, own = elements(F.col(x0), len(b)), elements(F.col(out), len(b))
+            cur = in_small_methods(cur, _share=column_sum([x * F.lit(float(k)) for x, k in zip(own, w)]))
+            cells = [x * F.col("_share") + F.lit(float(a)) + y for x, a, y in zip(first, b, own)]
+            cur = in_small_methods(cur, **{out: F.array(*cells)}).drop("_share")
+        else:
+            cur = in_small_methods(cur, **{out: step(F.col(x0), F.col(out), w, b)})
     return cur
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.towers import Tower, tower_output
-from clickweave.functions.vectors import dot, literal
+from clickweave.functions.vectors import column_sum, dot, elements, in_small_methods, literal
 from clickweave.operators import interactions as X
 from clickweave.operators.embedding import pair_lookup
 
@@ -110,10 +110,10 @@ def _prepare(df: DataFrame, r: Recipe, p: Parts) -> DataFrame:
     """Columns that several stages read, each evaluated once."""
     used = {*r.deep, *r.beside, *r.terms}
     if used & {"embedded_pairs", "embedded"}:
-        df = df.withColumn("_embedded", F.array(*X.field_embedded(_vectors(p), p.weights["embedded"], p.dim)))
+        df = in_small_methods(df, _embedded=F.array(*X.field_embedded(_vectors(p), p.weights["embedded"], p.dim)))
     if "squeezed_bilinear" in used:
-        df = df.withColumn("_sq", X.squeeze_weights(_vectors(p), p.weights["squeeze1"], p.weights["squeeze2"], p.dim))
-        df = df.withColumns({f"_s{i}": c for i, c in enumerate(X.reweight(_vectors(p), F.col("_sq")))})
+        df = X.with_squeeze_weights(df, _vectors(p), p.weights["squeeze1"], p.weights["squeeze2"], p.dim, "_sq")
+        df = in_small_methods(df, **{f"_s{i}": c for i, c in enumerate(X.reweight(_vectors(p), F.col("_sq"), p.dim))})
     if "cross" in used:
         df = df.withColumn("_x0", F.concat(_block("vectors", p), _block("numbers", p)))
         df = X.cross_layers(df, "_x0", p.weights["cross"], "_cross", p.weights.get("cross_kind", "vector"))
@@ -129,7 +129,7 @@ def score_recipe(df: DataFrame, name: str, p: Parts, out: str = "score") -> Data
     cur = _prepare(df, r, p)
     deep = None
     if r.deep:
-        cur = cur.withColumn("_in", F.concat(*[_block(b, p) for b in r.deep]))
+        cur = in_small_methods(cur, _in=F.concat(*[_block(b, p) for b in r.deep]))
         cur = cur.withColumn("_deep", tower_output(p.tower)(F.col("_in")))
         deep = F.col("_deep")
     w = [F.col(f"{f}__w") for f in p.fields]
@@ -146,14 +146,17 @@ def score_recipe(df: DataFrame, name: str, p: Parts, out: str = "score") -> Data
     if r.linear:
         terms.append(X.linear_logit(w, numbers, p.kernel))
     if "embedded" in r.terms:
-        from clickweave.functions.vectors import total
-
-        terms.append(total(F.col("_embedded")))
+        terms.append(column_sum(elements(F.col("_embedded"), len(X.pairs(len(p.fields))))))
     stacked = [_block(b, p) for b in r.beside] + ([deep] if deep is not None else [])
     if stacked:
-        last = F.concat(*stacked) if len(stacked) > 1 else stacked[0]
-        terms.append(dot(last, literal(p.tower_kernel)))
-    return cur.select(*columns, X.predict_head(X.logit_sum(*terms), p.task, p.bias).alias(out))
+        last, width = F.concat(*stacked) if len(stacked) > 1 else stacked[0], len(p.tower_kernel)
+        if width <= X.WRITTEN:
+            cur = cur.withColumn("_last", last)
+            terms.append(column_sum([x * F.lit(float(k)) for x, k in zip(elements(F.col("_last"), width), p.tower_kernel)]))
+        else:
+            terms.append(dot(last, literal(p.tower_kernel)))
+    cur = in_small_methods(cur, _logit=X.logit_sum(*terms))
+    return cur.select(*columns, X.predict_head(F.col("_logit"), p.task, p.bias).alias(out))
 
 
 def dot_rows(rows, v: Column) -> Column:
