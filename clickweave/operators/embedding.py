@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.vectors import literal
-from clickweave.operators.encode import as_text, long_fields, vocabulary_sizes
-from clickweave.operators.joins import broadcast_fields, fits_broadcast, keyed_lookup, lookup_join, missing_keys, row_limit
-from clickweave.operators.rows import numbered, put_back
+from clickweave.operators.encode import as_text, vocabulary_sizes
+from clickweave.operators.joins import broadcast_fields, fields_join, fits_broadcast, keyed_lookup, lookup_join, missing_keys, row_bytes, row_limit
 from clickweave.scratch import pin
 
 
@@ -144,20 +143,13 @@ def _attach_wide(df: DataFrame, fields: list[str], lookup: Lookup) -> DataFrame:
 
 
 def _attach_long(df: DataFrame, fields: list[str], lookup: Lookup) -> DataFrame:
-    rows, row = numbered(df)
-    long = long_fields(rows, fields, keep=[row])
-    met = lookup_join(long, lookup.table, ["feature", "category"], ["w", "vec"], fits=False)
-    gathered = met.groupBy(row).agg(
-        *[
-            F.first(F.when(F.col("feature") == f, F.struct("w", "vec")), ignorenulls=True).alias(f"_{f}")
-            for f in fields
-        ]
-    )
+    table = lookup.table.withColumnRenamed("category", "_key")
+    out, met = fields_join(df, {f: as_text(F.col(f)) for f in fields}, table, ["w", "vec"])
     columns = []
-    for f in fields:
-        columns.append(_or_spare(F.col(f"_{f}.w"), lookup, f, "w").alias(f"{f}__w"))
-        columns.append(_or_spare(F.col(f"_{f}.vec"), lookup, f, "v").alias(f"{f}__v"))
-    return put_back(rows, gathered.select(row, *columns), row)
+    for f, m in zip(fields, met):
+        columns.append(_or_spare(F.col(m)["w"], lookup, f, "w").alias(f"{f}__w"))
+        columns.append(_or_spare(F.col(m)["vec"], lookup, f, "v").alias(f"{f}__v"))
+    return out.select(*df.columns, *columns)
 
 
 def deep_input(vectors: list[Column], numbers: list[Column]) -> Column:
@@ -177,33 +169,20 @@ def pair_lookup(
     instead of one per ordered pair. Larger tables take one join for all fields in long form.
     """
     sides = table.where(F.col("feature").isin(fields) & F.col("other").isin(fields) & (F.col("feature") != F.col("other")))
-    sides = sides.groupBy("feature", F.col("idx").cast("bigint").alias("_id")).agg(
-        *[F.first(F.when(F.col("other") == o, F.col("vec")), ignorenulls=True).alias(f"_for{i}") for i, o in enumerate(fields)]
-    )
+    vecs = [F.first(F.when(F.col("other") == o, F.col("vec")), ignorenulls=True) for o in fields]
+    sides = sides.groupBy("feature", F.col("idx").cast("bigint").alias("_key")).agg(F.array(*vecs).alias("_pair"))
     if fits is None:
-        fits = fits_broadcast(sides, limit)
+        fits = fits_broadcast(sides, row_limit(row_bytes(table) * len(fields)) if limit is None else limit)
     if not fits:
-        return _pairs_long(df, fields, sides)
+        out, met = fields_join(df, {f: F.col(f).cast("bigint") for f in fields}, sides, ["_pair"])
+        return out.select(*df.columns, *_pair_columns(fields, [F.col(m)["_pair"] for m in met]))
     out = df
-    for f in fields:
-        named = [F.col(f"_for{i}").alias(f"{f}__for__{o}") for i, o in enumerate(fields) if o != f]
-        one = sides.where(F.col("feature") == f).select("_id", *named)
-        names = [f"{f}__for__{o}" for o in fields if o != f]
-        out = lookup_join(out.withColumn("_id", F.col(f).cast("bigint")), one, ["_id"], names, fits=True).drop("_id")
-    return out
-
-
-def _pairs_long(df: DataFrame, fields: list[str], sides: DataFrame) -> DataFrame:
-    rows, row = numbered(df)
-    ids = rows.select(row, *[F.col(f).cast("bigint").alias(f) for f in fields]).unpivot([row], fields, "feature", "_id")
-    others = [f"_for{i}" for i in range(len(fields))]
-    met = lookup_join(ids, sides, ["feature", "_id"], others, fits=False)
-    found = met.groupBy(row).agg(
-        *[
-            F.first(F.when(F.col("feature") == f, F.col(f"_for{i}")), ignorenulls=True).alias(f"{f}__for__{o}")
-            for f in fields
-            for i, o in enumerate(fields)
-            if o != f
-        ]
-    )
-    return put_back(rows, found, row)
+    for n, f in enumerate(fields):
+        one = sides.where(F.col("feature") == f).select(F.col("_key").alias(f"_key{n}"), F.col("_pair").alias(f"_pair{n}"))
+        out = keyed_lookup(out, F.col(f).cast("bigint"), one, f"_key{n}", [f"_pair{n}"], fits=True)
+    return out.select(*df.columns, *_pair_columns(fields, [F.col(f"_pair{n}") for n in range(len(fields))]))
+
+
+def _pair_columns(fields: list[str], met: list[Column]) -> list[Column]:
+    """A field's vectors travel as one array of them: a chain of joins with a column each is too long to be compiled."""
+    return [m[i].alias(f"{f}__for__{o}") for f, m in zip(fields, met) for i, o in enumerate(fields) if o != f]

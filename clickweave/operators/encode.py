@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import hash_bucket
 from clickweave.operators.blocks import global_rank
-from clickweave.operators.joins import BROADCAST_ROWS, broadcast_fields, keyed_lookup, lookup_join, row_count_up_to
-from clickweave.operators.rows import numbered, put_back
+from clickweave.operators.joins import BROADCAST_ROWS, broadcast_fields, fields_join, keyed_lookup, lookup_join, row_count_up_to
 from clickweave.scratch import pin
 
 MISSING_TEXT = "nan"
@@ -81,12 +80,9 @@ def apply_vocabulary(
 
 def _looked_up_long(df: DataFrame, fields: list[str], vocab: DataFrame) -> DataFrame:
     """``df`` with the class number of the i-th field as ``_long<i>`` (null: unseen)."""
-    rows, row = numbered(df)
-    met = lookup_join(long_fields(rows, fields, keep=[row]), vocab, ["feature", "category"], ["idx"], fits=False)
-    found = met.groupBy(row).agg(
-        *[F.first(F.when(F.col("feature") == f, F.col("idx")), ignorenulls=True).alias(f"_long{i}") for i, f in enumerate(fields)]
-    )
-    return put_back(rows, found, row)
+    table = vocab.withColumnRenamed("category", "_key")
+    out, met = fields_join(df, {f: as_text(F.col(f)) for f in fields}, table, ["idx"])
+    return out.select(*df.columns, *[F.col(m)["idx"].alias(f"_long{i}") for i, m in enumerate(met)])
 
 
 def vocabulary_report(df: DataFrame, fields: list[str], hash_factor: int = 5) -> DataFrame:
