@@ -203,9 +203,10 @@ def update(
     if fits is None:
         fits = fits_broadcast(keys)
     p = predict(features, keys, [rows.seq], bias["w"], s, fits)
-    scored = pin(batch.select(rows.seq, F.col(rows.label).cast("double").alias("y")).join(p, [rows.seq]), "scored")
+    # rows meet rows: neither side is broadcast through the driver, however small its files are
+    scored = pin(batch.select(rows.seq, F.col(rows.label).cast("double").alias("y")).join(p.hint("merge"), [rows.seq]), "scored")
     errors = scored.select(rows.seq, (F.col("y") - F.col("p")).alias("e"))
-    pairs = features.join(errors, [rows.seq]).select(
+    pairs = features.join(errors.hint("merge"), [rows.seq]).select(
         F.col("feature").alias("key"), F.col(rows.seq).alias("seq"), "x", "e"
     )
     if s.l1 == 0 and s.l2 == 0:
