@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -378,3 +379,16 @@ def test_pipeline_stages(spark, tmp_path, docs):
     found = corpus_pipeline.run(spark, folder)
     assert {r.doc_id for r in found.collect()} == left["personal_data"]
     assert found.select(F.min(F.size("ids") - F.col("n_tokens"))).first()[0] == 0
+
+
+def test_a_term_over_its_number_leaves_one_row_a_task():
+    """Whatever the number of its contexts: no contexts of terms that are dropped anyway are handed on."""
+    from types import SimpleNamespace
+
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    text = " ".join(f"{w} often {w}x" for w in words) + " seldom here"
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([text, text])})
+    got = pa.Table.from_batches(list(pii._emit_contexts(iter([batch]), SimpleNamespace(value={"often": 200, "seldom": 2, "never": 1}))))
+    assert [r["context"] for r in got.to_pylist() if r["term"] == "often"] == [None]
+    assert len([r for r in got.to_pylist() if r["term"] == "seldom" and r["context"] is not None]) == 1
+    assert got.num_rows == 2
