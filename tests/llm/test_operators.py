@@ -392,3 +392,30 @@ def test_a_term_over_its_number_leaves_one_row_a_task():
     assert [r["context"] for r in got.to_pylist() if r["term"] == "often"] == [None]
     assert len([r for r in got.to_pylist() if r["term"] == "seldom" and r["context"] is not None]) == 1
     assert got.num_rows == 2
+
+
+def test_workers_forget_words_after_a_task(spark, docs):
+    """Workers serve other jobs next; what they remember of their texts' words would stay beside those."""
+    path = stored("word_bpe_49k.json")
+    assert bpe.encoded(docs, path).count() == docs.count()
+    bpe.encoded(docs, path).collect()
+
+    def remembered(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(bpe._store(path))], pa.int32())})
+
+    assert {r["n"] for r in spark.range(64).repartition(8).mapInArrow(remembered, "n int").collect()} == {0}
+
+
+def test_mixing_base_counts_words_beyond_the_vocabulary(spark, monkeypatch):
+    """A vocabulary of a few words: the base score and the known words are those of all words all the same."""
+    rows = [(i, " ".join(f"w{(i * k) % 37}" for k in range(1, 40))) for i in range(60)] + [(60, None), (61, "w1 stranger")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
+    whole = {r["doc_id"]: tuple(r) for r in mixing.scored(d).select(*columns).collect()}
+    monkeypatch.setattr(mixing, "HEAD", 5)
+    monkeypatch.setattr(mixing, "FREQUENT", 3)
+    few = {r["doc_id"]: tuple(r) for r in mixing.scored(d).select(*columns).collect()}
+    assert whole.keys() == few.keys()
+    for k in whole:
+        assert whole[k][:5] == few[k][:5] and whole[k][5] == pytest.approx(few[k][5])
