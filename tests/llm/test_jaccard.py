@@ -6,6 +6,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clickweave.llm import jaccard
@@ -79,3 +80,39 @@ def test_sets_go_when_components_are_known(spark, rows):
     jaccard.near_duplicates(rows)
     left = {x.rsplit("-", 1)[0] for x in set(os.listdir(scratch_root(spark))) - before}
     assert "classes" in left and not left & {"sets", "members", "two", "labels"}
+
+
+def test_signatures_met_in_a_stream_are_those_of_a_whole_table(monkeypatch):
+    g = np.random.default_rng(8)
+    sig, d1 = g.integers(-40, 40, 900) ** 3, g.integers(-9, 9, 900)
+    sig[:60] = np.arange(1_000_000, 1_000_060)
+    wanted = {}
+    for s, d in zip(sig.tolist(), d1.tolist()):
+        wanted.setdefault(s, []).append(d)
+    wanted = {(s, min(d), max(d), min(len(d), 3)) for s, d in wanted.items() if min(d) < max(d)}
+
+    def batches(sig, d1, step):
+        for i in range(0, len(sig), step):
+            yield pa.RecordBatch.from_pydict({"sig": pa.array(sig[i : i + step]), "d1": pa.array(d1[i : i + step])})
+        yield pa.RecordBatch.from_pydict({"sig": pa.array([], pa.int64()), "d1": pa.array([], pa.int64())})
+
+    for store, step in ((64, 7), (1, 1), (400, 900), (10_000, 100)):
+        monkeypatch.setattr(jaccard, "STORE", store)
+        fewer = pa.Table.from_batches(jaccard._fewer(batches(sig, d1, step))).sort_by("sig")
+        met = pa.Table.from_batches(jaccard._met(iter(fewer.to_batches(max_chunksize=step))))
+        rows = [tuple(r.values()) for r in met.to_pylist()]
+        assert len(rows) == len(set(rows)) and set(rows) == wanted
+        assert fewer.num_rows <= len(sig) and (store < 10_000 or fewer.num_rows <= 3 * len(set(sig.tolist())))
+
+
+def test_no_table_of_all_signatures_is_made(rows, monkeypatch):
+    plans, pin = [], jaccard.pin
+
+    def seen(df, name="t"):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return pin(df, name)
+
+    monkeypatch.setattr(jaccard, "pin", seen)
+    jaccard.near_duplicates(rows, 5, 80)
+    plan = dict(plans)["shared"]
+    assert "Sort" in plan and "HashAggregate" not in plan
