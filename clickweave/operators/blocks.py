@@ -73,6 +73,11 @@ def global_rank(
     table of starts has at most blocks + groups rows and is broadcast.
     """
     blocked = ordered_blocks(df, [*[F.col(g) for g in group or []], *order], blocks)
+    return rank_in_blocks(blocked, name, group, few_groups)
+
+
+def rank_in_blocks(blocked: DataFrame, name: str, group: list[str] | None = None, few_groups: bool = True) -> DataFrame:
+    """``global_rank`` of rows that ``ordered_blocks`` has put in order of their group and the order key."""
     if not group:
         ranked = with_prefix(blocked, {"rows": F.lit(1)})
         return ranked.withColumn(name, F.col("_before_rows") + F.col("_pos")).drop("_block", "_pos", "_before_rows")

@@ -188,7 +188,7 @@ def _arrivals(df, order: str, steps: int, path: str):
     n = max(block_count(df), steps)
     blocks = ordered_blocks(df, [F.col(order)], n)
     for step in range(steps):
-        now = blocks.where(F.floor(F.col("_block") * steps / n) == step)
+        now = blocks.where(F.col("_block").between(-(-step * n // steps), -(-(step + 1) * n // steps) - 1))
         now.drop("_block", "_pos").write.mode("append").parquet(path)
         yield _new_files(df.sparkSession, path, df.schema)
 

@@ -7,6 +7,7 @@ depend on each other once the errors are known, so the fold is exact in parallel
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -17,11 +18,11 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalars import log_loss_term, sigmoid
 from clickweave.functions.vectors import let, total
-from clickweave.operators.blocks import block_count
+from clickweave.operators.blocks import block_count, ordered_blocks, rank_in_blocks
 from clickweave.operators.embedding import seeded_normal
-from clickweave.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
+from clickweave.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits_broadcast, hot_keys, lookup_join
 from clickweave.operators.prepare import long_form
-from clickweave.scratch import pin
+from clickweave.scratch import pin, release
 from clickweave.streaming.state import BIAS, LearnerState
 
 VALUES = ["w", "z", "n", "v", "zf", "nf"]
@@ -39,6 +40,8 @@ class FtrlSettings:
     cross: str = "self"
     # rows of one key folded in one go; longer batches are folded as a stream of sorted rows
     fold_rows: int = 200_000
+    # pairs of one key beyond which a longer batch without penalties takes it by products, in all tasks
+    spread_rows: int = HOT_ROWS
 
 
 @dataclass(frozen=True)
@@ -197,6 +200,8 @@ def update(
     fits = True if n_rows * (len(rows.texts) + len(rows.numbers)) < BROADCAST_ROWS else None
     features = long_form(batch, [rows.seq], rows.texts, rows.numbers, s.sep)
     wanted = features.select("feature").distinct().unionByName(spark.createDataFrame([(BIAS,)], "feature string"))
+    if fits is None:
+        wanted = pin(wanted, "wanted")  # the keys of a large batch are read more than once
     known = state_of(wanted.select(F.col("feature").alias("key")), fits)
     every = pin(keys_with_state(wanted, known, s, fits), "keys")
     bias, keys = bias_of(every), every.where(F.col("key") != BIAS)
@@ -206,8 +211,12 @@ def update(
     # rows meet rows: neither side is broadcast through the driver, however small its files are
     scored = pin(batch.select(rows.seq, F.col(rows.label).cast("double").alias("y")).join(p.hint("merge"), [rows.seq]), "scored")
     errors = scored.select(rows.seq, (F.col("y") - F.col("p")).alias("e"))
-    pairs = features.join(errors.hint("merge"), [rows.seq]).select(
-        F.col("feature").alias("key"), F.col(rows.seq).alias("seq"), "x", "e"
+    # rows meet their errors before they become pairs
+    taught = batch.join(errors.withColumnRenamed("e", "_e").hint("merge"), [rows.seq]).drop(rows.label)
+    if n_rows > s.fold_rows:
+        taught = pin(taught, "taught")  # a longer batch's pairs are read more than once
+    pairs = long_form(taught, [rows.seq, "_e"], rows.texts, rows.numbers, s.sep).select(
+        F.col("feature").alias("key"), F.col(rows.seq).alias("seq"), "x", F.col("_e").alias("e")
     )
     if s.l1 == 0 and s.l2 == 0:
         w, z, n = closed_form_bias(scored, bias, s)
@@ -245,6 +254,13 @@ def _fold_on(state: dict, x: list[float], e: list[float], s: FtrlSettings) -> No
     state.update(zip(VALUES, (w, z, n, v, zf, nf)))
 
 
+def _state(text: str) -> dict:
+    """A state from its JSON form, in which numbers that are not finite are texts."""
+    found = json.loads(text)
+    number = lambda a: a if a is None else float(a)
+    return {c: [number(a) for a in found[c]] if isinstance(found.get(c), list) else number(found.get(c)) for c in VALUES}
+
+
 def _fold_sorted(batches: Iterator, s: FtrlSettings) -> Iterator:
     """New states from rows sorted by key, the states of a key before its pairs and these in row order."""
     import numpy as np
@@ -270,7 +286,7 @@ def _fold_sorted(batches: Iterator, s: FtrlSettings) -> Iterator:
                 yield from done()
                 key, states, touched = names[start].as_py(), [], False
             first = start + int((~is_pair[start:end]).sum())
-            states += [batch["state"][i].as_py() for i in range(start, first)]
+            states += [_state(batch["state"][i].as_py()) for i in range(start, first)]
             touched = touched or first < end
             first += int((~has_seq[first:end]).sum())  # a pair without a place in the order only marks its key
             if first < end:
@@ -286,10 +302,66 @@ def fold_in_rounds(pairs: DataFrame, keys: DataFrame, batch_rows: int, s: FtrlSe
     A key present in every row (a bias, a number) would otherwise collect the
     whole batch. The recurrence of a key is sequential: its pairs are sorted by
     Spark, which spills what does not fit, and a task holds one Arrow batch of them.
+    Without penalties a key of many pairs needs no sequence: see ``fold_by_products``.
     """
     if batch_rows <= s.fold_rows:
         return fold(pairs, keys, s)
-    state = F.struct(*VALUES)
+    if s.l1 == 0 and s.l2 == 0:
+        hot = hot_keys(_taught(pairs).where("key is not null and seq is not null"), ["key"], s.spread_rows)
+        if not hot.isEmpty():
+            rest, others = (df.join(F.broadcast(hot), ["key"], "left_anti") for df in (pairs, keys))
+            folded = fold_by_products(pairs, keys, hot, s)
+            return folded if others.isEmpty() else folded.unionByName(_fold_streams(rest, others, s))
+    return _fold_streams(pairs, keys, s)
+
+
+def fold_by_products(pairs: DataFrame, keys: DataFrame, hot: DataFrame, s: FtrlSettings) -> DataFrame:
+    """``fold`` without penalties for the ``hot`` keys, whose pairs stay spread over all tasks.
+
+    After a key's first pair ``v = zf / (beta + sqrt(nf))``, so each later one multiplies ``zf`` by
+    ``1 + e x / (beta + sqrt(nf))``: its place in the order is all that a pair must know. The logarithms of the
+    factors are added up, in runs of pairs first; products on the way neither overflow nor vanish.
+    """
+    if s.l1 or s.l2:
+        raise ValueError("products are exact only without l1 and l2")
+    own = _taught(pairs).where(F.col("seq").isNotNull()).join(F.broadcast(hot), ["key"])
+    own = own.withColumns({c: F.col(c).cast("double") for c in ("x", "e")})
+    blocked = ordered_blocks(own, [F.col(c) for c in ("key", "seq", "x", "e")])
+    states = pin(keys.join(F.broadcast(hot), ["key"]), "states")
+    met = rank_in_blocks(blocked, "_t", ["key"]).join(F.broadcast(states.select("key", "nf").distinct()), ["key"])
+    ge, t = F.col("e") * F.col("x"), F.col("_t")
+    factor = 1.0 + F.col("_ge") / (F.lit(s.beta) + F.sqrt(F.col("nf") + t))
+    met = met.withColumn("_ge", ge).withColumn("_f", F.when(t > 0, factor))
+    runs = met.groupBy("key", "nf", F.expr("_t div 4096").alias("_run")).agg(
+        F.sum("_ge").alias("_g"), F.count(F.lit(1)).alias("_c"), F.max(F.when(t == 0, F.col("_ge"))).alias("_first"),
+        F.sum(F.when(F.col("_f") != 0, F.log(F.abs("_f")))).alias("_log"),
+        F.count_if(F.col("_f") < 0).alias("_turns"), F.count_if(F.col("_f") == 0).alias("_zeros"),
+    )
+    sums = runs.groupBy("key", F.col("nf").alias("_nf")).agg(
+        F.max("_first").alias("_first"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_g", "_c", "_log", "_turns", "_zeros")]
+    )
+    sums = pin(sums.withColumnRenamed("key", "_key"), "products")
+    release(blocked)
+    done = states.join(F.broadcast(sums), (F.col("key") == F.col("_key")) & F.col("nf").eqNullSafe(F.col("_nf")))
+    turn = F.when(F.col("_turns") % 2 == 1, -1.0).otherwise(1.0)
+
+    def grown(f: Column) -> Column:
+        """A factor of zero ends in zero, unless something before or after was not finite."""
+        by_log = turn * F.signum(f) * F.exp(F.col("_log") + F.log(F.abs(f)))
+        return F.when((f == 0) | (F.col("_zeros") > 0), f * 0.0 + F.col("_log") * 0.0).otherwise(by_log)
+
+    z, n, nf = F.col("z") + F.col("_g"), F.col("n") + F.col("_c"), F.col("nf") + F.col("_c")
+    done = done.withColumn("_zf", F.zip_with("zf", "v", lambda f, v: f + F.col("_first") * v))
+    done = done.withColumn("_zf", F.transform("_zf", grown)).select(
+        "key", (z / (F.lit(s.beta) + F.sqrt(n))).alias("w"), z.alias("z"), n.alias("n"),
+        F.transform("_zf", lambda f: f / (F.lit(s.beta) + F.sqrt(nf))).alias("v"), F.col("_zf").alias("zf"), nf.alias("nf"),
+    )
+    return pin(done, "fold")
+
+
+def _fold_streams(pairs: DataFrame, keys: DataFrame, s: FtrlSettings) -> DataFrame:
+    # a state travels as text: a column of structs or lists, null in every pair, costs more than the pairs
+    state = F.to_json(F.struct(*VALUES))
     first = keys.select(
         "key", F.lit(False).alias("_pair"), *[F.lit(None).cast(pairs.schema[c].dataType).alias(c) for c in ("seq", "x", "e")],
         state.alias("state"),

@@ -1,3 +1,4 @@
+import json
 import math
 import random
 
@@ -191,3 +192,48 @@ def test_many_fold_ranges_take_one_job_and_keep_the_order(spark, l1, l2):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) < 10  # not one or more a range
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole))
+
+
+def test_a_key_of_many_pairs_is_folded_by_products_in_all_tasks(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(rng.choice(("hot", "hot", "warm", f"k{i % 9}")), (7 * i) % 1500, rng.uniform(-1, 3), rng.uniform(-1, 1)) for i in range(2400)]
+    rows += [("turn", 1, 1.0, 0.5)] + [("turn", i, 1.0, -2.0 if i == 7 else 0.1) for i in range(2, 350)]  # one factor is below zero
+    rows += [("stop", i, 1.0, -3.0 if i == 4 else 0.1) for i in range(350)]  # after four pairs the rate is 3
+    rows += [("hot", None, 0.5, 0.5), (None, 3, 1.0, 1.0), ("hot", 3, None, 1.0), ("hot", 3, 0.5, None), *[("stateless", i, 1.0, 0.1) for i in range(350)]]
+    pairs = spark.createDataFrame(rows, "key string, seq long, x double, e double")
+    names = ["hot", "warm", "turn", "untouched", *[f"k{i}" for i in range(9)]]
+    start = [(k, 0.1, 0.2, 1.0, [0.3, -0.1], [0.2, 0.0], 1.0) for k in names]
+    start += [("hot", -0.3, 0.1, 2.0, [0.1, 0.0], [0.0, 0.0], 5.0), ("stop", 0.0, 0.0, 0.0, [0.3, -0.1], [0.0, 0.0], 0.0)]
+    keys = spark.createDataFrame(start, O._schema())
+    seen = []
+    streams = O._fold_streams
+    monkeypatch.setattr(O, "_fold_streams", lambda p, k, s: seen.append({r["key"]: r["count"] for r in p.groupBy("key").count().collect()}) or streams(p, k, s))
+    s = O.FtrlSettings(k=2, fold_rows=3, spread_rows=300)
+    got = sorted(O.fold_in_rounds(pairs, keys, len(rows), s).collect(), key=lambda r: (r["key"], r["nf"]))
+    want = sorted(O.fold(pairs.where("seq is not null"), keys, O.FtrlSettings(k=2)).collect(), key=lambda r: (r["key"], r["nf"]))
+    assert len(seen) == 1 and max(seen[0].values()) <= 300 and not {"hot", "warm", "turn", "stop"} & set(seen[0])
+    assert [r["key"] for r in got] == [r["key"] for r in want] and len(got) == 14
+    for a, b in zip(got, want):
+        for c in O.VALUES:
+            assert np.allclose(a[c], b[c], rtol=1e-9, atol=0), (a["key"], c, a[c], b[c])
+    assert {tuple(r["zf"]) for r in got if r["key"] == "stop"} == {(0.0, 0.0)}
+    with pytest.raises(ValueError):
+        O.fold_by_products(pairs, keys, keys.select("key"), O.FtrlSettings(k=2, l2=0.1))
+
+
+def test_products_do_not_overflow_on_the_way(spark):
+    """Some 1,600 factors of 2 and as many of 1/2: the whole is moderate, its parts are not."""
+    s = O.FtrlSettings(k=1, fold_rows=3, spread_rows=100)
+    rate = [1 + math.sqrt(i) for i in range(3200)]
+    rows = [("a", i, 1.0, 0.5 if i == 0 else rate[i] if i % 3200 < 1600 else -rate[i] / 2) for i in range(3200)]
+    pairs = spark.createDataFrame(rows, "key string, seq long, x double, e double")
+    keys = spark.createDataFrame([("a", 0.0, 0.0, 0.0, [0.25], [0.0], 0.0)], O._schema())
+    (got,) = O.fold_in_rounds(pairs, keys, len(rows), s).collect()
+    assert got["zf"][0] == pytest.approx(0.125 / 2, rel=1e-9)
+
+
+def test_a_state_travels_as_text_without_loss():
+    state = {"w": 0.1, "z": -1e-300, "n": 3.0, "v": [1e22, 1 / 3], "zf": [], "nf": 2.0}
+    assert O._state(json.dumps(state)) == state
+    odd = O._state('{"w":"NaN","z":"-Infinity","n":1.0E10,"v":[null,"Infinity"]}')
+    assert math.isnan(odd["w"]) and odd["z"] == -math.inf and odd["n"] == 1e10 and odd["v"] == [None, math.inf] and odd["zf"] is None
