@@ -213,8 +213,8 @@ def update(
     errors = scored.select(rows.seq, (F.col("y") - F.col("p")).alias("e"))
     # rows meet their errors before they become pairs
     taught = batch.join(errors.withColumnRenamed("e", "_e").hint("merge"), [rows.seq]).drop(rows.label)
-    if n_rows > s.fold_rows:
-        taught = pin(taught, "taught")  # a longer batch's pairs are read more than once
+    if n_rows > max(s.fold_rows, s.spread_rows) and s.l1 == 0 and s.l2 == 0:
+        taught = pin(taught, "taught")  # pairs of busy keys are read more than once
     pairs = long_form(taught, [rows.seq, "_e"], rows.texts, rows.numbers, s.sep).select(
         F.col("feature").alias("key"), F.col(rows.seq).alias("seq"), "x", F.col("_e").alias("e")
     )
